@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mosaiq.llm import mixing, pii, sharding
+from mosaiq.llm import mixing, pii, quality_rules, sharding
 from mosaiq.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,9 +20,13 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(documents(spark, sf_dir), n_shards=16, law="rows")
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(documents(spark, sf_dir))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(documents(spark, sf_dir)).drop("source")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_pii, op5_sharding, op9_mixing)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_pii, op5_sharding, op6_quality_rules, op9_mixing)}
 ORACLES: dict[str, str] = {}
