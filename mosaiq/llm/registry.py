@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mosaiq.llm import mixing, pii, quality_rules, sharding
+from mosaiq.llm import decontamination, mixing, pii, quality_rules, sharding
 from mosaiq.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,9 +24,13 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(documents(spark, sf_dir))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leak_report(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(documents(spark, sf_dir)).drop("source")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_pii, op5_sharding, op6_quality_rules, op9_mixing)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_pii, op5_sharding, op6_quality_rules, op8_decontamination, op9_mixing)}
 ORACLES: dict[str, str] = {}
