@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -32,8 +33,14 @@ def cut(df: DataFrame) -> DataFrame:
     """df, written to the shared folder as Parquet and read from there: its lineage ends, and a lost executor costs no rerun."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/mosaiq-{uuid.uuid4().hex}"
+    schema = df.schema
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    # Spark drops shuffle files when the driver's garbage collector finds their owner gone. Ask for that now, so that a
+    # long plan never holds the files of more than one part.
+    del df
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(schema).parquet(path)
 
 
 def text_of(df: DataFrame) -> Column:

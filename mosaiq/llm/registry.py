@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mosaiq.llm import decontamination, mixing, pii, quality_classifier, quality_rules, sharding
+from mosaiq.llm import decontamination, mixing, pii, quality_classifier, quality_rules, sharding, substring_dedup, suffix_dedup
 from mosaiq.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,14 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.score_documents(docs, quality_classifier.learn(docs, documents(spark, sf_dir, "labels")))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digest(documents(spark, sf_dir))
+
+
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(documents(spark, sf_dir))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(documents(spark, sf_dir), n_shards=16, law="rows")
 
@@ -37,5 +45,5 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(documents(spark, sf_dir)).drop("source")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_pii, op2_quality_classifier, op5_sharding, op6_quality_rules, op8_decontamination, op9_mixing)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_pii, op2_quality_classifier, op3_substring_dedup, op4_suffix_dedup, op5_sharding, op6_quality_rules, op8_decontamination, op9_mixing)}
 ORACLES: dict[str, str] = {}
