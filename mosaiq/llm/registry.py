@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mosaiq.llm import decontamination, mixing, pii, quality_classifier, quality_rules, sharding, substring_dedup, suffix_dedup
+from mosaiq.llm import decontamination, jaccard_join, mixing, pii, quality_classifier, quality_rules, sharding, substring_dedup, suffix_dedup
 from mosaiq.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(documents(spark, sf_dir))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join_documents(documents(spark, sf_dir))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leak_report(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
 
@@ -45,5 +49,5 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(documents(spark, sf_dir)).drop("source")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_pii, op2_quality_classifier, op3_substring_dedup, op4_suffix_dedup, op5_sharding, op6_quality_rules, op8_decontamination, op9_mixing)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_pii, op2_quality_classifier, op3_substring_dedup, op4_suffix_dedup, op5_sharding, op6_quality_rules, op7_jaccard_join, op8_decontamination, op9_mixing)}
 ORACLES: dict[str, str] = {}
