@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mosaiq.llm import decontamination, jaccard_join, mixing, pii, quality_classifier, quality_rules, sharding, substring_dedup, suffix_dedup
+from mosaiq.llm import decontamination, jaccard_join, license_scan, mixing, pii, quality_classifier, quality_rules, sharding, substring_dedup, suffix_dedup
 from mosaiq.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,5 +49,9 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(documents(spark, sf_dir)).drop("source")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_pii, op2_quality_classifier, op3_substring_dedup, op4_suffix_dedup, op5_sharding, op6_quality_rules, op7_jaccard_join, op8_decontamination, op9_mixing)}
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(documents(spark, sf_dir))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_pii, op2_quality_classifier, op3_substring_dedup, op4_suffix_dedup, op5_sharding, op6_quality_rules, op7_jaccard_join, op8_decontamination, op9_mixing, op10_license_scan)}
 ORACLES: dict[str, str] = {}
