@@ -6,6 +6,7 @@ import functools
 import re
 import sys
 import unicodedata
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -95,13 +96,20 @@ def _folds() -> tuple[str, str, dict[str, str]]:
     return "".join(one), "".join(to), many
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body over a value that is worked out once, however often body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def fold(text: Column) -> Column:
     """Compatibility decomposition down to ASCII, in lower case; what does not decompose to ASCII is dropped."""
     one, to, many = _folds()
     table = F.create_map(*[F.lit(x) for pair in many.items() for x in pair])
-    signs = F.transform(F.split(text, ""), lambda c: F.coalesce(F.try_element_at(table, c), c))
-    spread = F.when(text.rlike("[" + "".join(rf"\x{{{ord(c):x}}}" for c in many) + "]"), F.array_join(signs, "")).otherwise(text)
-    return F.lower(F.regexp_replace(F.translate(spread, one, to), r"[^\x00-\x7F]", ""))
+    signs = lambda t: F.array_join(F.transform(F.split(t, ""), lambda c: F.coalesce(F.try_element_at(table, c), c)), "")
+    some = "[" + "".join(rf"\x{{{ord(c):x}}}" for c in many) + "]"
+    spread = lambda t: F.when(t.rlike(some), signs(t)).otherwise(t)
+    plain = lambda t: F.when(t.rlike(r"[^\x00-\x7F]"), F.regexp_replace(F.translate(spread(t), one, to), r"[^\x00-\x7F]", "")).otherwise(t)
+    return F.lower(let(text, plain))
 
 
 def transliterate(text: Column) -> Column:
@@ -140,27 +148,33 @@ def strip_url(text: Column) -> Column:
 
 def normalize_text(text: Column) -> Column:
     """The comparable form of a name; an empty string for a null."""
-    bare = strip_url(F.coalesce(text, F.lit("")))
-    heard = transliterate(bare)
-    for pattern, word in PHONETIC:
-        heard = F.regexp_replace(heard, "(?i)" + pattern, word)
-    plain = fold(F.when(bare.rlike(r"[\x{900}-\x{D7F}]"), heard).otherwise(bare))
-    return tidy(_replace_forms(plain, LEGAL_FORMS))
+
+    def latin(bare: Column) -> Column:
+        heard = transliterate(bare)
+        for pattern, word in PHONETIC:
+            heard = F.regexp_replace(heard, "(?i)" + pattern, word)
+        return F.when(bare.rlike(r"[\x{900}-\x{D7F}]"), heard).otherwise(bare)
+
+    return tidy(_replace_forms(fold(let(strip_url(F.coalesce(text, F.lit(""))), latin)), LEGAL_FORMS))
 
 
 def compact_signature(norm: Column) -> Column:
     """Letters and digits of a normalised name without its first fitting legal ending."""
-    out = norm
-    for ending in reversed(SIGNATURE_ENDINGS):
-        out = F.when(norm.endswith(ending), F.substring(norm, 1, F.length(norm) - len(ending))).otherwise(out)
-    return F.regexp_replace(out, "[^a-z0-9]", "")
+
+    def bare(x: Column) -> Column:
+        out = x
+        for ending in reversed(SIGNATURE_ENDINGS):
+            out = F.when(x.endswith(ending), F.substring(x, 1, F.length(x) - len(ending))).otherwise(out)
+        return out
+
+    return F.regexp_replace(let(norm, bare), "[^a-z0-9]", "")
 
 
 def acronym(norm: Column) -> Column:
     """First letters of all words but the last, and the last word; empty for fewer than two words. Legal words do not count."""
     words = F.filter(F.split(norm, " "), lambda w: (w != "") & ~w.isin(*ACRONYM_STOPS))
-    initials = F.array_join(F.transform(F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))), lambda w: F.substring(w, 1, 1)), "")
-    return F.when(F.size(words) >= 2, F.concat(initials, F.element_at(words, -1))).otherwise(F.lit(""))
+    initials = lambda ws: F.array_join(F.transform(F.slice(ws, 1, F.greatest(F.size(ws) - 1, F.lit(0))), lambda w: F.substring(w, 1, 1)), "")
+    return let(words, lambda ws: F.when(F.size(ws) >= 2, F.concat(initials(ws), F.element_at(ws, -1))).otherwise(F.lit("")))
 
 
 def digits(text: Column) -> Column:
@@ -175,20 +189,28 @@ def postal_code(raw: Column) -> Column:
 
 def decompose_address(raw: Column) -> Column:
     """A struct of clean_addr, street_num, street_name, city_state and postal, all of them empty for a blank address."""
-    raw = F.coalesce(raw, F.lit(""))
-    postal = postal_code(raw)
-    norm = _replace_forms(fold(raw), ADDRESS_FORMS)
-    parts = F.filter(F.transform(F.split(norm, "[,;]+"), lambda p: F.regexp_replace(p, r"^\s+|\s+$", "")), lambda p: p != "")
-    first = F.coalesce(F.get(parts, 0), F.lit(""))
-    number = F.regexp_extract(first, STREET_NUMBER, 0)
-    after = F.regexp_replace(F.substring(first, F.length(number) + 1, F.length(first)), r"^[ \-#/,]+|[ \-#/,]+$", "")
-    tokens = F.split(first, r"\s+")
-    lead = F.get(tokens, 0).rlike(r"^\d+$")
-    street_num = F.when(number != "", number).when(lead, F.get(tokens, 0)).otherwise(F.lit(""))
-    street_name = F.when(number != "", after).when(lead, F.array_join(F.slice(tokens, 2, F.size(tokens)), " ")).otherwise(first)
-    rest = F.array_join(F.slice(parts, 2, F.greatest(F.size(parts), F.lit(1))), " ")
-    city = F.when(postal != "", F.replace(rest, postal, F.lit(""))).otherwise(rest)
-    return F.struct(tidy(norm).alias("clean_addr"), tidy(street_num).alias("street_num"), tidy(street_name).alias("street_name"), tidy(city).alias("city_state"), postal.alias("postal"))
+
+    def of(x: Column) -> Column:
+        return let(F.struct(postal_code(x).alias("postal"), _replace_forms(fold(x), ADDRESS_FORMS).alias("norm")), split)
+
+    def split(x: Column) -> Column:
+        parts = F.filter(F.transform(F.split(x["norm"], "[,;]+"), lambda p: F.regexp_replace(p, r"^\s+|\s+$", "")), lambda p: p != "")
+        return let(F.struct(x["postal"].alias("postal"), x["norm"].alias("norm"), parts.alias("parts")), number)
+
+    def number(x: Column) -> Column:
+        first = F.coalesce(F.get(x["parts"], 0), F.lit(""))
+        rest = F.array_join(F.slice(x["parts"], 2, F.greatest(F.size(x["parts"]), F.lit(1))), " ")
+        return let(F.struct(x["postal"].alias("postal"), x["norm"].alias("norm"), rest.alias("rest"), first.alias("first"), F.regexp_extract(first, STREET_NUMBER, 0).alias("number"), F.split(first, r"\s+").alias("tokens")), fields)
+
+    def fields(x: Column) -> Column:
+        lead = F.get(x["tokens"], 0).rlike(r"^\d+$")
+        after = F.regexp_replace(F.substring(x["first"], F.length(x["number"]) + 1, F.length(x["first"])), r"^[ \-#/,]+|[ \-#/,]+$", "")
+        street_num = F.when(x["number"] != "", x["number"]).when(lead, F.get(x["tokens"], 0)).otherwise(F.lit(""))
+        street_name = F.when(x["number"] != "", after).when(lead, F.array_join(F.slice(x["tokens"], 2, F.size(x["tokens"])), " ")).otherwise(x["first"])
+        city = F.when(x["postal"] != "", F.replace(x["rest"], x["postal"], F.lit(""))).otherwise(x["rest"])
+        return F.struct(tidy(x["norm"]).alias("clean_addr"), tidy(street_num).alias("street_num"), tidy(street_name).alias("street_name"), tidy(city).alias("city_state"), x["postal"].alias("postal"))
+
+    return let(F.coalesce(raw, F.lit("")), of)
 
 
 def embedding_text(prefix: str, norm_name: Column, clean_addr: Column) -> Column:

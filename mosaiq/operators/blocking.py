@@ -5,19 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from mosaiq.functions.text import let
+
 GRAM = 3
 MAX_FEATURES = 100_000
 
 
 def grams(text: Column, n: int = GRAM) -> Column:
-    """All runs of n characters, blanks included; none for a shorter text."""
-    length = F.length(text)
-    return F.when(length >= n, F.transform(F.sequence(F.lit(1), F.greatest(length - (n - 1), F.lit(1))), lambda i: F.substring(text, i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
+    """All runs of n characters, blanks included; none for a shorter text. The text is cut into characters once."""
+    runs = lambda c: F.transform(F.sequence(F.lit(0), F.size(c) - n), lambda i: F.concat(*[F.get(c, i + k) for k in range(n)]))
+    return F.when(F.length(text) >= n, let(F.split(text, ""), runs)).otherwise(F.array().cast("array<string>"))
 
 
 def counted_grams(df: DataFrame, id_col: str, text_col: str, n: int = GRAM) -> DataFrame:
-    """id, gram, tf."""
-    return df.select(F.col(id_col).alias("id"), F.explode(grams(F.col(text_col), n)).alias("gram")).groupBy("id", "gram").agg(F.count("*").cast("double").alias("tf"))
+    """id, gram, tf. Dealt out by id, which is also what the weights need."""
+    dealt = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).repartition("id")
+    return dealt.select("id", F.explode(grams(F.col("text"), n)).alias("gram")).groupBy("id", "gram").agg(F.count("*").cast("double").alias("tf"))
 
 
 def vocabulary(postings: DataFrame, n_docs: int | Column, max_features: int | None = MAX_FEATURES) -> DataFrame:
@@ -30,10 +33,13 @@ def vocabulary(postings: DataFrame, n_docs: int | Column, max_features: int | No
 
 
 def weigh(postings: DataFrame, idf: DataFrame) -> DataFrame:
-    """id, gram, w: tf * idf, of unit length for each id. Grams out of the vocabulary are left out."""
-    raw = postings.join(idf, "gram").withColumn("w", F.col("tf") * F.col("idf"))
-    norm = raw.groupBy("id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return raw.join(norm, "id").select("id", "gram", (F.col("w") / F.col("norm")).alias("w"))
+    """id, gram, w: tf * idf, of unit length for each id. Grams out of the vocabulary are left out.
+
+    The vocabulary has a bound, so it is broadcast; the grams of one id come together for their length.
+    """
+    raw = postings.join(F.broadcast(idf), "gram").withColumn("w", F.col("tf") * F.col("idf"))
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("id")))
+    return raw.withColumn("w", F.col("w") / norm).select("id", "gram", "w")
 
 
 def top_k(scored: DataFrame, k: int, query: str = "query_id", candidate: str = "candidate_id", score: str = "score") -> DataFrame:
@@ -51,6 +57,7 @@ def tfidf_candidates(queries: DataFrame, catalog: DataFrame, k: int, id_col: str
     own = counted_grams(catalog, id_col, text_col, n)
     idf = vocabulary(own, catalog.count(), max_features)
     c, q = weigh(own, idf), weigh(counted_grams(queries, id_col, text_col, n), idf)
+    # Only grams that a query has can score.
     hits = q.select(F.col("id").alias("query_id"), "gram", F.col("w").alias("wq")).join(c.select(F.col("id").alias("candidate_id"), "gram", F.col("w").alias("wc")), "gram")
     scored = hits.groupBy("query_id", "candidate_id").agg(F.round(F.sum(F.col("wq") * F.col("wc")), digits).alias("score"))
     return top_k(scored, k)

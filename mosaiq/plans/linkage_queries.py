@@ -1,10 +1,518 @@
-"""The registered linkage queries and the same results in DuckDB SQL."""
+"""The registered linkage queries and the same results in DuckDB SQL.
+
+The tables hold no businesses, so other tables stand in for them: items of `benchmark` are the clean source S1, and
+`documents` the noisy source S2, which repeats some of them; customers and suppliers are records with names and addresses.
+Every query reads its whole tables. The SQL is put together from the same fixed values as the columns, and nothing else.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from mosaiq.functions import similarity as S
+from mosaiq.functions import text as T
+from mosaiq.operators import blocking as B
+from mosaiq.operators import decide as D
+from mosaiq.operators import evaluate as E
+from mosaiq.operators import model as M
+from mosaiq.operators import pairs as P
+from mosaiq.operators import validate as V
+from mosaiq.sources import tables as R
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
+TOP_K, THRESHOLD, CUTOFF = 5, 0.5, 0.6
+
+
+def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
+    def put(f: Query) -> Query:
+        QUERIES[name] = f
+        if sql is not None:
+            ORACLES[name] = sql
+        return f
+
+    return put
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+# ---- SQL pieces ------------------------------------------------------------------------------------------------------
+def quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def sub(x: str, pattern: str, to: str = "", flags: str = "g") -> str:
+    return f"regexp_replace({x}, {quoted(pattern)}, {quoted(to)}, '{flags}')"
+
+
+def sql_tidy(x: str) -> str:
+    return f"trim({sub(sub(x, r'[^\w\s]', ' '), r'\s+', ' ')})"
+
+
+def sql_fold(x: str) -> str:
+    return f"lower({sub(f'strip_accents({x})', r'[^\x00-\x7F]')})"
+
+
+def sql_forms(x: str, forms: tuple[tuple[str, tuple[str, ...]], ...]) -> str:
+    for plain, said in forms:
+        x = sub(x, T.forms_pattern(said), plain, "gi")
+    return x
+
+
+def sql_strip_url(x: str) -> str:
+    x = sub(sub(f"coalesce({x}, '')", r"^\s+|\s+$"), T.URL_PREFIX, "", "i")
+    return sub(sub(x, T.DOMAIN_ENDING, "", "gi"), r"^[ /]+|[ /]+$")
+
+
+def sql_norm(x: str) -> str:
+    return sql_tidy(sql_forms(sql_fold(sql_strip_url(x)), T.LEGAL_FORMS))
+
+
+def sql_compact(x: str) -> str:
+    ends = " ".join(f"WHEN ends_with({x}, '{e}') THEN left({x}, length({x}) - {len(e)})" for e in T.SIGNATURE_ENDINGS)
+    return sub(f"(CASE {ends} ELSE {x} END)", "[^a-z0-9]")
+
+
+def sql_acronym(x: str) -> str:
+    stops = ", ".join(quoted(s) for s in T.ACRONYM_STOPS)
+    words = f"list_filter(string_split({x}, ' '), lambda w: w <> '' AND w NOT IN ({stops}))"
+    return f"(SELECT CASE WHEN len(w) >= 2 THEN array_to_string(list_transform(w[1:len(w) - 1], lambda v: left(v, 1)), '') || w[len(w)] ELSE '' END FROM (SELECT {words} AS w))"
+
+
+def sql_ratio_table(pairs: str, a: str, b: str, keys: str) -> str:
+    """keys and ratio = 2 LCS / (|a| + |b|), by recursion over the letters of a."""
+    return f"""
+    lcs AS (
+      SELECT {keys}, {a} AS a, {b} AS b, 0 AS i, list_transform(range(0, length({b}) + 1), lambda j: 0) AS prev FROM {pairs}
+      UNION ALL
+      SELECT {keys}, a, b, i + 1,
+        list_reduce(list_transform(range(1, length(b) + 1), lambda j: [CASE WHEN substr(a, i + 1, 1) = substr(b, j, 1) THEN prev[j] + 1 ELSE prev[j + 1] END]),
+          lambda acc, x: list_append(acc, greatest(acc[len(acc)], x[1])), [0])
+      FROM lcs WHERE i < length(a)
+    ),
+    ratios AS (
+      SELECT {keys}, CASE WHEN length(a) + length(b) = 0 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE * prev[len(prev)] / (length(a) + length(b)) END AS r
+      FROM lcs WHERE i = length(a)
+    )"""
+
+
+# ---- Normalisation ---------------------------------------------------------------------------------------------------
+@query("norm_name", f"SELECT doc_id, {sql_norm('text')} AS norm_name FROM documents")
+def norm_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", T.normalize_text(F.col("text")).alias("norm_name"))
+
+
+@query("norm_url", f"SELECT page_id, {sql_strip_url('url')} AS bare_url, {sql_norm('url')} AS norm_url FROM pages")
+def norm_url(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "pages").select("page_id", T.strip_url(F.col("url")).alias("bare_url"), T.normalize_text(F.col("url")).alias("norm_url"))
+
+
+_PART_NAME = "p_name || ' ' || (CASE WHEN p_size % 4 = 0 THEN 'Pvt. Ltd.' WHEN p_size % 4 = 1 THEN 'Inc' WHEN p_size % 4 = 2 THEN 'S.A.R.L' ELSE 'and Sons' END)"
+
+
+def _part_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "part").withColumn("norm", T.normalize_text(F.expr(_PART_NAME)))
+
+
+@query("compact_sig", f"SELECT p_partkey, norm, {sql_compact('norm')} AS compact FROM (SELECT p_partkey, {sql_norm(_PART_NAME)} AS norm FROM part)")
+def compact_sig(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _part_names(spark, sf_dir).select("p_partkey", "norm", T.compact_signature(F.col("norm")).alias("compact"))
+
+
+@query("acronym", f"SELECT p_partkey, {sql_acronym('norm')} AS acronym FROM (SELECT p_partkey, {sql_norm(_PART_NAME)} AS norm FROM part)")
+def acronym(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _part_names(spark, sf_dir).select("p_partkey", T.acronym(F.col("norm")).alias("acronym"))
+
+
+@query("digits", r"SELECT page_id, array_to_string(regexp_extract_all(url, '\d'), '') AS digits FROM pages")
+def digits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "pages").select("page_id", T.digits(F.col("url")).alias("digits"))
+
+
+@query("postal_extract", rf"SELECT doc_id, regexp_extract(text, {quoted(T.POSTAL)}) AS postal FROM documents")
+def postal_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", T.postal_code(F.col("text")).alias("postal"))
+
+
+@query("embedding_text", f"SELECT item_id, trim('query: ' || {sql_norm('text')} || ' ' || '') AS embedding_text FROM benchmark")
+def embedding_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "benchmark").select("item_id", T.embedding_text("query: ", T.normalize_text(F.col("text")), F.lit("")).alias("embedding_text"))
+
+
+#: An address for each record: some with a plot or a unit number, some without a number, abbreviations and postal codes.
+_ADDRESS = """(CASE k % 5 WHEN 0 THEN k || ' bis ' || seg || ' ave., ' || n_name || ', ' || (20000 + k) WHEN 1 THEN 'Plot No. ' || k || '-B ' || seg || ' Rd; ' || n_name
+  WHEN 2 THEN 'G-' || k || '/7, ' || seg || ' Blvd, ' || n_name || ' cedex ' || (100000 + k) WHEN 3 THEN seg || ' St, ' || n_name ELSE k || 'th ' || seg || ' Dr. Apt ' || k || ', ' || n_name END)"""
+
+
+def sql_address(raw: str, source: str, keys: str) -> str:
+    """keys and the parts of the address `raw` of source, in steps."""
+    strip = r"^[ \-#/,]+|[ \-#/,]+$"
+    return f"""
+      SELECT {keys}, {sql_tidy('norm')} AS clean_addr, {sql_tidy('street_num')} AS street_num, {sql_tidy('street_name')} AS street_name,
+        {sql_tidy("CASE WHEN postal <> '' THEN replace(rest, postal, '') ELSE rest END")} AS city_state, postal
+      FROM (SELECT *, CASE WHEN number <> '' THEN number WHEN lead THEN tokens[1] ELSE '' END AS street_num,
+          CASE WHEN number <> '' THEN {sub('substr(first, length(number) + 1)', strip)} WHEN lead THEN array_to_string(tokens[2:], ' ') ELSE first END AS street_name
+        FROM (SELECT *, coalesce(regexp_extract(first, {quoted(T.STREET_NUMBER)}), '') AS number, coalesce(regexp_matches(tokens[1], '^\\d+$'), false) AS lead
+          FROM (SELECT *, coalesce(parts[1], '') AS first, array_to_string(parts[2:], ' ') AS rest, string_split_regex(coalesce(parts[1], ''), '\\s+') AS tokens
+            FROM (SELECT *, list_filter(list_transform(string_split_regex(norm, '[,;]+'), lambda p: {sub('p', '^\\s+|\\s+$')}), lambda p: p <> '') AS parts
+              FROM (SELECT *, regexp_extract({raw}, {quoted(T.POSTAL)}) AS postal, {sql_forms(sql_fold(raw), T.ADDRESS_FORMS)} AS norm FROM ({source}))))))"""
+
+
+_CUSTOMERS = f"SELECT *, {_ADDRESS} AS address FROM (SELECT c_custkey, c_custkey AS k, c_name AS name, c_mktsegment AS seg, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey)"
+_SUPPLIERS = f"SELECT *, {_ADDRESS} AS address FROM (SELECT s_suppkey, s_suppkey AS k, s_name AS name, 'BUILDING' AS seg, n_name FROM supplier JOIN nation ON s_nationkey = n_nationkey)"
+
+
+def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    rows = table(spark, sf_dir, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    return rows.select("c_custkey", F.col("c_custkey").alias("k"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("seg"), "n_name").withColumn("address", F.expr(_ADDRESS))
+
+
+def _suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    rows = table(spark, sf_dir, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+    return rows.select("s_suppkey", F.col("s_suppkey").alias("k"), F.col("s_name").alias("name"), F.lit("BUILDING").alias("seg"), "n_name").withColumn("address", F.expr(_ADDRESS))
+
+
+def _records(df: DataFrame, prefix: str, key: str) -> DataFrame:
+    return df.select(F.concat(F.lit(prefix), F.col(key).cast("string")).alias("entity_id"), F.col("name").alias("business_name"), F.col("address").alias("business_address"), F.col("n_name").alias("country"))
+
+
+@query("addr_decompose", sql_address("address", _CUSTOMERS, "c_custkey"))
+def addr_decompose(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _customers(spark, sf_dir).select("c_custkey", T.decompose_address(F.col("address")).alias("a")).select("c_custkey", "a.*")
+
+
+@query("preprocess_records", f"SELECT c_custkey, {sql_norm('name')} AS norm_name, clean_addr AS norm_address, postal AS postal_code FROM ({sql_address('address', _CUSTOMERS, 'c_custkey, name')})")
+def preprocess_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = T.decompose_address(F.col("address"))
+    return _customers(spark, sf_dir).select("c_custkey", T.normalize_text(F.col("name")).alias("norm_name"), a.alias("a")).select("c_custkey", "norm_name", F.col("a.clean_addr").alias("norm_address"), F.col("a.postal").alias("postal_code"))
+
+
+# ---- String ratios ---------------------------------------------------------------------------------------------------
+def _part_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "part").select("p_partkey", F.lower("p_name").alias("a"), F.lower(F.concat_ws(" ", "p_type", "p_name")).alias("b"))
+
+
+_PART_PAIRS = "SELECT DISTINCT lower(p_name) AS a, lower(p_type || ' ' || p_name) AS b FROM part"
+_SORTED = "array_to_string(list_sort(list_filter(string_split({x}, ' '), lambda w: w <> '')), ' ')"
+
+
+def _ratio_sql(a: str, b: str, name: str) -> str:
+    return f"WITH RECURSIVE pairs AS (SELECT a AS pa, b AS pb, {a} AS xa, {b} AS xb FROM ({_PART_PAIRS})), {sql_ratio_table('pairs', 'xa', 'xb', 'pa, pb')} SELECT p_partkey, round(r, 9) AS {name} FROM part JOIN ratios ON lower(p_name) = pa AND lower(p_type || ' ' || p_name) = pb"
+
+
+@query("indel_ratio", _ratio_sql("a", "b", "name_ratio"))
+def indel_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _part_pairs(spark, sf_dir).select("p_partkey", F.round(S.ratio_of("ratio", F.col("a"), F.col("b")), 9).alias("name_ratio"))
+
+
+@query("token_sort_ratio", _ratio_sql(_SORTED.format(x="a"), _SORTED.format(x="b"), "token_sort_ratio"))
+def token_sort_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _part_pairs(spark, sf_dir).select("p_partkey", F.round(S.ratio_of("sort", F.col("a"), F.col("b")), 9).alias("token_sort_ratio"))
+
+
+_SETS = """pairs0 AS (SELECT DISTINCT lower(p_brand || ' ' || p_name) AS pa, lower(p_type || ' ' || p_name) AS pb FROM part),
+ sets AS (SELECT pa, pb, list_distinct(list_filter(string_split(pa, ' '), lambda w: w <> '')) AS x, list_distinct(list_filter(string_split(pb, ' '), lambda w: w <> '')) AS y FROM pairs0),
+ parts AS (SELECT pa, pb, array_to_string(list_sort(list_filter(x, lambda w: list_contains(y, w))), ' ') AS i, array_to_string(list_sort(list_filter(x, lambda w: NOT list_contains(y, w))), ' ') AS dx,
+   array_to_string(list_sort(list_filter(y, lambda w: NOT list_contains(x, w))), ' ') AS dy FROM sets),
+ pairs AS (SELECT pa, pb, 1 AS which, trim(i || ' ' || dx) AS xa, trim(i || ' ' || dy) AS xb FROM parts UNION ALL SELECT pa, pb, 2, i, trim(i || ' ' || dx) FROM parts WHERE i <> '' UNION ALL SELECT pa, pb, 3, i, trim(i || ' ' || dy) FROM parts WHERE i <> '')"""
+
+
+@query("token_set_ratio", f"WITH RECURSIVE {_SETS}, {sql_ratio_table('pairs', 'xa', 'xb', 'pa, pb, which')}, best AS (SELECT pa, pb, max(r) AS r FROM ratios GROUP BY pa, pb) SELECT p_partkey, round(CASE WHEN i <> '' AND (dx = '' OR dy = '') THEN 1.0::DOUBLE ELSE r END, 9) AS token_set_ratio FROM part JOIN best ON lower(p_brand || ' ' || p_name) = best.pa AND lower(p_type || ' ' || p_name) = best.pb JOIN parts ON parts.pa = best.pa AND parts.pb = best.pb")
+def token_set_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = table(spark, sf_dir, "part").select("p_partkey", F.lower(F.concat_ws(" ", "p_brand", "p_name")).alias("a"), F.lower(F.concat_ws(" ", "p_type", "p_name")).alias("b"))
+    return part.select("p_partkey", F.round(S.ratio_of("set", F.col("a"), F.col("b")), 9).alias("token_set_ratio"))
+
+
+@query("partial_ratio")
+def partial_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _part_pairs(spark, sf_dir).select("p_partkey", F.round(S.ratio_of("partial", F.col("a"), F.col("b")), 9).alias("partial_ratio"))
+
+
+# ---- Pair features ---------------------------------------------------------------------------------------------------
+def _record_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers and suppliers of one nation, with their normalised structs."""
+    c, s = _records(_customers(spark, sf_dir), "S1-", "c_custkey"), _records(_suppliers(spark, sf_dir), "S2-", "s_suppkey")
+    pairs = c.select(F.col("entity_id").alias("s1_id"), "country").join(s.select(F.col("entity_id").alias("cand_id"), "country"), "country").select("s1_id", "cand_id")
+    return P.attach_records(pairs, c, s)
+
+
+def _sql_records(source: str, prefix: str, key: str) -> str:
+    inner = sql_address("address", source, f"{key}, name, address, n_name")
+    return f"""SELECT '{prefix}' || {key} AS id, norm AS name, {sql_compact('norm')} AS compact, {sql_acronym('norm')} AS acronym, clean_addr, street_num, street_name, city_state,
+      array_to_string(regexp_extract_all(norm || ' ' || address, '\\d'), '') AS digits, n_name AS country FROM (SELECT *, {sql_norm('name')} AS norm FROM ({inner}))"""
+
+
+_FLAGS = """
+ CAST(a.compact <> '' AND b.compact <> '' AND (a.compact = b.compact OR (length(a.compact) >= 6 AND contains(b.compact, a.compact)) OR (length(b.compact) >= 6 AND contains(a.compact, b.compact))) AS DOUBLE) AS name_compact_match,
+ CAST((a.acronym <> '' AND a.acronym = b.compact) OR (b.acronym <> '' AND b.acronym = a.compact) AS DOUBLE) AS name_acronym_match,
+ CAST(a.clean_addr = '' OR b.clean_addr = '' AS DOUBLE) AS is_addr_missing,
+ CAST(CASE WHEN a.street_num <> '' AND b.street_num <> '' THEN CASE WHEN a.street_num = b.street_num THEN 1.0 ELSE 0.0 END ELSE 0.5 END AS DOUBLE) AS street_num_match,
+ CAST(CASE WHEN a.digits <> '' AND b.digits <> '' THEN CASE WHEN a.digits = b.digits THEN 1.0 ELSE 0.0 END WHEN a.digits = '' AND b.digits = '' THEN 1.0 ELSE 0.0 END AS DOUBLE) AS digits_match,
+ CAST(a.country <> '' AND a.country = b.country AS DOUBLE) AS country_match,
+ CAST(starts_with(b.id, 'S2-') AS DOUBLE) AS source_origin"""
+
+
+@query("flag_features", f"WITH a AS ({_sql_records(_CUSTOMERS, 'S1-', 'c_custkey')}), b AS ({_sql_records(_SUPPLIERS, 'S2-', 's_suppkey')}) SELECT a.id AS s1_id, b.id AS cand_id, {_FLAGS} FROM a JOIN b ON a.country = b.country")
+def flag_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = S.flag_columns("s1", "cand", F.col("cand_id"))
+    return _record_pairs(spark, sf_dir).select("s1_id", "cand_id", *[c.alias(n) for n, c in made.items()])
+
+
+@query("pair_features")
+def pair_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.featurize(_record_pairs(spark, sf_dir))
+
+
+@query("attr_lookup", "SELECT l_orderkey, l_linenumber, coalesce(s_name, '') AS s_name, coalesce(p_name, '') AS p_name FROM lineitem LEFT JOIN supplier ON l_suppkey = s_suppkey LEFT JOIN part ON l_partkey = p_partkey")
+def attr_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    line = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey")
+    s, p = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name"), table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    out = line.join(s, F.col("l_suppkey") == F.col("s_suppkey"), "left").join(p, F.col("l_partkey") == F.col("p_partkey"), "left")
+    return out.select("l_orderkey", "l_linenumber", F.coalesce("s_name", F.lit("")).alias("s_name"), F.coalesce("p_name", F.lit("")).alias("p_name"))
+
+
+# ---- Sources and sets ------------------------------------------------------------------------------------------------
+@query("catalog_union", "SELECT *, split_part(entity_id, '-', 1) AS source FROM (SELECT 'S2-' || c_custkey AS entity_id, c_name AS business_name FROM customer UNION ALL SELECT 'S3-' || s_suppkey, s_name FROM supplier)")
+def catalog_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s2, s3 = _records(_customers(spark, sf_dir), "S2-", "c_custkey"), _records(_suppliers(spark, sf_dir), "S3-", "s_suppkey")
+    return R.catalog(s2, s3).select("entity_id", "business_name", "source")
+
+
+@query("match_targets", "SELECT 'S2-' || c_custkey AS entity_id FROM customer UNION SELECT 'S3-' || s_suppkey FROM supplier")
+def match_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.match_targets(_records(_customers(spark, sf_dir), "S2-", "c_custkey"), _records(_suppliers(spark, sf_dir), "S3-", "s_suppkey"))
+
+
+_STRATA = "SELECT c_custkey AS id, c_mktsegment || '_' || CASE WHEN has THEN 'True' ELSE 'False' END AS stratum FROM (SELECT c_custkey, c_mktsegment, c_custkey IN (SELECT o_custkey FROM orders) AS has FROM customer)"
+
+
+@query("stratified_split", f"SELECT stratum, count(*) AS n, CAST(round(0.2 * count(*)) AS BIGINT) AS n_val FROM ({_STRATA}) GROUP BY stratum")
+def stratified_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.min("o_orderkey").cast("string").alias("matched_entity_ids"))
+    customers = table(spark, sf_dir, "customer")
+    truth = customers.join(orders, F.col("c_custkey") == F.col("o_custkey"), "left").select(F.col("c_custkey").alias("source1_entity_id"), "matched_entity_ids")
+    s1 = customers.select(F.col("c_custkey").alias("entity_id"), F.col("c_mktsegment").alias("country"))
+    return M.split_counts(M.stratified_split(M.stratify(truth, s1)))
+
+
+@query("stratum_counts", f"SELECT stratum, count(*) AS n FROM ({_STRATA}) GROUP BY stratum")
+def stratum_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stratified_split(spark, sf_dir).select("stratum", "n")
+
+
+# ---- Candidate search ------------------------------------------------------------------------------------------------
+@query("dense_topk", f"SELECT query_id, candidate_id, score, rank FROM (SELECT q.vec_id AS query_id, c.vec_id AS candidate_id, round(list_inner_product(q.embedding::DOUBLE[], c.embedding::DOUBLE[]), 9) AS score, CAST(row_number() OVER (PARTITION BY q.vec_id ORDER BY round(list_inner_product(q.embedding::DOUBLE[], c.embedding::DOUBLE[]), 9) DESC, c.vec_id) AS INTEGER) AS rank FROM embeddings q JOIN embeddings c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0 AND round(list_inner_product(q.embedding::DOUBLE[], c.embedding::DOUBLE[]), 9) >= 0.1) WHERE rank <= {TOP_K}")
+def dense_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return B.dense_candidates(vectors.where("vec_id % 100 = 0"), vectors, TOP_K, 0.1)
+
+
+def _sql_tfidf(k: int) -> str:
+    grams = lambda t, i: f"SELECT id, gram, count(*)::DOUBLE AS tf FROM (SELECT {i} AS id, unnest(list_transform(range(1, length({t}) - 1), lambda i: substr({t}, i, 3))) AS gram FROM {{}} WHERE length({t}) >= 3) GROUP BY id, gram"
+    return f"""
+    c0 AS ({grams('t', 'doc_id').format(f"(SELECT doc_id, {sql_norm('text')} AS t FROM documents)")}), q0 AS ({grams('t', 'item_id').format(f"(SELECT item_id, {sql_norm('text')} AS t FROM benchmark)")}),
+    idf AS (SELECT gram, ln((1.0::DOUBLE + (SELECT count(*) FROM documents)) / (count(*) + 1)) + 1 AS idf FROM c0 GROUP BY gram ORDER BY sum(tf) DESC, gram LIMIT {B.MAX_FEATURES}),
+    c1 AS (SELECT id, gram, tf * idf AS w FROM c0 JOIN idf USING (gram)), q1 AS (SELECT id, gram, tf * idf AS w FROM q0 JOIN idf USING (gram)),
+    cn AS (SELECT id, sqrt(sum(w * w)) AS n FROM c1 GROUP BY id), qn AS (SELECT id, sqrt(sum(w * w)) AS n FROM q1 GROUP BY id),
+    tfidf_scores AS (SELECT q1.id AS query_id, c1.id AS candidate_id, round(sum(q1.w / qn.n * (c1.w / cn.n)), 9) AS score FROM q1 JOIN qn ON q1.id = qn.id JOIN c1 ON q1.gram = c1.gram JOIN cn ON c1.id = cn.id GROUP BY q1.id, c1.id),
+    tfidf AS (SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, candidate_id) AS INTEGER) AS rank FROM tfidf_scores) WHERE rank <= {k})"""
+
+
+def _tfidf(spark: SparkSession, sf_dir: str, k: int = TOP_K) -> DataFrame:
+    queries = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("entity_id"), T.normalize_text(F.col("text")).alias("text"))
+    catalog = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("entity_id"), T.normalize_text(F.col("text")).alias("text"))
+    return B.tfidf_candidates(queries, catalog, k)
+
+
+@query("tfidf_topk", f"WITH {_sql_tfidf(TOP_K)} SELECT query_id, candidate_id, score, rank FROM tfidf")
+def tfidf_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _tfidf(spark, sf_dir)
+
+
+#: A second channel: documents whose first word is also that of the item.
+_WORD_CHANNEL = "SELECT item_id AS query_id, doc_id AS candidate_id FROM benchmark b JOIN documents d ON split_part(lower(b.text), ' ', 1) || ' ' || split_part(lower(b.text), ' ', 2) = split_part(lower(d.text), ' ', 1) || ' ' || split_part(lower(d.text), ' ', 2)"
+
+
+def _word_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    start = F.concat_ws(" ", F.split_part(F.lower("text"), F.lit(" "), F.lit(1)), F.split_part(F.lower("text"), F.lit(" "), F.lit(2)))
+    items = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), start.alias("start"))
+    return items.join(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("candidate_id"), start.alias("start")), "start").select("query_id", "candidate_id")
+
+
+@query("candidate_merge", f"WITH {_sql_tfidf(TOP_K)}, words AS ({_WORD_CHANNEL}) SELECT query_id::VARCHAR AS query_id, candidate_id::VARCHAR AS candidate_id FROM tfidf UNION SELECT query_id::VARCHAR, candidate_id::VARCHAR FROM words")
+def candidate_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return B.merge_candidates(_tfidf(spark, sf_dir), _word_channel(spark, sf_dir))
+
+
+@query("candidate_lists", f"WITH {_sql_tfidf(TOP_K)} SELECT item_id AS source1_entity_id, coalesce(string_agg(candidate_id::VARCHAR, ',' ORDER BY rank), '') AS candidate_entity_ids FROM benchmark LEFT JOIN tfidf ON item_id = query_id GROUP BY item_id")
+def candidate_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return B.candidate_lists(_tfidf(spark, sf_dir), table(spark, sf_dir, "benchmark"), "item_id")
+
+
+# ---- Pairs, truth and scores -----------------------------------------------------------------------------------------
+#: The truth: documents that hold the whole text of an item. 40 candidates so that lists are cut and sampled.
+WIDE = 40
+_TRUTH = "SELECT b.item_id AS query_id, d.doc_id AS candidate_id FROM benchmark b JOIN documents d ON contains(d.text, b.text)"
+
+
+def _truth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """s1_id and cand_id: a stated query set, the items, against all documents."""
+    items = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("s1_id"), F.col("text").alias("item"))
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("cand_id"), "text")
+    return docs.join(F.broadcast(items), F.col("text").contains(F.col("item"))).select("s1_id", "cand_id")
+
+
+def _scored(spark: SparkSession, sf_dir: str, k: int = WIDE) -> DataFrame:
+    """s1_id, cand_id, rank, p and label of the k candidates of each item; the cosine is the score."""
+    found = _tfidf(spark, sf_dir, k).select(F.col("query_id").alias("s1_id"), F.col("candidate_id").alias("cand_id"), "rank", F.col("score").alias("p"))
+    return P.label_pairs(found, _truth(spark, sf_dir))
+
+
+def _sql_scored(k: int = WIDE) -> str:
+    return f"{_sql_tfidf(k)}, truth AS ({_TRUTH}), scored AS (SELECT t.query_id AS s1_id, t.candidate_id AS cand_id, rank, score AS p, CASE WHEN truth.query_id IS NULL THEN 0 ELSE 1 END AS label FROM tfidf t LEFT JOIN truth ON t.query_id = truth.query_id AND t.candidate_id = truth.candidate_id)"
+
+
+@query("label_pairs", f"WITH {_sql_scored()} SELECT s1_id, cand_id, rank, p, label::TINYINT AS label FROM scored")
+def label_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scored(spark, sf_dir)
+
+
+@query("neg_sampling", f"WITH {_sql_scored()}, n AS (SELECT query_id, count(*) AS n FROM truth GROUP BY query_id), placed AS (SELECT *, row_number() OVER (PARTITION BY s1_id, label ORDER BY rank, cand_id) AS place FROM scored) SELECT s1_id, cand_id, rank, p, label::TINYINT AS label FROM placed LEFT JOIN n ON s1_id = query_id WHERE label = 1 OR place <= greatest({P.LEAST_NEGATIVES}, {P.NEGATIVES_PER_MATCH} * coalesce(n, 0))")
+def neg_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.sample_negatives(_scored(spark, sf_dir), _truth(spark, sf_dir))
+
+
+@query("topk_val30", f"WITH {_sql_scored()} SELECT s1_id, cand_id, rank FROM scored WHERE rank <= {P.VAL_CANDIDATES}")
+def topk_val30(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.truncate_candidates(_scored(spark, sf_dir)).select("s1_id", "cand_id", "rank")
+
+
+@query("val_flags", f"WITH {_sql_scored()} SELECT s1_id, cand_id, s1_id IN (SELECT query_id FROM truth) AS is_val FROM scored")
+def val_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.flag_validation(_scored(spark, sf_dir), _truth(spark, sf_dir)).select("s1_id", "cand_id", "is_val")
+
+
+def _entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = _truth(spark, sf_dir).groupBy("s1_id").agg(F.count("*").alias("n_true"))
+    return table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("s1_id")).join(n, "s1_id", "left").select("s1_id", F.coalesce("n_true", F.lit(0)).alias("n_true"))
+
+
+_ENTITIES = "entities AS (SELECT item_id AS s1_id, count(query_id) AS n_true FROM benchmark LEFT JOIN truth ON item_id = query_id GROUP BY item_id)"
+_F05 = "CASE WHEN n_true = 0 THEN CASE WHEN n_pred = 0 THEN 1.0 ELSE 0.0 END WHEN n_pred = 0 OR tp = 0 THEN 0.0 ELSE 1.25 * (tp::DOUBLE / n_pred) * (tp::DOUBLE / n_true) / (0.25 * (tp::DOUBLE / n_pred) + tp::DOUBLE / n_true) END"
+
+
+@query("threshold_scan", f"WITH {_sql_scored()}, {_ENTITIES}, grid AS (SELECT i / 100.0::DOUBLE AS threshold FROM range(50, 98) r(i)), counts AS (SELECT threshold, e.s1_id, n_true, count(s.cand_id) AS n_pred, coalesce(sum(label), 0) AS tp FROM grid CROSS JOIN entities e LEFT JOIN scored s ON s.s1_id = e.s1_id AND p >= threshold GROUP BY threshold, e.s1_id, n_true) SELECT threshold, round(avg({_F05})::DOUBLE, 9) AS macro_f05, count(*) FILTER (n_pred > 0) AS n_pred_entities, count(*) FILTER (n_pred = 0 AND n_true = 0) AS n_kept_singletons FROM counts GROUP BY threshold")
+def threshold_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return E.scan_thresholds(_scored(spark, sf_dir), _entities(spark, sf_dir))
+
+
+@query("best_threshold", f"WITH {_sql_scored()}, {_ENTITIES}, grid AS (SELECT i / 100.0::DOUBLE AS threshold FROM range(50, 98) r(i)), counts AS (SELECT threshold, e.s1_id, n_true, count(s.cand_id) AS n_pred, coalesce(sum(label), 0) AS tp FROM grid CROSS JOIN entities e LEFT JOIN scored s ON s.s1_id = e.s1_id AND p >= threshold GROUP BY threshold, e.s1_id, n_true) SELECT threshold, round(avg({_F05})::DOUBLE, 9) AS macro_f05, count(*) FILTER (n_pred > 0) AS n_pred_entities, count(*) FILTER (n_pred = 0 AND n_true = 0) AS n_kept_singletons FROM counts GROUP BY threshold ORDER BY 2 DESC, 1 LIMIT 1")
+def best_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return E.best_threshold(threshold_scan(spark, sf_dir))
+
+
+@query("singleton_guard", f"WITH {_sql_scored()}, best AS (SELECT s1_id, max(p) AS best FROM scored GROUP BY s1_id) SELECT s1_id, cand_id, p, rank FROM scored JOIN best USING (s1_id) WHERE best >= {CUTOFF} AND p >= {THRESHOLD}")
+def singleton_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D.decide(_scored(spark, sf_dir), THRESHOLD, CUTOFF)
+
+
+def _lists(df: DataFrame, name: str) -> DataFrame:
+    return df.groupBy("s1_id").agg(F.collect_set(F.col("cand_id").cast("string")).alias(name))
+
+
+@query("macro_f05", f"WITH {_sql_scored()}, {_ENTITIES}, counts AS (SELECT e.s1_id, n_true, count(s.cand_id) AS n_pred, coalesce(sum(label), 0) AS tp FROM entities e LEFT JOIN scored s ON s.s1_id = e.s1_id AND p >= {THRESHOLD} GROUP BY e.s1_id, n_true) SELECT round(avg({_F05})::DOUBLE, 9) AS macro_f05, count(*) AS entities FROM counts")
+def macro_f05(spark: SparkSession, sf_dir: str) -> DataFrame:
+    truth = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("s1_id")).join(_lists(_truth(spark, sf_dir), "true_ids"), "s1_id", "left").withColumn("true_ids", F.coalesce("true_ids", F.array().cast("array<string>")))
+    return E.macro_f05(truth, _lists(D.decide(_scored(spark, sf_dir), THRESHOLD), "pred_ids"))
+
+
+@query("blocking_recall", f"WITH {_sql_scored()} SELECT (SELECT count(*) FROM truth) AS n_true, sum(label)::BIGINT AS n_found, round(sum(label)::DOUBLE / (SELECT count(*) FROM truth), 9) AS recall FROM scored")
+def blocking_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return E.blocking_recall(_truth(spark, sf_dir), _scored(spark, sf_dir))
+
+
+@query("match_output", f"WITH {_sql_scored(TOP_K)}, best AS (SELECT s1_id, max(p) AS best FROM scored GROUP BY s1_id), kept AS (SELECT s1_id, cand_id, rank FROM scored JOIN best USING (s1_id) WHERE best >= {CUTOFF} AND p >= {THRESHOLD}) SELECT item_id AS source1_entity_id, coalesce(string_agg('S2-' || cand_id, ',' ORDER BY rank), '') AS matched_entity_ids FROM benchmark LEFT JOIN kept ON item_id = s1_id GROUP BY item_id")
+def match_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    matches = D.decide(_scored(spark, sf_dir, TOP_K), THRESHOLD, CUTOFF).withColumn("cand_id", F.concat(F.lit("S2-"), F.col("cand_id").cast("string")))
+    return D.match_rows(table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("entity_id")), matches)
+
+
+@query("ensemble_scores", f"WITH {_sql_scored()} SELECT s1_id, cand_id, round(0.5 * p + 0.5 * (1.0::DOUBLE / rank), 6) AS p FROM scored")
+def ensemble_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scored(spark, sf_dir).select("s1_id", "cand_id", F.round(D.ensemble(F.col("p"), F.lit(1.0) / F.col("rank")), 6).alias("p"))
+
+
+# ---- Validation ------------------------------------------------------------------------------------------------------
+#: Lists of suppliers by order, with defects: rows twice, ids twice, ids of the wrong source, a last comma, empty lists.
+_DEFECTS = "CASE o_orderkey % 11 WHEN 1 THEN ids || ',' || split_part(ids, ',', 1) WHEN 2 THEN ids || ',S1-' || o_orderkey WHEN 3 THEN ids || ',' WHEN 4 THEN '' WHEN 5 THEN ids || ',X9-' || o_orderkey WHEN 6 THEN ids || ',S3-' || o_orderkey ELSE ids END"
+_LISTS = f"""base AS (SELECT o_orderkey, string_agg(DISTINCT 'S2-' || l_suppkey, ',' ORDER BY 'S2-' || l_suppkey) AS ids FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_orderkey),
+ lists0 AS (SELECT 'S1-' || CASE WHEN o_orderkey % 13 = 0 THEN o_orderkey + 1000000000 ELSE o_orderkey END AS s1_id, {_DEFECTS} AS ids_text, o_orderkey FROM base),
+ lists AS (SELECT s1_id, ids_text FROM lists0 UNION ALL SELECT s1_id, ids_text FROM lists0 WHERE o_orderkey % 17 = 0),
+ raw AS (SELECT s1_id, CASE WHEN trim(ids_text) = '' THEN []::VARCHAR[] ELSE string_split(ids_text, ',') END AS ids FROM lists), ids AS (SELECT s1_id, unnest(ids) AS id FROM raw), need AS (SELECT 'S1-' || o_orderkey AS s1_id FROM orders)"""
+
+
+def _order_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", F.concat(F.lit("S2-"), F.col("l_suppkey").cast("string")).alias("id"))
+    base = table(spark, sf_dir, "orders").select("o_orderkey").join(lines, F.col("o_orderkey") == F.col("l_orderkey")).groupBy("o_orderkey").agg(F.array_join(F.array_sort(F.collect_set("id")), ",").alias("ids"))
+    lists = base.select(F.concat(F.lit("S1-"), F.expr("CASE WHEN o_orderkey % 13 = 0 THEN o_orderkey + 1000000000 ELSE o_orderkey END").cast("string")).alias("s1_id"), F.expr(_DEFECTS).alias("ids_text"), "o_orderkey")
+    return lists.unionByName(lists.where("o_orderkey % 17 = 0")).select("s1_id", "ids_text")
+
+
+def _required(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").select(F.concat(F.lit("S1-"), F.col("o_orderkey").cast("string")).alias("s1_id"))
+
+
+def _sql_finding(rule: str, offenders: str) -> str:
+    return f"SELECT '{V.RULES[rule]}' AS severity, '{rule}' AS rule, count(*) AS n, array_to_string(list_sort(list(x))[1:{V.EXAMPLES}], ',') AS examples FROM (SELECT DISTINCT x FROM ({offenders}) o(x)) HAVING count(*) > 0"
+
+
+@query("validator_findings", f"WITH {_LISTS} " + " UNION ALL ".join([
+    _sql_finding("duplicate_row", "SELECT s1_id FROM raw GROUP BY s1_id HAVING count(*) > 1"),
+    _sql_finding("duplicate_id", "SELECT s1_id FROM raw WHERE len(ids) <> len(list_distinct(ids))"),
+    _sql_finding("self_match", "SELECT id FROM ids WHERE starts_with(id, 'S1-')"),
+    _sql_finding("wrong_prefix", "SELECT id FROM ids WHERE NOT regexp_matches(id, '^S[123]-')"),
+    _sql_finding("missing_s1", "SELECT s1_id FROM need EXCEPT SELECT s1_id FROM raw"),
+    _sql_finding("unexpected_s1", "SELECT s1_id FROM raw EXCEPT SELECT s1_id FROM need"),
+    _sql_finding("unknown_id", "SELECT id FROM ids WHERE (starts_with(id, 'S2-') OR starts_with(id, 'S3-')) AND id NOT IN (SELECT 'S2-' || s_suppkey FROM supplier)"),
+]))
+def validator_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    valid = table(spark, sf_dir, "supplier").select(F.concat(F.lit("S2-"), F.col("s_suppkey").cast("string")).alias("entity_id"))
+    return V.check_lists(_order_lists(spark, sf_dir), _required(spark, sf_dir), valid)
+
+
+@query("validator_counts", f"WITH {_LISTS} SELECT count(*) AS n_rows, count(*) FILTER (len(ids) = 0) AS n_empty, count(*) FILTER (len(ids) > 0) AS n_non_empty FROM raw")
+def validator_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return V.list_counts(_order_lists(spark, sf_dir))
+
+
+@query("validator_subset", f"WITH {_LISTS}, candidates AS (SELECT 'S1-' || l_orderkey AS s1_id, 'S2-' || l_suppkey AS id FROM lineitem WHERE l_linenumber <> 3) {_sql_finding('not_in_candidates', 'SELECT s1_id FROM (SELECT s1_id, id FROM ids EXCEPT SELECT s1_id, id FROM candidates)')}")
+def validator_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem").where("l_linenumber <> 3")
+    candidates = lines.groupBy("l_orderkey").agg(F.array_join(F.collect_set(F.concat(F.lit("S2-"), F.col("l_suppkey").cast("string"))), ",").alias("ids_text"))
+    return V.check_subset(_order_lists(spark, sf_dir), candidates.select(F.concat(F.lit("S1-"), F.col("l_orderkey").cast("string")).alias("s1_id"), "ids_text"))
+
+
+# ---- Models ----------------------------------------------------------------------------------------------------------
+def _quality_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled documents with numbers about their texts: a stand-in for a feature table, with as many rows as labels."""
+    n = lambda p: F.regexp_count("text", F.lit(p)).cast("double")
+    docs = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id")
+    made = [F.col("n_chars").cast("double").alias("f0"), *[(n(p) / F.greatest(F.col("n_chars"), F.lit(1))).alias(f"f{i}") for i, p in enumerate((r"[A-Z]", r"[0-9]", r"[#*$%&]", r"!", r"\n", r"\|", r"\S+"), 1)]]
+    return docs.select("doc_id", *made, F.col("quality").cast("int").alias("label"))
+
+
+@query("ml_score")
+def ml_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _quality_features(spark, sf_dir)
+    held = F.pmod(F.xxhash64("doc_id"), F.lit(5)) == 0
+    boosters = M.Boosters(rounds=8, features=tuple(f"f{i}" for i in range(8))).fit(rows.where(~held))
+    return boosters.score(rows).select("doc_id", "label", held.alias("held_out"), F.round("p_lgbm", 6).alias("p_lgbm"), F.round("p_xgboost", 6).alias("p_xgboost"), F.round("p", 6).alias("p"))
+
