@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mosaiq.llm import windows as W
@@ -29,8 +29,10 @@ SAMPLE = 20_000
 COMMON = 5
 #: Up to this many ids are broadcast; beyond it Spark joins by shuffling.
 BROADCAST_IDS = 2_000_000
-#: Members of a slot's group of which all pairs are taken at once; of larger groups so many are compared with all in a round.
-GROUP = 64
+#: So many members of a slot's group are compared with the others in one round.
+GROUP = 4096
+#: Bits of the sketch that rules pairs out before their texts are fetched.
+SKETCH_BITS = 1024
 _BAND_BITS, _ALONE = 2, 64
 _SLOT = np.uint64(0xA24BAED4963EE407)
 
@@ -89,17 +91,27 @@ def slot_keys(shingles: np.ndarray, common: np.ndarray, percent: int = PERCENT)
         band += 1
 
 
+def fingerprints(sets: list[np.ndarray]) -> list[pa.Array]:
+    """For each set its size, 128 bits that name it, and its parity sketch: of SKETCH_BITS bits each shingle toggles one."""
+    p = np.array([s.sum(dtype=np.uint64) for s in sets], np.uint64)
+    q = np.array([np.bitwise_xor.reduce(W.mix(s ^ _SLOT)) if len(s) else 0 for s in sets], np.uint64)
+    bits = np.zeros((len(sets), SKETCH_BITS), np.uint8)
+    for row, s in zip(bits, sets, strict=True):
+        row[:] = np.bincount((s >> np.uint64(17)) % np.uint64(SKETCH_BITS), minlength=SKETCH_BITS) & 1
+    words = np.packbits(bits, axis=1).view(np.int64).ravel()
+    sketch = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * (SKETCH_BITS // 64)), pa.array(words))
+    return [pa.array([len(s) for s in sets], pa.int64()), pa.array(p.view(np.int64)), pa.array(q.view(np.int64)), sketch]
+
+
 def _sets_table(docs: DataFrame) -> DataFrame:
-    """doc_id, n and a 128-bit fingerprint (p, q) of each row's set."""
+    """doc_id, and the fingerprints n, p, q, sketch of each row's set."""
 
     def per_slice(batch: pa.RecordBatch):
-        sets = shingle_sets(W.bytes_of(batch.column(1)))
-        p = np.array([s.sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)
-        q = np.array([np.bitwise_xor.reduce(W.mix(s ^ _SLOT)) if len(s) else 0 for s in sets], np.uint64).view(np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(p), pa.array(q)], names=["doc_id", "n", "p", "q"])
+        found = fingerprints(shingle_sets(W.bytes_of(batch.column(1))))
+        yield pa.RecordBatch.from_arrays([batch.column(0), *found], names=["doc_id", "n", "p", "q", "sketch"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return arrow_map(docs.select("doc_id", text_of(docs).alias("text")), per_slice, f"doc_id {kind}, n long, p long, q long", SLICE)
+    return arrow_map(docs.select("doc_id", text_of(docs).alias("text")), per_slice, f"doc_id {kind}, n long, p long, q long, sketch array<bigint>", SLICE)
 
 
 def _common_shingles(texts: DataFrame, n_texts: int) -> np.ndarray:
@@ -148,29 +160,56 @@ def _groups(texts: DataFrame, common) -> DataFrame:
     return keys.repartition("key").sortWithinPartitions("key", "node").mapInArrow(run, "key long, leader long, node long")
 
 
-def _verified(texts: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+def _near(percent: int) -> Column:
+    """What sizes and sketches do not rule out: sketches differ in no more bits than the sets in shingles. Over nu, nv, su, sv."""
+    apart = F.aggregate(F.zip_with("su", "sv", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda a, x: a + x)
+    sizes = 100 * F.least("nu", "nv") >= percent * F.greatest("nu", "nv")
+    return F.when(sizes, apart * (100 + percent) <= (F.col("nu") + F.col("nv")) * (100 - percent)).otherwise(F.lit(False))
+
+
+def _possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (u, v) that may be links."""
+    of = lambda side: classes.select(F.col("node").alias(side), F.col("n").alias(f"n{side}"), F.col("sketch").alias(f"s{side}"))
+    return pairs.join(of("u"), "u").join(of("v"), "v").where(_near(percent)).select("u", "v")
+
+
+def _pool(texts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """node, size and packed text of all nodes of the pairs. Texts are packed before they move."""
+
+    def pack(batch: pa.RecordBatch):
+        packed = [pa.compress(t.encode(), codec="zstd", asbytes=True) for t in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(t.encode()) for t in batch.column(1).to_pylist()], pa.int64()), pa.array(packed, pa.binary())], names=["node", "size", "packed"])
+
+    nodes = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    return arrow_map(texts.select("node", "text"), pack, "node long, size long, packed binary", SLICE).join(nodes, "node", "left_semi")
+
+
+def _unpacked(batch: pa.RecordBatch):
+    """The rows of a batch (u, part, node, size, packed) with their sets, so many at once as SLICE bytes of text."""
+    rows = [*zip(*(c.to_pylist() for c in batch.columns), strict=True)]
+    at = 0
+    while at < len(rows):
+        end, size = at, 0
+        while end < len(rows) and (end == at or size + rows[end][3] <= SLICE):
+            size += rows[end][3]
+            end += 1
+        texts = [pa.decompress(r[4], r[3], codec="zstd", asbytes=True) for r in rows[at:end]]
+        for row, found in zip(rows[at:end], shingle_sets(W.bytes_of(pa.array(texts, pa.binary()))), strict=True):
+            yield *row[:3], found
+        at = end
+
+
+def _verified(pool: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """The links (u, v) among the pairs (u, v). Members go to their leader u, in parts of bounded size that each get the leader too."""
-    counts = pairs.groupBy("u").agg(F.count("*").alias("n")).select("u", F.ceil(F.col("n") / 256).cast("int").alias("parts"))
-    parted = pairs.join(counts, "u").select("u", F.col("v").alias("node"), F.pmod(F.xxhash64("v"), F.col("parts")).cast("int").alias("part"))
-    leaders = counts.select("u", F.col("u").alias("node"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    to = parted.unionByName(leaders).groupBy("node").agg(F.collect_list(F.struct("u", "part")).alias("to"))
-
-    def send(batch: pa.RecordBatch):
-        out = [[], [], [], []]
-        for node, text, where in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            packed = pa.compress(text.encode(), codec="zstd", asbytes=True)
-            for x in where:
-                for column, value in zip(out, (x["u"], x["part"], node, len(text.encode()).to_bytes(8, "big") + packed), strict=True):
-                    column.append(value)
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int32(), pa.int64(), pa.binary()), strict=True)], names=["u", "part", "node", "packed"])
+    counts = cut(pairs.groupBy("u").agg(F.ceil(F.count("*") / 256).cast("int").alias("parts")))
+    parted = pairs.join(counts, "u").select("u", F.pmod(F.xxhash64("v"), F.col("parts")).cast("int").alias("part"), F.col("v").alias("node"))
+    leaders = counts.select("u", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("u").alias("node"))
 
     def verify(batches):
         at, own = None, None
         for batch in batches:
             us, vs = [], []
-            for u, part, node, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                text = pa.decompress(packed[8:], int.from_bytes(packed[:8], "big"), codec="zstd", asbytes=True) if packed[:8].strip(b"\0") else b""
-                (found,) = shingle_sets(W.bytes_of(pa.array([text], pa.binary())))
+            for u, part, node, found in _unpacked(batch):
                 if (u, part) != at:  # the leader comes first
                     at, own = (u, part), found
                 elif linked(own, found, percent):
@@ -178,18 +217,11 @@ def _verified(texts: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
                     vs.append(node)
             yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
 
-    sent = arrow_map(texts.join(to, "node").select("node", "text", "to"), send, "u long, part int, node long, packed binary", SLICE)
+    sent = parted.unionByName(leaders).join(pool, "node").select("u", "part", "node", "size", "packed")
     first = F.when(F.col("node") == F.col("u"), 0).otherwise(1)
     return sent.repartition("u", "part").sortWithinPartitions("u", "part", first, "node").mapInArrow(verify, "u long, v long")
 
 
-def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The pairs (u, v) of which no chain of links is known yet."""
-    of = lambda side: labels.select(F.col("node").alias(side), F.col("label").alias(f"l{side}"))
-    known = pairs.join(of("u"), "u", "left").join(of("v"), "v", "left")
-    return known.where(F.coalesce("lu", "u") != F.coalesce("lv", "v")).select("u", "v")
-
-
 def join_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id: one row per input row.
 
@@ -203,70 +235,69 @@ def join_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """
     sets = cut(_sets_table(docs))
     once = sets.groupBy("doc_id").agg(F.count("*").alias("c")).where("c > 1 OR doc_id IS NULL").limit(1).count() == 0
-    classes = sets.where("n > 0").groupBy("p", "q", "n").agg(F.min("doc_id").cast("long").alias("least"))
+    classes = sets.where("n > 0").groupBy("p", "q", "n").agg(F.min("doc_id").cast("long").alias("least"), F.first("sketch").alias("sketch"))
     classes = cut(classes.withColumn("node", F.col("least") if once else F.xxhash64("p", "q", "n")))
     texts = _node_texts(docs, sets, classes, once)
-    n_nodes = classes.count()
-    common = docs.sparkSession.sparkContext.broadcast(_common_shingles(texts, n_nodes))
-    met = cut(_groups(texts, common).where("leader <> node").groupBy("leader", "node").agg(F.count("*").alias("w")))
-    # Most of what meets is linked by the pair with most slots in common; the other pairs matter only where that fails.
-    best = met.groupBy("node").agg(F.max_by("leader", F.struct("w", -F.col("leader"))).alias("u")).select("u", F.col("node").alias("v"))
-    links = cut(_verified(texts, best, percent))
-    labels = cut(components(links))
-    pairs = met.select(F.col("leader").alias("u"), F.col("node").alias("v"))
-    rest = cut(_apart(pairs, labels).join(best, ["u", "v"], "left_anti"))
-    if rest.limit(1).count():
-        links = cut(links.unionByName(_verified(texts, rest, percent)))
-        labels = cut(components(links))
-    # A slot's members were compared with their leader. Where that left several components, compare across them as well.
-    apart = cut(_apart(pairs, labels))
-    if apart.limit(1).count():
-        links, labels = _across(texts, common, pairs, apart, links, labels, percent)
+    common = docs.sparkSession.sparkContext.broadcast(_common_shingles(texts, classes.count()))
+    groups = cut(_groups(texts, common))
+    links, labels = _links(texts, groups, classes, percent)
     return _result(sets, classes, labels, once)
 
 
 def _node_texts(docs: DataFrame, sets: DataFrame, classes: DataFrame, once: bool) -> DataFrame:
     """node and text, one row for each class of equal sets."""
     if once:
-        others = sets.select("doc_id", "p", "q", "n").join(classes, ["p", "q", "n"], "left").where("least IS NULL OR doc_id <> least").select("doc_id")
+        others = sets.select("doc_id", "p", "q", "n").join(classes.select("p", "q", "n", "least"), ["p", "q", "n"], "left").where("least IS NULL OR doc_id <> least").select("doc_id")
         others = cut(others)
         others = F.broadcast(others) if others.count() <= BROADCAST_IDS else others
         return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(docs).alias("text")).join(others, "doc_id", "left_anti").select(F.col("doc_id").alias("node"), "text")
 
     def per_slice(batch: pa.RecordBatch):
-        found = shingle_sets(W.bytes_of(batch.column(0)))
-        p = np.array([s.sum(dtype=np.uint64) for s in found], np.uint64).view(np.int64)
-        q = np.array([np.bitwise_xor.reduce(W.mix(s ^ _SLOT)) if len(s) else 0 for s in found], np.uint64).view(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(p), pa.array(q), pa.array([len(s) for s in found], pa.int64()), batch.column(0)], names=["p", "q", "n", "text"])
+        n, p, q, _ = fingerprints(shingle_sets(W.bytes_of(batch.column(0))))
+        yield pa.RecordBatch.from_arrays([p, q, n, batch.column(0)], names=["p", "q", "n", "text"])
 
     keyed = arrow_map(docs.select(text_of(docs).alias("text")), per_slice, "p long, q long, n long, text string", SLICE)
     return cut(keyed.where("n > 0").select(F.xxhash64("p", "q", "n").alias("node"), "text").dropDuplicates(["node"]))
 
 
-def _across(texts: DataFrame, common, pairs: DataFrame, apart: DataFrame, links: DataFrame, labels: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Links between components whose members share a slot, but not with its leader.
+def _links(texts: DataFrame, groups: DataFrame, classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """All that the groups (key, leader, node) of the slots link, and the components' labels.
 
-    Only the slots of stars that have members apart are formed again. Small groups give all pairs across components; of
-    larger ones GROUP members a round are compared with all others that are still apart, until each has been.
+    First each member is compared with the group's leader: a row for each member, however large the group. That leaves
+    groups whose members are in several components. Of each set of members one group then compares those outside its
+    largest component with all members of other components, GROUP of them a round, until each has had its turn; sizes and
+    sketches are looked at within the join, so that only what may be a link becomes a row.
     """
-    stars = apart.select("u").distinct()
-    inside = pairs.join(stars, "u").select(F.explode(F.array("u", "v")).alias("node")).distinct()
-    groups = _groups(texts.join(inside, "node", "left_semi"), common).select("key", "node")
-    number = F.row_number().over(Window.partitionBy("key").orderBy("node"))
-    groups = cut(groups.withColumn("i", number))
-    done = 0
-    while True:
-        named = groups.join(labels, "node", "left").select("key", "node", "i", F.coalesce("label", "node").alias("label"))
-        open_ = named.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.max("i").alias("size")).where((F.col("a") != F.col("b")) & (F.col("size") > done))
-        turn = named.join(open_.select("key"), "key").where((F.col("i") > done) & (F.col("i") <= done + GROUP)).select("key", F.col("node").alias("u"), F.col("label").alias("lu"), F.col("i").alias("iu"))
-        found = named.join(turn, "key").where("i > iu AND label <> lu").select("u", F.col("node").alias("v")).distinct()
-        found = cut(found.join(pairs, ["u", "v"], "left_anti"))
-        if found.limit(1).count():
-            links = cut(links.unionByName(_verified(texts, found, percent)))
+    links, labels = None, None
+
+    def add(pairs: DataFrame) -> None:
+        nonlocal links, labels
+        pairs = cut(pairs)
+        new = cut(_verified(cut(_pool(texts, pairs)), pairs, percent)) if links is None or pairs.limit(1).count() else None
+        if links is None or new is not None and new.limit(1).count():
+            links = new if links is None else cut(links.unionByName(new))
             labels = cut(components(links))
-        done += GROUP
-        if not open_.where(F.col("size") > done).limit(1).count():
-            return links, labels
+
+    add(_possible(groups.where("leader <> node").select(F.col("leader").alias("u"), F.col("node").alias("v")).distinct(), classes, percent))
+    labelled = lambda df: df.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    named = cut(labelled(groups.select("key", "node")))
+    by_key = named.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.count("*").alias("size"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("sum"))
+    # Two members were compared already, one of them being the leader.
+    open_ = cut(by_key.where("a <> b AND size > 2").groupBy("size", "sum").agg(F.min("key").alias("key")).select("key"))
+    inside = cut(named.join(open_, "key"))
+    main = inside.groupBy("key", "label").agg(F.count("*").alias("c")).groupBy("key").agg(F.max_by("label", F.struct("c", "label")).alias("main"))
+    turns = Window.partitionBy("key").orderBy("node")
+    outer = cut(inside.join(main, "key").where("label <> main").select("key", "node", F.row_number().over(turns).alias("turn")))
+    last = outer.agg(F.max("turn")).first()[0] or 0
+    described = classes.select("node", "n", "sketch")
+    for done in range(0, last, GROUP):
+        now = labelled(inside.select("key", "node")).join(described, "node")
+        turn = labelled(outer.where((F.col("turn") > done) & (F.col("turn") <= done + GROUP)).select("key", "node")).join(described, "node")
+        turn = turn.select("key", F.col("node").alias("u"), F.col("label").alias("lu"), F.col("n").alias("nu"), F.col("sketch").alias("su"))
+        now = now.select(F.col("key").alias("k"), F.col("node").alias("v"), F.col("label").alias("lv"), F.col("n").alias("nv"), F.col("sketch").alias("sv"))
+        met = turn.join(now, (F.col("key") == F.col("k")) & (F.col("lu") != F.col("lv")) & _near(percent))
+        add(met.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
+    return links, labels
 
 
 def _result(sets: DataFrame, classes: DataFrame, labels: DataFrame, once: bool) -> DataFrame:
