@@ -92,14 +92,17 @@ def slot_keys(shingles: np.ndarray, common: np.ndarray, percent: int = PERCENT)
 
 
 def fingerprints(sets: list[np.ndarray]) -> list[pa.Array]:
-    """For each set its size, 128 bits that name it, and its parity sketch: of SKETCH_BITS bits each shingle toggles one."""
+    """For each set its size, 128 bits that name it, and its parity sketch, of whose bits each shingle toggles one.
+
+    A sketch has SKETCH_BITS, doubled until there is a bit for each shingle. Its halves laid on each other by XOR are the
+    sketch of half the length, so sets of different lengths compare.
+    """
     p = np.array([s.sum(dtype=np.uint64) for s in sets], np.uint64)
     q = np.array([np.bitwise_xor.reduce(W.mix(s ^ _SLOT)) if len(s) else 0 for s in sets], np.uint64)
-    bits = np.zeros((len(sets), SKETCH_BITS), np.uint8)
-    for row, s in zip(bits, sets, strict=True):
-        row[:] = np.bincount((s >> np.uint64(17)) % np.uint64(SKETCH_BITS), minlength=SKETCH_BITS) & 1
-    words = np.packbits(bits, axis=1).view(np.int64).ravel()
-    sketch = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * (SKETCH_BITS // 64)), pa.array(words))
+    length = [SKETCH_BITS << max(0, (len(s) - 1) // SKETCH_BITS).bit_length() for s in sets]
+    bits = [np.bincount((s >> np.uint64(17)) % np.uint64(m), minlength=m).astype(np.uint8) & 1 for s, m in zip(sets, length, strict=True)]
+    words = np.packbits(np.concatenate(bits)).view(np.int64) if bits else np.zeros(0, np.int64)
+    sketch = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(length)]) // 64, pa.int32()), pa.array(words))
     return [pa.array([len(s) for s in sets], pa.int64()), pa.array(p.view(np.int64)), pa.array(q.view(np.int64)), sketch]
 
 
@@ -161,10 +164,18 @@ def _groups(texts: DataFrame, common) -> DataFrame:
 
 
 def _near(percent: int) -> Column:
-    """What sizes and sketches do not rule out: sketches differ in no more bits than the sets in shingles. Over nu, nv, su, sv."""
-    apart = F.aggregate(F.zip_with("su", "sv", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda a, x: a + x)
+    """What sizes and sketches do not rule out: sketches differ in no more bits than the sets in shingles. Over nu, nv, su, sv.
+
+    Sets of near sizes have sketches of one length, or one is twice as long and is folded.
+    """
+    xor = lambda a, b: a.bitwiseXOR(b)
+    short = F.least(F.size("su"), F.size("sv"))
+    fold = lambda s: F.when(F.size(s) > short, F.zip_with(F.slice(s, 1, short), F.slice(s, short + 1, short), xor)).otherwise(F.col(s))
+    apart = F.aggregate(F.zip_with(fold("su"), fold("sv"), lambda a, b: F.bit_count(xor(a, b))), F.lit(0), lambda a, x: a + x)
     sizes = 100 * F.least("nu", "nv") >= percent * F.greatest("nu", "nv")
-    return F.when(sizes, apart * (100 + percent) <= (F.col("nu") + F.col("nv")) * (100 - percent)).otherwise(F.lit(False))
+    # With a percent below 50 lengths can differ more; then only sizes rule out.
+    comparable = F.greatest(F.size("su"), F.size("sv")) <= 2 * short
+    return F.when(~sizes, F.lit(False)).when(comparable, apart * (100 + percent) <= (F.col("nu") + F.col("nv")) * (100 - percent)).otherwise(F.lit(True))
 
 
 def _possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
