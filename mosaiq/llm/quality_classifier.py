@@ -124,7 +124,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
     got = arrow_map(rows.select("text", "quality"), per_slice, "x array<double>, y int").collect()
     got.sort(key=lambda r: (r["x"], r["y"]))
-    return fit(np.array([r["x"] for r in got], dtype=float).reshape(len(got), -1), np.array([r["y"] for r in got], dtype=int))
+    return fit(np.array([r["x"] for r in got], dtype=float).reshape(len(got), len(FEATURES)), np.array([r["y"] for r in got], dtype=int))
 
 
 def score_documents(docs: DataFrame, model: Model) -> DataFrame:

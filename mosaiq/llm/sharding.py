@@ -80,7 +80,7 @@ def shard_documents(docs: DataFrame, n_shards: int = 16, law: str = "rows", slac
     """doc_id, size, text_crc32, law, shard, slot, grown_shard: one row per input row.
 
     `law`: `rows` bounds the rows of a shard by (1 + slack) times the mean, and with no slack counts differ by one at most;
-    `bytes` bounds the bytes likewise, but for the last row of a shard; `key` sets no bound: doc_id and the number of shards
+    `bytes` bounds the bytes likewise, but for the row that crosses the end of a piece of the ring; `key` sets no bound: doc_id and the number of shards
     decide, and grown_shard is the shard with one more. Only then is grown_shard not null.
 
     A row's place on the ring is a hash of doc_id, and under the bounded laws of its size and text checksum too, so that
