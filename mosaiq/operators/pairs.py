@@ -47,6 +47,11 @@ def sample_negatives(pairs: DataFrame, links: DataFrame, least: int = LEAST_NEGA
     return pairs.withColumn("place", place).join(n_true, "s1_id", "left").where((F.col("label") == 1) | (F.col("place") <= most)).drop("place", "n_true")
 
 
+def pair_counts(pairs: DataFrame) -> DataFrame:
+    """Matches and others among the labelled pairs, of validation entities and of the rest."""
+    return pairs.groupBy("is_val").agg(F.count_if(F.col("label") == 1).alias("n_pos"), F.count_if(F.col("label") == 0).alias("n_neg"))
+
+
 def normalized(records: DataFrame) -> DataFrame:
     """entity_id and rec: the comparable fields, worked out once for each record and not for each pair."""
     name = records.withColumn("norm_name", T.normalize_text(F.col("business_name"))).withColumn("addr", T.decompose_address(F.col("business_address")))

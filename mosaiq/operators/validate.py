@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 EXAMPLES = 5
 #: Each rule, and whether it is an error or a warning.
 RULES = {
     "duplicate_row": "error", "duplicate_id": "error", "self_match": "error", "wrong_prefix": "error", "unknown_id": "error", "missing_s1": "error", "unexpected_s1": "error",
-    "no_tab": "error", "bad_header": "error", "not_utf8": "error", "not_in_candidates": "warning", "id_check_off": "warning", "no_candidates": "warning",
+    "no_tab": "error", "bad_header": "error", "not_utf8": "error", "no_file": "error", "empty_file": "error", "comma_header": "error", "not_in_candidates": "warning", "id_check_off": "warning", "no_candidates": "warning",
 }
 
 
@@ -56,15 +57,63 @@ def check_subset(matches: DataFrame, candidates: DataFrame) -> DataFrame:
 def check_lines(lines: DataFrame, header: tuple[str, str]) -> DataFrame:
     """Findings of a file's lines (n, value), the header being line 1: its names, lines without a tab, bytes that are no UTF-8."""
     names = F.transform(F.split("value", "\t"), lambda c: F.lower(F.trim(c)))
+    commas = F.col("value").contains(",") & ~F.col("value").contains("\t")  # the commonest mistake
     first, rest = lines.where("n = 1"), lines.where("n > 1")
     at = F.col("n").cast("string")
     return reduce(DataFrame.unionByName, [
-        _finding("bad_header", first.where(names != F.array(*[F.lit(h) for h in header])).select("value")),
+        _finding("comma_header", first.where(commas).select("value")),
+        _finding("bad_header", first.where(~commas & (names != F.array(*[F.lit(h) for h in header]))).select("value")),
         _finding("no_tab", rest.where((F.trim("value") != "") & ~F.col("value").contains("\t")).select(at)),
         _finding("not_utf8", lines.where(~F.is_valid_utf8("value")).select(at)),
     ])
 
 
+def note(spark: SparkSession, rule: str, example: str) -> DataFrame:
+    """A finding about a whole file or check."""
+    return spark.createDataFrame([(RULES[rule], rule, 1, example)], "severity string, rule string, n long, examples string")
+
+
+def read_lines(spark: SparkSession, path: str) -> DataFrame | None:
+    """n and value of a file's lines; None without a file. Numbers are exact in files of one split; in larger ones they tell lines apart."""
+    try:
+        return spark.read.text(path).select((F.monotonically_increasing_id() + 1).alias("n"), "value")
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e):
+            return None
+        raise
+
+
+def validate_files(spark: SparkSession, matching: str, candidates: str | None, required: DataFrame, valid_ids: DataFrame | None = None) -> DataFrame:
+    """All findings about a matching file and, if there is one, its candidate file, against the required s1_id.
+
+    A fault of a file's header ends the checks of that file. Without valid_ids a warning says that ids were not looked up.
+    """
+    found = [] if valid_ids is not None else [note(spark, "id_check_off", "")]
+    lists = {}
+    for name, path, header in (("matched", matching, ("source1_entity_id", "matched_entity_ids")), ("candidates", candidates, ("source1_entity_id", "candidate_entity_ids"))):
+        lines = read_lines(spark, path) if path else None
+        if lines is None:
+            if name == "matched" or path:
+                found.append(note(spark, "no_file" if name == "matched" else "no_candidates", path or ""))
+            continue
+        if not lines.limit(1).count():
+            found.append(note(spark, "empty_file", path))
+            continue
+        faults = check_lines(lines, header)
+        broken = faults.where(F.col("rule").isin("comma_header", "bad_header"))
+        if broken.limit(1).count():
+            found.append(broken)
+            continue
+        found.append(faults)
+        rows = lines.where((F.col("n") > 1) & F.col("value").contains("\t"))
+        cut = F.locate("\t", F.col("value"))
+        lists[name] = rows.select(F.substring(F.col("value"), F.lit(1), cut - 1).alias("s1_id"), F.substring(F.col("value"), cut + 1, F.length("value")).alias("ids_text"))
+        found.append(check_lists(lists[name], required, valid_ids))
+    if len(lists) == 2:
+        found.append(check_subset(lists["matched"], lists["candidates"]))
+    return reduce(DataFrame.unionByName, found)
+
+
 def list_counts(lists: DataFrame) -> DataFrame:
     """One row: rows, empty and non-empty lists."""
     empty = F.size(raw_ids(F.col("ids_text"))) == 0

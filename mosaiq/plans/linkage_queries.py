@@ -419,6 +419,22 @@ def best_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.best_threshold(threshold_scan(spark, sf_dir))
 
 
+@query("threshold_scan_guarded", f"WITH {_sql_scored()}, {_ENTITIES}, grid AS (SELECT i / 100.0::DOUBLE AS threshold FROM range(50, 98) r(i)), best AS (SELECT s1_id, max(p) AS best FROM scored GROUP BY s1_id), counts AS (SELECT threshold, e.s1_id, n_true, count(s.cand_id) AS n_pred, coalesce(sum(label), 0) AS tp FROM grid CROSS JOIN entities e LEFT JOIN best ON best.s1_id = e.s1_id LEFT JOIN scored s ON s.s1_id = e.s1_id AND p >= threshold AND best.best >= greatest(0.75, threshold - 0.04) GROUP BY threshold, e.s1_id, n_true) SELECT threshold, round(avg({_F05})::DOUBLE, 9) AS macro_f05, count(*) FILTER (n_pred > 0) AS n_pred_entities, count(*) FILTER (n_pred = 0 AND n_true = 0) AS n_kept_singletons FROM counts GROUP BY threshold")
+def threshold_scan_guarded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scan of the rule as it is applied: entities whose best pair is below the cutoff lose their matches."""
+    return E.scan_thresholds(_scored(spark, sf_dir), _entities(spark, sf_dir), cutoff=F.greatest(F.lit(0.75), F.col("threshold") - 0.04))
+
+
+@query("pair_counts", f"WITH {_sql_scored()} SELECT s1_id IN (SELECT query_id FROM truth) AS is_val, count(*) FILTER (label = 1) AS n_pos, count(*) FILTER (label = 0) AS n_neg FROM scored GROUP BY 1")
+def pair_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.pair_counts(P.flag_validation(_scored(spark, sf_dir), _truth(spark, sf_dir)))
+
+
+@query("decision_counts", f"WITH {_sql_scored()}, best AS (SELECT s1_id, max(p) AS best FROM scored GROUP BY s1_id), kept AS (SELECT s1_id, cand_id FROM scored JOIN best USING (s1_id) WHERE best >= {CUTOFF} AND p >= {THRESHOLD}) SELECT (SELECT count(*) FROM benchmark) AS n_queries, (SELECT count(*) FROM kept) AS n_matches, (SELECT count(*) FROM benchmark WHERE item_id NOT IN (SELECT s1_id FROM kept)) AS n_singletons")
+def decision_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D.decision_counts(table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("entity_id")), D.decide(_scored(spark, sf_dir), THRESHOLD, CUTOFF))
+
+
 @query("singleton_guard", f"WITH {_sql_scored()}, best AS (SELECT s1_id, max(p) AS best FROM scored GROUP BY s1_id) SELECT s1_id, cand_id, p, rank FROM scored JOIN best USING (s1_id) WHERE best >= {CUTOFF} AND p >= {THRESHOLD}")
 def singleton_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.decide(_scored(spark, sf_dir), THRESHOLD, CUTOFF)

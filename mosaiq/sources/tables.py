@@ -48,6 +48,11 @@ def read_pairs(spark: SparkSession, path: str, form: str = "parquet") -> DataFra
     return reader.option("header", True).csv(path) if form == "csv" else reader.parquet(path)
 
 
+def read_vectors(spark: SparkSession, path: str, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
+    """Vectors with their ids, as they are stored: one Parquet table instead of numbered chunks and offsets."""
+    return spark.read.parquet(path).select(id_col, F.col(vec_col).cast("array<float>").alias(vec_col))
+
+
 def match_targets(s2: DataFrame, s3: DataFrame) -> DataFrame:
     """The ids that may be matched: those of both noisy sources, each once."""
     return s2.select("entity_id").union(s3.select("entity_id")).distinct()

@@ -136,7 +136,7 @@ def test_validator(spark):
     warn = V.check_subset(got, lists(spark, [("S1-1", "S2-1,S2-2"), ("S1-2", "S1-9,X-1,S2-3,")])).collect()
     assert [(r.severity, r.rule, r.examples) for r in warn] == [("warning", "not_in_candidates", "S1-8")]
     lines = spark.createDataFrame([(1, "source1_entity_id,matched"), (2, "S1-1 no tab"), (3, "S1-2\tS2-1"), (4, "")], "n long, value string")
-    assert {(r.rule, r.examples) for r in V.check_lines(lines, ("source1_entity_id", "matched_entity_ids")).collect()} == {("bad_header", "source1_entity_id,matched"), ("no_tab", "2")}
+    assert {(r.rule, r.examples) for r in V.check_lines(lines, ("source1_entity_id", "matched_entity_ids")).collect()} == {("comma_header", "source1_entity_id,matched"), ("no_tab", "2")}
     assert tuple(V.list_counts(got).first()) == (5, 1, 4)
 
 
@@ -171,3 +171,18 @@ def test_arrivals_match_once(spark, world, tmp_path):
     q = match_arrivals(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "cp"), lambda batch: batch.select("entity_id"))
     q.awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out")).count() == 5
+
+
+def test_files_are_validated(spark, tmp_path):
+    need = spark.createDataFrame([("S1-1",), ("S1-2",)], "s1_id string")
+    good = "source1_entity_id\tmatched_entity_ids\nS1-1\tS2-1\nS1-2\t\n"
+    (tmp_path / "m.tsv").write_text(good)
+    (tmp_path / "c.tsv").write_text("source1_entity_id\tcandidate_entity_ids\nS1-1\tS2-9\nS1-2\t\nno tab here\n")
+    (tmp_path / "comma.tsv").write_text("source1_entity_id,matched_entity_ids\nS1-1,S2-1\n")
+    (tmp_path / "empty.tsv").write_text("")
+    rules = lambda m, c=None, ids=None: {r.rule for r in V.validate_files(spark, str(tmp_path / m), c and str(tmp_path / c), need, ids).collect()}
+    ids = spark.createDataFrame([("S2-1",)], "entity_id string")
+    assert rules("m.tsv", ids=ids) == set() and rules("m.tsv") == {"id_check_off"}
+    assert rules("m.tsv", "c.tsv", ids) == {"no_tab", "unknown_id", "not_in_candidates"}
+    assert rules("comma.tsv", ids=ids) == {"comma_header"} and rules("empty.tsv", ids=ids) == {"empty_file"}
+    assert rules("none.tsv", "none.tsv", ids) == {"no_file", "no_candidates"}
