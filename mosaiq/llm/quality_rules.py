@@ -34,6 +34,8 @@ CONSISTENCY = 1.79
 #: Groups below this size are pooled.
 LEAST_GROUP = 50
 STEPS = 2
+#: Up to this many groups, of some thirty numbers each, are broadcast.
+BROADCAST_GROUPS = 50_000
 #: The squared distance beyond which a document is rejected, before scaling by the half's consistency: chi-square of six degrees, about 0.999999.
 CUTOFF = 40.0
 
@@ -93,11 +95,17 @@ def _grouped(stats: DataFrame, least_group: int) -> DataFrame:
     sized = groups.join(pools.withColumnRenamed("lang", "p_lang"), F.col("lang").eqNullSafe(F.col("p_lang")), "left")
     name = lambda *xs: F.to_json(F.array(*xs))  # noqa: E731  a null differs from every text
     key = F.when(F.col("n") >= least_group, name("lang", "source")).when(F.col("pool") >= least_group, name("lang")).otherwise(F.lit(""))
-    keys = sized.select(F.col("lang").alias("k_lang"), F.col("source").alias("k_source"), key.alias("key"))
+    keys = _few(sized.select(F.col("lang").alias("k_lang"), F.col("source").alias("k_source"), key.alias("key")))
     same = stats["lang"].eqNullSafe(keys["k_lang"]) & stats["source"].eqNullSafe(keys["k_source"])
     return stats.join(keys, same).drop("k_lang", "k_source")
 
 
+def _few(groups: DataFrame) -> DataFrame:
+    """groups, to be broadcast if their number is small; beyond that Spark joins by shuffling, and splits the hot ones."""
+    groups = cut(groups)
+    return F.broadcast(groups) if groups.count() <= BROADCAST_GROUPS else groups
+
+
 def _pairs() -> list[tuple[str, str]]:
     names = list(FEATURES)
     return [(a, b) for i, a in enumerate(names) for b in names[: i + 1]]
@@ -141,11 +149,11 @@ def estimates(rows: DataFrame, steps: int = STEPS) -> DataFrame:
     """
     scatter = [F.lit(FLOOR[a] ** 2 if a == b else 0.0).alias(f"v_{a}_{b}") for a, b in _pairs()]
     start = rows.groupBy("key").agg(*[F.percentile_approx(a, 0.5, 1000).alias(f"c_{a}") for a in FEATURES])
-    estimate = cut(_factor(start.select("key", *[f"c_{a}" for a in FEATURES], *scatter)))
+    estimate = _few(_factor(start.select("key", *[f"c_{a}" for a in FEATURES], *scatter)))
     for _ in range(steps):
         near = _with_distance(rows.join(estimate, "key"))
-        half = near.groupBy("key").agg(F.percentile_approx("d2", 0.5, 1000).alias("bound"))
-        estimate = cut(_factor(_moments(near.join(half, "key").where("d2 <= bound"))))
+        half = _few(near.groupBy("key").agg(F.percentile_approx("d2", 0.5, 1000).alias("bound")))
+        estimate = _few(_factor(_moments(near.join(half, "key").where("d2 <= bound"))))
     return estimate
 
 
