@@ -40,7 +40,17 @@ def cut(df: DataFrame) -> DataFrame:
     del df
     gc.collect()
     spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(schema).parquet(path)
+    table = spark.read.schema(schema).parquet(path)
+    table._written_to = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes what cut wrote, once nothing that is still to run reads it."""
+    for table in tables:
+        context = table.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(table._written_to)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def text_of(df: DataFrame) -> Column:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mosaiq.llm import windows as W
-from mosaiq.llm.common import arrow_map, cut, text_of
+from mosaiq.llm.common import arrow_map, cut, discard, text_of
 
 #: Bytes of text that a task looks at at once.
 SLICE = 1 << 20
@@ -42,7 +42,7 @@ class Kind:
     index: Callable[[list[bytes], int], list[np.ndarray]]
     #: Only windows with an equal one before them count, not the first.
     earlier: bool
-    #: Units that an anchor's classes may have to be indexed in a shard, and a shard holds at least before it is closed.
+    #: Bytes that an anchor's classes may have to be indexed in a shard. A shard with a quarter of them takes no more anchors.
     shard_units: int
 
 
@@ -109,7 +109,7 @@ def _indexed(bodies: DataFrame, kind: Kind) -> DataFrame:
         size, last = 0, None
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if row[0] != last and size >= kind.shard_units:
+                if row[0] != last and size >= kind.shard_units // 4:
                     yield close(shard)
                     shard, size = [], 0
                 last = row[0]
@@ -143,6 +143,7 @@ def repeated_windows(texts: DataFrame, kind: Kind) -> DataFrame:
     # Written first: a join whose sides come straight from their shuffles lets Spark split the hot anchors.
     twice = cut(rows.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"))
     kept = cut(rows.join(twice, "h", "left_semi").sortWithinPartitions("h", "sh"))
+    discard(twice)
     classes = cut(kept.groupBy("h", "sh").agg(F.count("*").alias("n"), F.min(place).alias("first")))
     units = F.sum(F.col("first.at") % _ROOM + (kind.length - 1))
     # Where all classes are repeated anyway, and the first too, there is nothing to look for.
@@ -157,7 +158,9 @@ def repeated_windows(texts: DataFrame, kind: Kind) -> DataFrame:
     other = (place != F.col("first")) if kind.earlier else F.lit(True)
     by_window = split(single.join(counted, "key").where(other))
     whole = split(kept.join(classes.where("n > 1"), ["h", "sh"]).where(other))
-    return whole.unionByName(by_window).unionByName(inner).groupBy("doc", "tie").agg(F.collect_list(F.struct("start", "windows")).alias("found"))
+    found = cut(whole.unionByName(by_window).unionByName(inner).groupBy("doc", "tie").agg(F.collect_list(F.struct("start", "windows")).alias("found")))
+    discard(kept, classes, bodies)
+    return found
 
 
 def removed_mask(n: int, length: int, found: list[dict] | None) -> np.ndarray | None:

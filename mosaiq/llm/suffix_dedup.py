@@ -31,23 +31,25 @@ def suffix_order(text: np.ndarray) -> tuple[np.ndarray, list[tuple[int, np.ndarr
         key = key << np.uint64(8) | padded[i : i + n]
     depth, levels = 8, []
     while True:
-        order = np.argsort(key, kind="stable")
-        sorted_ = key[order]
-        new = np.concatenate([[0], np.cumsum(sorted_[1:] != sorted_[:-1])])
-        rank = np.empty(n, np.int64)
+        order = np.argsort(key, kind="stable").astype(np.int32)  # a shard is far smaller than 2 ** 31
+        key = key[order]
+        new = np.zeros(n, np.int32)
+        np.cumsum(key[1:] != key[:-1], out=new[1:])
+        rank = np.empty(n, np.int32)
         rank[order] = new
         levels.append((depth, rank))
         if new[-1] == n - 1 or depth >= n:
             return order, levels
-        after = np.concatenate([rank[depth:] + 1, np.zeros(min(depth, n), np.int64)])[:n]
-        key = rank.astype(np.uint64) * np.uint64(n + 1) + after.astype(np.uint64)
+        del new
+        key = rank.astype(np.uint64) * np.uint64(n + 1)
+        key[: max(0, n - depth)] += (rank[depth:] + 1).astype(np.uint64)
         depth *= 2
 
 
 def common_prefix(text: np.ndarray, levels: list[tuple[int, np.ndarray]], a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """The lengths of the common prefixes of the suffixes at a and b, different places: the ranks halve the way."""
     n, a, b = len(text), a.copy(), b.copy()
-    size = np.zeros(len(a), np.int64)
+    size = np.zeros(len(a), np.int32)
     for depth, rank in reversed(levels):
         more = (a + depth <= n) & (b + depth <= n)
         more[more] = rank[a[more]] == rank[b[more]]
