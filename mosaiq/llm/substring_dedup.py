@@ -17,7 +17,7 @@ from mosaiq.llm.common import arrow_map
 from mosaiq.llm.repeats import SLICE, Kind, identified, removed_mask, repeated_windows, runs
 
 WINDOW, GRAM = 20, 5
-SHARD_BYTES = 1 << 21
+SHARD_BYTES = 1 << 19
 
 
 class SuffixAutomaton:
