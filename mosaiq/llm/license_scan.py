@@ -11,16 +11,23 @@ import functools
 import math
 import random
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mosaiq.llm.common import text_of
+from mosaiq.llm.common import cut, text_of
 
 UNKNOWN = "unknown"
 #: A family is named from this calibrated probability on, and confirmed from this share of a template's n-grams on.
 LEAST_PROBABILITY, LEAST_SIMILARITY = 0.5, 0.6
 NGRAMS = (1, 2, 3)
+#: Words of a run of lines that is looked at as one notice: about twice those of the longest template.
+RUN_WORDS = 70
+#: Up to here the paragraphs that are looked at in parts are broadcast.
+BROADCAST_PARAGRAPHS = 2_000_000
+_SAID = r"[\p{L}\p{N}]"
+_KEY = ["doc_id", "of", "paragraph"]
 
 # Notices of each family, as their publishers word them.
 TEMPLATES: dict[str, tuple[str, ...]] = {
@@ -148,49 +155,117 @@ def softmax(z: list[float]) -> list[float]:
     return [v / sum(e) for v in e]
 
 
-def _grams(words: Column) -> Column:
-    """As grams_of, over an array of words."""
+def _let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a value that is worked out once."""
+    return F.transform(F.array(value), f)[0]
+
+
+def _grams(text: Column) -> Column:
+    """As grams_of, over a text, and first an empty one, which stands for the text itself."""
     cue = F.array(*[F.lit(c) for c in CUES])
-    runs = lambda n: F.transform(F.sequence(F.lit(0), F.size(words) - n), lambda i: F.slice(words, i + 1, n))
-    some = lambda n: F.when(F.size(words) >= n, F.transform(F.filter(runs(n), lambda g: F.arrays_overlap(g, cue)), lambda g: F.array_join(g, " "))).otherwise(F.array().cast("array<string>"))
-    return F.array_distinct(F.concat(*[some(n) for n in NGRAMS]))
+    runs = lambda words, n: F.transform(F.sequence(F.lit(0), F.size(words) - n), lambda i: F.slice(words, i + 1, n))
+    some = lambda words, n: F.when(F.size(words) >= n, F.transform(F.filter(runs(words, n), lambda g: F.arrays_overlap(g, cue)), lambda g: F.array_join(g, " "))).otherwise(F.array().cast("array<string>"))
+    return _let(_words(text), lambda words: F.array_distinct(F.concat(F.array(F.lit("")), *[some(words, n) for n in NGRAMS])))
+
+
+def _words(text: Column) -> Column:
+    return F.filter(F.split(F.lower(text), "[^a-z0-9]+"), lambda w: w != "")
+
+
+def _paragraphs(docs: DataFrame) -> DataFrame:
+    """doc_id, of (a hash of the text), paragraph (the number of its first line) and its lines."""
+    text = docs.select("doc_id", text_of(docs).alias("text")).where(F.col("text").rlike(_CUE))
+    at = lambda xs, i: F.coalesce(F.get(xs, i), F.lit(False))
+    numbers = lambda xs: F.sequence(F.lit(0), F.size(xs))
+    first = lambda said: F.filter(numbers(said), lambda i: at(said, i) & ~at(said, i - 1))
+    last = lambda said: F.filter(numbers(said), lambda i: at(said, i) & ~at(said, i + 1))
+    spans = _let(F.transform("lines", lambda x: x.rlike(_SAID)), lambda said: F.arrays_zip(first(said).alias("first"), last(said).alias("last")))
+    lined = text.select("doc_id", F.xxhash64("text").alias("of"), F.split("text", "\n").alias("lines"))
+    found = lined.select("doc_id", "of", "lines", F.explode(spans).alias("x"))
+    found = found.select("doc_id", "of", F.col("x.first").alias("paragraph"), F.slice("lines", F.col("x.first") + 1, F.col("x.last") - F.col("x.first") + 1).alias("lines"))
+    return found.where(F.array_join("lines", " ").rlike(_CUE))
+
+
+def _parts(paragraphs: DataFrame) -> DataFrame:
+    """The parts of each paragraph where a notice may stand: the paragraph, its pieces, and runs of pieces of up to RUN_WORDS words.
+
+    Pieces are lines; a line of more than RUN_WORDS words is cut at the ends of its sentences.
+    """
+    short = lambda x: F.size(_words(x)) <= RUN_WORDS
+    cut_up = lambda x: F.when(short(x), F.array(x)).otherwise(F.split(x, r"(?<=[.!?;:])\s+"))
+    pieces = F.flatten(F.transform("lines", lambda x, i: F.transform(cut_up(x), lambda y: F.struct(i.alias("line"), y.alias("text"), F.size(_words(y)).alias("n")))))
+    step = lambda acc, x: F.struct((acc["sum"] + x["n"]).alias("sum"), F.when(acc["sum"] + x["n"] <= RUN_WORDS, acc["k"] + 1).otherwise(acc["k"]).alias("k"))
+    longest = lambda xs, i: F.aggregate(F.slice(xs, i + 1, RUN_WORDS), F.struct(F.lit(0).alias("sum"), F.lit(0).alias("k")), step)["k"]
+    part = lambda xs, i, k: F.struct(xs[i]["line"].alias("line"), i.alias("at"), k.alias("k"), F.array_join(F.transform(F.slice(xs, i + 1, k), lambda x: x["text"]), " ").alias("text"))
+    runs = lambda xs, i: F.transform(F.sequence(F.lit(1), F.greatest(longest(xs, i), F.lit(1))), lambda k: part(xs, i, k))
+    all_ = lambda xs: F.concat(F.array(part(xs, F.lit(0), F.size(xs))), F.flatten(F.transform(F.sequence(F.lit(0), F.size(xs) - 1), lambda i: runs(xs, i))))
+    said = _let(F.filter(pieces, lambda x: x["n"] > 0), lambda xs: F.when(F.size(xs) > 0, all_(xs)))
+    return paragraphs.select(*_KEY, F.explode(said).alias("x")).select(*_KEY, "x.*")
+
+
+def _apart(parts: Column) -> Column:
+    """Of parts in order of preference those that meet none before; only confirmed ones besides the first."""
+    meets = lambda a, b: (a["at"] < b["at"] + b["k"]) & (b["at"] < a["at"] + a["k"])
+    taken = lambda acc, x: F.when((F.size(acc) == 0) | x["confirmed"] & ~F.exists(acc, lambda y: meets(x, y)), F.concat(acc, F.array(x))).otherwise(acc)
+    return F.aggregate(parts, F.slice(parts, 1, 0), taken)
 
 
 def scan_licenses(docs: DataFrame, least_probability: float = LEAST_PROBABILITY, least_similarity: float = LEAST_SIMILARITY) -> DataFrame:
-    """doc_id, paragraph, family, probability, similarity, confirmed: one row for each paragraph that has a cue word.
+    """doc_id, paragraph, family, probability, similarity, confirmed: the notices of each paragraph that has a cue word, or one row `unknown`.
+
+    Paragraphs are parted by lines without letters and digits; the breaks between their lines count as blanks, so a notice
+    may be wrapped anywhere. Notices are looked for in the parts of a paragraph (see _parts), since several can stand in one
+    and other words around them; of parts that meet, the one most like a template counts, then the shortest. A paragraph has
+    a row for each confirmed notice, else for its best named part, else one `unknown` row for the whole of it. `paragraph`
+    is the line at which the notice's part, or else the paragraph, begins, counted from 0.
 
-    Paragraphs are the lines of the text, counted from 0. `family` is the most likely one, or `unknown` if that is likelier
-    or the probability is too low. `similarity` is the largest share of a template of that family that the paragraph has,
-    and confirms it.
+    `family` is the most likely one, or `unknown` if that is likelier or the probability is too low. `similarity` is the
+    largest share of a template of that family that the part has, and confirms it.
 
     Nulls: a null text has no paragraphs. Of equal probabilities the class first by name counts. Equal rows give equal rows
     once: a document is known by doc_id and text. Empty tables, and texts without cues, give no rows; other columns are
     left aside. Texts of any length are scanned whole.
     """
     spark, (classes, weights, bias) = docs.sparkSession, train()
-    text = docs.select("doc_id", text_of(docs).alias("text")).where(F.col("text").rlike(_CUE))
-    lines = text.select("doc_id", F.xxhash64("text").alias("of"), F.posexplode(F.split("text", "\n")).alias("paragraph", "line")).where(F.col("line").rlike(_CUE))
-    words = F.filter(F.split(F.lower("line"), "[^a-z0-9]+"), lambda w: w != "")
-    grams = lines.select("doc_id", "of", "paragraph", words.alias("words")).select("doc_id", "of", "paragraph", F.explode(_grams(F.col("words"))).alias("gram")).distinct()
-    # Both tables are made from the fixed notices above: their size does not depend on the data.
+    # The table is made from the fixed notices above: its size does not depend on the data.
     names = [(f"{name}/{i}", name, grams_of(words_of(t))) for name in sorted(TEMPLATES) for i, t in enumerate(TEMPLATES[name])]
-    known = {g for _, _, x in names for g in x} | set(weights)
-    columns = [f"w{c}" for c in range(len(classes))]
-    table = spark.createDataFrame([(g, *weights.get(g, [0.0] * len(classes)), [n for n, _, x in names if g in x]) for g in sorted(known)], ", ".join(["gram string", *[f"{c} double" for c in columns], "templates array<string>"]))
-    met = grams.join(F.broadcast(table), "gram", "left")
-    key = ["doc_id", "of", "paragraph"]
-    logit = [(F.lit(b) + F.coalesce(F.sum(c), F.lit(0.0))).alias(c) for c, b in zip(columns, bias, strict=True)]
-    count = F.map_from_entries(F.array(*[F.struct(F.lit(n), F.lit(float(len(x)))) for n, _, x in names]))
-    scored = met.groupBy(*key).agg(*logit, F.flatten(F.collect_list("templates")).alias("hits"))  # of one paragraph
-    top = F.greatest(*columns)
-    total = sum((F.exp(F.col(c) - top) for c in columns), F.lit(0.0))
-    best = F.coalesce(*[F.when(F.col(c) == top, F.lit(n)) for c, n in zip(columns, classes, strict=True)])
-    scored = scored.select(*key, "hits", best.alias("best"), (1 / total).alias("probability"))
-    share = lambda n: F.size(F.filter("hits", lambda h: h == n)) / F.element_at(count, n)
-    similar = F.when(F.lit(False), F.lit(0.0))
-    for name in sorted(TEMPLATES):
-        own = [share(F.lit(n)) for n, of, _ in names if of == name]
-        similar = similar.when(F.col("best") == name, F.greatest(*own) if len(own) > 1 else own[0])
-    named = (F.col("best") != UNKNOWN) & (F.col("probability") >= least_probability)
-    out = scored.withColumn("similarity", F.when(named, F.round(similar, 6)).otherwise(F.lit(0.0)))
-    return out.select("doc_id", F.col("paragraph").cast("long").alias("paragraph"), F.when(named, F.col("best")).otherwise(F.lit(UNKNOWN)).alias("family"), F.round("probability", 6).alias("probability"), "similarity", (named & (F.col("similarity") >= least_similarity)).alias("confirmed"))
+    known = {"", *weights}.union(*(x for _, _, x in names))
+    columns, gains = [f"w{c}" for c in range(len(classes))], [f"u{c}" for c in range(len(classes) - 1)]
+    zero = [0.0] * len(classes)
+    copies = F.count_if(F.col("gram") == "")
+    table = spark.createDataFrame(
+        [(g, *(w := weights.get(g, zero)), *(max(0.0, v - w[-1]) for v in w[:-1]), [n for n, _, x in names if g in x]) for g in sorted(known)],
+        ", ".join(["gram string", *[f"{c} double" for c in (*columns, *gains)], "templates array<string>"]),
+    )
+
+    def scored(parts: DataFrame, key: list[str], *more: Column) -> DataFrame:
+        """With best and probability. Copies of a row are summed with it, so sums are divided by their number."""
+        met = parts.select(*key, F.explode(_grams(F.col("text"))).alias("gram")).join(F.broadcast(table), "gram")
+        logits = F.array(*[F.lit(b) + F.sum(c) / copies for c, b in zip(columns, bias, strict=True)])
+        total = lambda z, top: F.aggregate(z, F.lit(0.0), lambda acc, x: acc + F.exp(x - top))
+        best = lambda z, top: F.element_at(F.array(*map(F.lit, classes)), F.array_position(z, top).cast("int"))
+        verdict = _let(F.col("z"), lambda z: _let(F.array_max(z), lambda top: F.struct(best(z, top).alias("best"), (1 / total(z, top)).alias("probability"))))
+        return met.groupBy(*key).agg(logits.alias("z"), *more).withColumn("verdict", verdict).select("*", "verdict.*").drop("z", "verdict")
+
+    paragraphs = _paragraphs(docs)
+    # All grams of a part are grams of its paragraph: where their gains over `unknown` do not make up for the bias, no part is named.
+    hopeful = F.greatest(*[F.lit(b - bias[-1]) + F.sum(u) / copies for u, b in zip(gains, bias, strict=False)]) > -1e-6
+    whole = cut(scored(paragraphs.select(*_KEY, F.array_join("lines", " ").alias("text")), _KEY, hopeful.alias("hopeful")).select(*_KEY, "probability", "hopeful"))
+    some = whole.where("hopeful").select("of", F.col("paragraph").alias("first")).distinct()
+    some = F.broadcast(some) if some.count() <= BROADCAST_PARAGRAPHS else some
+    looked = paragraphs.join(some.withColumnRenamed("of", "__of"), (F.col("of") == F.col("__of")) & (F.col("paragraph") == F.col("first")), "left_semi")
+
+    place = [*_KEY, "line", "at", "k"]
+    parts = scored(_parts(looked), place, F.flatten(F.collect_list("templates")).alias("hits"), copies.alias("copies")).where((F.col("best") != UNKNOWN) & (F.col("probability") >= least_probability))
+    own = F.create_map(*[x for name in sorted(TEMPLATES) for x in (F.lit(name), F.array(*[F.lit(n) for n, of, _ in names if of == name]))])
+    count = F.create_map(*[F.lit(x) for n, _, x in names for x in (n, float(len(x)))])
+    similar = F.array_max(F.transform(own[F.col("best")], lambda n: F.size(F.filter("hits", lambda h: h == n)) / F.col("copies") / count[n]))
+    parts = parts.withColumn("similarity", F.round(similar, 6))
+    order = F.struct((-F.col("similarity")).alias("rank"), "k", (-F.col("probability")).alias("second"), "at", "line", F.col("best").alias("family"), "probability", "similarity", (F.col("similarity") >= least_similarity).alias("confirmed"))
+    named = parts.groupBy(*_KEY).agg(_apart(F.array_sort(F.collect_list(order))).alias("found"))  # of one paragraph
+    named = named.select(F.col("doc_id").alias("__id"), F.col("of").alias("__of"), F.col("paragraph").alias("__first"), "found")
+    none = F.array(F.struct(F.lit(0).alias("line"), F.lit(UNKNOWN).alias("family"), F.col("probability").alias("probability"), F.lit(0.0).alias("similarity"), F.lit(False).alias("confirmed")))
+    listed = F.transform("found", lambda x: F.struct(x["line"].alias("line"), x["family"].alias("family"), x["probability"].alias("probability"), x["similarity"].alias("similarity"), x["confirmed"].alias("confirmed")))
+    both = whole.join(named, whole["doc_id"].eqNullSafe(named["__id"]) & (F.col("of") == F.col("__of")) & (F.col("paragraph") == F.col("__first")), "left")
+    out = both.select("doc_id", "paragraph", F.explode(F.coalesce(listed, none)).alias("x"))
+    return out.select("doc_id", (F.col("paragraph") + F.col("x.line")).cast("long").alias("paragraph"), "x.family", F.round("x.probability", 6).alias("probability"), "x.similarity", "x.confirmed")

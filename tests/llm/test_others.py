@@ -1,4 +1,5 @@
 import random
+import textwrap
 from collections import Counter
 from fractions import Fraction
 
@@ -180,6 +181,27 @@ def test_columns_score_as_the_model(spark):
         assert r.probability == pytest.approx(max(p), abs=1e-6) and (r.family == classes[p.index(max(p))])
 
 
+GPL_HEADER = """    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version."""
+
+
+def test_wrapped_notices_are_seen_whole(spark):
+    long = [(n, t) for n, ts in L.TEMPLATES.items() for t in ts if len(t.split()) > 8]
+    rows = [(i, "Talk of the day.\n" + textwrap.fill(t, 40) + "\nmore talk") for i, (_, t) in enumerate(long)]
+    two = "title\n\n" + GPL_HEADER + "\n \n* * *\n\n# Released under the\r\n# MIT License.\nLicensed under the Apache License, Version 2.0.\n"
+    around = "\n".join(["He came to the house of the old man in the town"] * 20)
+    rows += [(100, GPL_HEADER), (101, two), (101, two), (102, f"{around}\n{GPL_HEADER}\n{around}"), (None, GPL_HEADER)]
+    got = L.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    by = {}
+    for r in got:
+        by.setdefault(r.doc_id, []).append((r.paragraph, r.family, r.confirmed))
+    assert all((n, True) in [x[1:] for x in by[i]] and {x[1] for x in by[i]} == {n} for i, (n, _) in enumerate(long))
+    assert by[100] == by[None] == [(0, "gpl-3.0", True)] and by[102] == [(20, "gpl-3.0", True)]
+    assert [x for x in sorted(by[101]) if x[2]] == [(2, "gpl-3.0", True), (9, "mit", True), (11, "apache-2.0", True)]
+
+
 # ---- The pipeline
 def test_pipeline_against_its_operators(spark):
     sf = "/root/testdata/sf0.001"
