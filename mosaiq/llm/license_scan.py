@@ -1,19 +1,20 @@
 """License scans: a trained classifier names the family of a paragraph, and the family's texts confirm it.
 
-The classifier is a logistic regression over sparse word n-grams, trained here from short notices. Every n-gram holds a cue
-word; a paragraph without a cue has no features and is of the unknown class by the model's own bias. So looking only at
-paragraphs with a cue changes no result. Scoring is joins and sums of DataFrames.
+The classifier is a logistic regression over all word n-grams of short notices, trained here. Other n-grams have no weight:
+a paragraph without a known one is of the unknown class by the model's own bias. Scoring is joins and sums of DataFrames.
 """
 
 from __future__ import annotations
 
 import functools
+import json
 import math
 import random
 import re
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mosaiq.llm.common import cut, text_of
@@ -26,6 +27,8 @@ NGRAMS = (1, 2, 3)
 RUN_WORDS = 70
 #: Up to here the paragraphs that are looked at in parts are broadcast.
 BROADCAST_PARAGRAPHS = 2_000_000
+#: Cells of the table that bounds what a part can gain.
+CELLS = 1 << 14
 _SAID = r"[\p{L}\p{N}]"
 _KEY = ["doc_id", "of", "paragraph"]
 
@@ -34,6 +37,8 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     "agpl-3.0": (
         "This work is licensed under the GNU Affero General Public License, version 3.",
         "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation",
+        "Released under the AGPLv3.",
+        "Licensed under the GNU AGPLv3 or later.",
     ),
     "all-rights-reserved": ("All rights reserved.", "Copyright, all rights reserved. No part may be reproduced without permission."),
     "apache-2.0": (
@@ -50,27 +55,32 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     "cc-by-4.0": ("Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License.", "SPDX-License-Identifier: CC-BY-4.0"),
     "cc-by-nc-4.0": ("Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     "cc-by-sa-4.0": ("Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
-    "cc0-1.0": ("Dedicated to the public domain under CC0 1.0.", "To the extent possible under law, the author has waived all copyright and related rights to this work."),
+    "cc0-1.0": ("Dedicated to the public domain under CC0 1.0.", "Dedicated to the public domain.", "To the extent possible under law, the author has waived all copyright and related rights to this work."),
     "gpl-2.0": (
         "This work is licensed under the GNU General Public License, version 2.",
         "you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation",
+        "Released under the GPLv2.",
+        "Licensed under the GNU GPLv2 or later.",
     ),
     "gpl-3.0": (
         "This work is licensed under the GNU General Public License, version 3.",
         "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or any later version",
         "SPDX-License-Identifier: GPL-3.0-or-later",
+        "Released under the GPLv3.",
+        "Licensed under the GNU GPLv3 or later.",
     ),
     "isc": ("Released under the ISC License.", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
-    "lgpl-3.0": ("This work is licensed under the GNU Lesser General Public License, version 3.", "under the terms of the GNU Lesser General Public License as published by the Free Software Foundation"),
+    "lgpl-3.0": ("This work is licensed under the GNU Lesser General Public License, version 3.", "under the terms of the GNU Lesser General Public License as published by the Free Software Foundation", "Released under the LGPLv3.", "Licensed under the GNU LGPLv3 or later."),
     "mit": (
         "Released under the MIT License.",
+        "Released under MIT.",
         "Licensed under the MIT license.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
         "SPDX-License-Identifier: MIT",
     ),
     "mpl-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "Licensed under the Mozilla Public License, version 2.0."),
 }
-# What has a cue word and is no notice.
+# What has words of notices and is no notice.
 OTHERS = (
     "The driver showed a license at the gate.",
     "A new license fee applies to restaurants in the city.",
@@ -86,28 +96,28 @@ OTHERS = (
     "The students of MIT and the people of Apache county met.",
     "The attribution of the painting is not certain.",
     "The commons was open to all, in the domain of the king.",
+    "The book was released under the title of the first part.",
+    "He went to the house of the man and was told that it is for the use of all or of none.",
+    "Er kam mit der Bahn und ging mit ihr nach Hause.",
 )
-# Words that a notice is known by. "mit" is none: it is a common German word, and the notices of that family have others.
+# Words that alone say nothing of a family.
 CUES = (
     "apache", "affero", "attribution", "bsd", "cc", "cc0", "commons", "copyright", "distribute", "gnu", "granted", "gpl", "isc", "lgpl", "license",
     "licensed", "licence", "licenced", "mozilla", "mpl", "noncommercial", "permission", "permitted", "redistribute", "redistribution",
     "reserved", "rights", "sharealike", "spdx", "waived",
 )
-_CUE = rf"(?i)\b(?:{'|'.join(CUES)})\b"
-
 
 def words_of(text: str) -> list[str]:
     return re.findall(r"[a-z0-9]+", text.lower())
 
 
 def grams_of(words: list[str]) -> set[str]:
-    """The distinct n-grams that hold a cue word."""
-    cue = set(CUES)
-    return {" ".join(words[i : i + n]) for n in NGRAMS for i in range(len(words) - n + 1) if cue & {*words[i : i + n]}}
+    """The distinct n-grams."""
+    return {" ".join(words[i : i + n]) for n in NGRAMS for i in range(len(words) - n + 1)}
 
 
 @functools.cache
-def train(seed: int = 3, copies: int = 12, rounds: int = 60, rate: float = 0.3, ridge: float = 1e-4) -> tuple[tuple[str, ...], dict[str, list[float]], list[float]]:
+def train(seed: int = 3, copies: int = 12, rounds: int = 150, rate: float = 0.1, ridge: float = 1e-4) -> tuple[tuple[str, ...], dict[str, list[float]], list[float]]:
     """(classes, weights by n-gram, bias): softmax regression by seeded gradient steps, its temperature set on held-out notices.
 
     Examples are the notices with words left out or put around them. The last class is the unknown one.
@@ -128,25 +138,24 @@ def train(seed: int = 3, copies: int = 12, rounds: int = 60, rate: float = 0.3,
     # Notices cut down to a single cue word say nothing of a family.
     rows += [({w}, len(classes) - 1, k % 4 == 3) for k, w in enumerate(CUES)]
     rows += [(set(), len(classes) - 1, False)] * 30
-    k = len(classes)
-    weights: dict[str, list[float]] = {g: [0.0] * k for x, _, held in rows if not held for g in x}
-    bias = [0.0] * k
-    fitted = [(sorted(g for g in x if g in weights), y) for x, y, held in rows if not held]
+    names = sorted({g for x, _, held in rows if not held for g in x})
+    number = {g: i for i, g in enumerate(names)}
+    placed = [(np.array(sorted(number[g] for g in x if g in number), int), y, held) for x, y, held in rows]
+    weights, bias = np.zeros((len(names), len(classes))), np.zeros(len(classes))
+    fitted = [(x, y) for x, y, held in placed if not held]
     for t in range(rounds):
         rng.shuffle(fitted)
         step = rate / (1 + 0.05 * t)
         for x, y in fitted:
-            p = softmax([b + sum(weights[g][c] for g in x) for c, b in enumerate(bias)])
+            z = bias + weights[x].sum(0)
+            p = np.exp(z - z.max())
+            p /= p.sum()
             p[y] -= 1
-            for c in range(k):
-                bias[c] -= step * p[c]
-                for g in x:
-                    w = weights[g]
-                    w[c] -= step * (p[c] + ridge * w[c])
-    held = [(sorted(g for g in x if g in weights), y) for x, y, h in rows if h]
-    logits = [([b + sum(weights[g][c] for g in x) for c, b in enumerate(bias)], y) for x, y in held]
+            bias -= step * p
+            weights[x] -= step * (p + ridge * weights[x])
+    logits = [((bias + weights[x].sum(0)).tolist(), y) for x, y, held in placed if held]
     best = min((t / 20 for t in range(10, 61)), key=lambda t: -sum(math.log(max(1e-12, softmax([v / t for v in z])[y])) for z, y in logits))
-    return classes, {g: [v / best for v in w] for g, w in weights.items()}, [b / best for b in bias]
+    return classes, dict(zip(names, (weights / best).tolist(), strict=True)), (bias / best).tolist()
 
 
 def softmax(z: list[float]) -> list[float]:
@@ -160,12 +169,17 @@ def _let(value: Column, f: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), f)[0]
 
 
-def _grams(text: Column) -> Column:
-    """As grams_of, over a text, and first an empty one, which stands for the text itself."""
-    cue = F.array(*[F.lit(c) for c in CUES])
-    runs = lambda words, n: F.transform(F.sequence(F.lit(0), F.size(words) - n), lambda i: F.slice(words, i + 1, n))
-    some = lambda words, n: F.when(F.size(words) >= n, F.transform(F.filter(runs(words, n), lambda g: F.arrays_overlap(g, cue)), lambda g: F.array_join(g, " "))).otherwise(F.array().cast("array<string>"))
-    return _let(_words(text), lambda words: F.array_distinct(F.concat(F.array(F.lit("")), *[some(words, n) for n in NGRAMS])))
+def _grams(words: Column, vocabulary: list[str]) -> Column:
+    """As grams_of, over an array of words, those of words of the vocabulary; and first an empty one, which stands for the text itself."""
+    known = lambda words, i: F.get(words, i).isin(vocabulary)
+    gram = lambda words, i, n: F.concat_ws(" ", *[F.get(words, i + j) for j in range(n)])
+    grams = lambda words, at: F.flatten(F.array(*[F.transform(at[n - 1], lambda i: gram(words, i, n)) for n in NGRAMS]))
+
+    def of_words(words: Column) -> Column:
+        one = F.filter(F.sequence(F.lit(0), F.size(words)), lambda i: known(words, i))
+        return _let(one, lambda a: _let(F.filter(a, lambda i: known(words, i + 1)), lambda b: grams(words, [a, b, F.filter(b, lambda i: known(words, i + 2))])))
+
+    return F.array_distinct(F.concat(F.array(F.lit("")), _let(words, of_words)))
 
 
 def _words(text: Column) -> Column:
@@ -174,7 +188,7 @@ def _words(text: Column) -> Column:
 
 def _paragraphs(docs: DataFrame) -> DataFrame:
     """doc_id, of (a hash of the text), paragraph (the number of its first line) and its lines."""
-    text = docs.select("doc_id", text_of(docs).alias("text")).where(F.col("text").rlike(_CUE))
+    text = docs.select("doc_id", text_of(docs).alias("text"))
     at = lambda xs, i: F.coalesce(F.get(xs, i), F.lit(False))
     numbers = lambda xs: F.sequence(F.lit(0), F.size(xs))
     first = lambda said: F.filter(numbers(said), lambda i: at(said, i) & ~at(said, i - 1))
@@ -182,25 +196,39 @@ def _paragraphs(docs: DataFrame) -> DataFrame:
     spans = _let(F.transform("lines", lambda x: x.rlike(_SAID)), lambda said: F.arrays_zip(first(said).alias("first"), last(said).alias("last")))
     lined = text.select("doc_id", F.xxhash64("text").alias("of"), F.split("text", "\n").alias("lines"))
     found = lined.select("doc_id", "of", "lines", F.explode(spans).alias("x"))
-    found = found.select("doc_id", "of", F.col("x.first").alias("paragraph"), F.slice("lines", F.col("x.first") + 1, F.col("x.last") - F.col("x.first") + 1).alias("lines"))
-    return found.where(F.array_join("lines", " ").rlike(_CUE))
+    return found.select("doc_id", "of", F.col("x.first").alias("paragraph"), F.slice("lines", F.col("x.first") + 1, F.col("x.last") - F.col("x.first") + 1).alias("lines"))
+
+
+def _bound(words: Column, vocabulary: list[str], gain: dict[str, float]) -> Column:
+    """At least the sum of the gains of the grams of the words. Gains are looked up by hash; of those in one cell the largest counts."""
+    cells = [0.0] * CELLS
+    spark = SparkSession.active()
+    for g, cell in spark.createDataFrame([(g,) for g in gain], "g string").select("g", F.pmod(F.xxhash64("g"), F.lit(CELLS))).collect():
+        cells[cell] = max(cells[cell], gain[g])
+    table = F.from_json(F.lit(json.dumps(cells)), "array<double>")
+    return F.aggregate(_grams(words, vocabulary), F.lit(0.0), lambda acc, g: acc + F.get(table, F.pmod(F.xxhash64(g), F.lit(CELLS)).cast("int")))
 
 
-def _parts(paragraphs: DataFrame) -> DataFrame:
+def _parts(paragraphs: DataFrame, vocabulary: list[str], gain: dict[str, float], least: float) -> DataFrame:
     """The parts of each paragraph where a notice may stand: the paragraph, its pieces, and runs of pieces of up to RUN_WORDS words.
 
-    Pieces are lines; a line of more than RUN_WORDS words is cut at the ends of its sentences.
+    Pieces are lines; a line of more than RUN_WORDS words is cut at the ends of its sentences. Left out are pieces and runs
+    whose gains are below the least: none of them can be named.
     """
     short = lambda x: F.size(_words(x)) <= RUN_WORDS
     cut_up = lambda x: F.when(short(x), F.array(x)).otherwise(F.split(x, r"(?<=[.!?;:])\s+"))
-    pieces = F.flatten(F.transform("lines", lambda x, i: F.transform(cut_up(x), lambda y: F.struct(i.alias("line"), y.alias("text"), F.size(_words(y)).alias("n")))))
+    pieces = F.flatten(F.transform("lines", lambda x, i: F.transform(cut_up(x), lambda y: F.struct(i.alias("line"), y.alias("text"), _words(y).alias("words")))))
+    pieces = F.filter(pieces, lambda x: F.size(x["words"]) > 0)
+    # Grams may reach into the next pieces: they are counted where they begin.
+    reach = lambda xs, i: F.concat(xs[i]["words"], F.slice(F.flatten(F.transform(F.slice(xs, i + 2, 2), lambda x: x["words"])), 1, max(NGRAMS) - 1))
+    told = _let(pieces, lambda xs: F.transform(xs, lambda x, i: F.struct(x["line"].alias("line"), x["text"].alias("text"), F.size(x["words"]).alias("n"), _bound(reach(xs, i), vocabulary, gain).alias("gain"))))
     step = lambda acc, x: F.struct((acc["sum"] + x["n"]).alias("sum"), F.when(acc["sum"] + x["n"] <= RUN_WORDS, acc["k"] + 1).otherwise(acc["k"]).alias("k"))
     longest = lambda xs, i: F.aggregate(F.slice(xs, i + 1, RUN_WORDS), F.struct(F.lit(0).alias("sum"), F.lit(0).alias("k")), step)["k"]
+    gains = lambda xs, i, k: F.aggregate(F.slice(xs, i + 1, k), F.lit(0.0), lambda acc, x: acc + x["gain"])
     part = lambda xs, i, k: F.struct(xs[i]["line"].alias("line"), i.alias("at"), k.alias("k"), F.array_join(F.transform(F.slice(xs, i + 1, k), lambda x: x["text"]), " ").alias("text"))
-    runs = lambda xs, i: F.transform(F.sequence(F.lit(1), F.greatest(longest(xs, i), F.lit(1))), lambda k: part(xs, i, k))
+    runs = lambda xs, i: F.transform(F.filter(F.sequence(F.lit(1), F.greatest(longest(xs, i), F.lit(1))), lambda k: gains(xs, i, k) > least), lambda k: part(xs, i, k))
     all_ = lambda xs: F.concat(F.array(part(xs, F.lit(0), F.size(xs))), F.flatten(F.transform(F.sequence(F.lit(0), F.size(xs) - 1), lambda i: runs(xs, i))))
-    said = _let(F.filter(pieces, lambda x: x["n"] > 0), lambda xs: F.when(F.size(xs) > 0, all_(xs)))
-    return paragraphs.select(*_KEY, F.explode(said).alias("x")).select(*_KEY, "x.*")
+    return paragraphs.select(*_KEY, F.explode(_let(told, lambda xs: F.when(F.size(xs) > 0, all_(xs)))).alias("x")).select(*_KEY, "x.*")
 
 
 def _apart(parts: Column) -> Column:
@@ -211,7 +239,7 @@ def _apart(parts: Column) -> Column:
 
 
 def scan_licenses(docs: DataFrame, least_probability: float = LEAST_PROBABILITY, least_similarity: float = LEAST_SIMILARITY) -> DataFrame:
-    """doc_id, paragraph, family, probability, similarity, confirmed: the notices of each paragraph that has a cue word, or one row `unknown`.
+    """doc_id, paragraph, family, probability, similarity, confirmed: the notices of each paragraph, or one row `unknown`.
 
     Paragraphs are parted by lines without letters and digits; the breaks between their lines count as blanks, so a notice
     may be wrapped anywhere. Notices are looked for in the parts of a paragraph (see _parts), since several can stand in one
@@ -223,12 +251,13 @@ def scan_licenses(docs: DataFrame, least_probability: float = LEAST_PROBABILITY,
     largest share of a template of that family that the part has, and confirms it.
 
     Nulls: a null text has no paragraphs. Of equal probabilities the class first by name counts. Equal rows give equal rows
-    once: a document is known by doc_id and text. Empty tables, and texts without cues, give no rows; other columns are
-    left aside. Texts of any length are scanned whole.
+    once: a document is known by doc_id and text. Empty tables, and texts without letters and digits, give no rows; other
+    columns are left aside. Texts of any length are scanned whole.
     """
     spark, (classes, weights, bias) = docs.sparkSession, train()
     # The table is made from the fixed notices above: its size does not depend on the data.
     names = [(f"{name}/{i}", name, grams_of(words_of(t))) for name in sorted(TEMPLATES) for i, t in enumerate(TEMPLATES[name])]
+    vocabulary = sorted({w for g in weights for w in g.split(" ")})
     known = {"", *weights}.union(*(x for _, _, x in names))
     columns, gains = [f"w{c}" for c in range(len(classes))], [f"u{c}" for c in range(len(classes) - 1)]
     zero = [0.0] * len(classes)
@@ -240,7 +269,7 @@ def scan_licenses(docs: DataFrame, least_probability: float = LEAST_PROBABILITY,
 
     def scored(parts: DataFrame, key: list[str], *more: Column) -> DataFrame:
         """With best and probability. Copies of a row are summed with it, so sums are divided by their number."""
-        met = parts.select(*key, F.explode(_grams(F.col("text"))).alias("gram")).join(F.broadcast(table), "gram")
+        met = parts.select(*key, F.explode(_grams(_words(F.col("text")), vocabulary)).alias("gram")).join(F.broadcast(table), "gram")
         logits = F.array(*[F.lit(b) + F.sum(c) / copies for c, b in zip(columns, bias, strict=True)])
         total = lambda z, top: F.aggregate(z, F.lit(0.0), lambda acc, x: acc + F.exp(x - top))
         best = lambda z, top: F.element_at(F.array(*map(F.lit, classes)), F.array_position(z, top).cast("int"))
@@ -256,7 +285,9 @@ def scan_licenses(docs: DataFrame, least_probability: float = LEAST_PROBABILITY,
     looked = paragraphs.join(some.withColumnRenamed("of", "__of"), (F.col("of") == F.col("__of")) & (F.col("paragraph") == F.col("first")), "left_semi")
 
     place = [*_KEY, "line", "at", "k"]
-    parts = scored(_parts(looked), place, F.flatten(F.collect_list("templates")).alias("hits"), copies.alias("copies")).where((F.col("best") != UNKNOWN) & (F.col("probability") >= least_probability))
+    gain = {g: max(0.0, *(v - w[-1] for v in w[:-1])) for g, w in weights.items()}
+    least = bias[-1] - max(bias[:-1]) - 1e-6
+    parts = scored(_parts(looked, vocabulary, gain, least), place, F.flatten(F.collect_list("templates")).alias("hits"), copies.alias("copies")).where((F.col("best") != UNKNOWN) & (F.col("probability") >= least_probability))
     own = F.create_map(*[x for name in sorted(TEMPLATES) for x in (F.lit(name), F.array(*[F.lit(n) for n, of, _ in names if of == name]))])
     count = F.create_map(*[F.lit(x) for n, _, x in names for x in (n, float(len(x)))])
     similar = F.array_max(F.transform(own[F.col("best")], lambda n: F.size(F.filter("hits", lambda h: h == n)) / F.col("copies") / count[n]))

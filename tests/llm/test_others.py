@@ -202,6 +202,15 @@ def test_wrapped_notices_are_seen_whole(spark):
     assert [x for x in sorted(by[101]) if x[2]] == [(2, "gpl-3.0", True), (9, "mit", True), (11, "apache-2.0", True)]
 
 
+def test_notices_need_no_cue_word(spark):
+    notices = {"Released under the GPLv3.": "gpl-3.0", "Released under MIT.": "mit", "Distributed under the AGPLv3": "agpl-3.0", "Dedicated to the public domain.": "cc0-1.0"}
+    others = ["Licensing: GPLv2+", "Lizenz: MIT", "Er war mit ihm in der Stadt.", "Кот и пёс", "the of and to"]
+    docs = spark.createDataFrame([*enumerate([*notices, *others]), (50, "--\n\n")], "doc_id long, text string")
+    got = {r.doc_id: r for r in L.scan_licenses(docs).collect()}
+    assert [got[i].family for i in range(len(notices))] == [*notices.values()]
+    assert set(got) == set(range(len(notices) + len(others))) and {got[i].family for i in got if i >= len(notices)} == {L.UNKNOWN}
+
+
 # ---- The pipeline
 def test_pipeline_against_its_operators(spark):
     sf = "/root/testdata/sf0.001"
