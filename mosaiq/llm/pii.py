@@ -79,16 +79,30 @@ def _emails(text: str) -> Iterator[tuple[int, int]]:
             at = text.find("@", at + 1)
 
 
+def _ibans(text: str) -> Iterator[tuple[int, int]]:
+    """The longest of the ends of groups at which the check digits hold: a word in capitals may follow the number."""
+    at = 0
+    while m := _IBAN.search(text, at):
+        start, found = m.start(), m.group()
+        ends = [len(found), *(i for i in range(len(found) - 1, 0, -1) if found[i] == " ")]
+        end = next((e for e in ends if _confirmed("iban", found[:e])), None)
+        if end:
+            yield start, start + end
+        at = start + (end or 1)
+
+
 def _proposed(text: str) -> Iterator[tuple[str, int, int]]:
     for start, end in _emails(text):
         yield "email", start, end
-    for kind, pattern in (("ip", _IP), ("card", _CARD), ("phone", _PHONE), ("iban", _IBAN), ("card_short", _CARD_SHORT), ("ssn", _SSN), ("phone_local", _PHONE_LOCAL)):
+    for kind, pattern in (("ip", _IP), ("card", _CARD), ("phone", _PHONE), ("card_short", _CARD_SHORT), ("ssn", _SSN), ("phone_local", _PHONE_LOCAL)):
         for m in pattern.finditer(text):
             yield kind, m.start(), m.end()
+    for start, end in _ibans(text):
+        yield "iban", start, end
 
 
 def _confirmed(kind: str, found: str) -> bool:
-    """The check of its kind; what fails is dropped and not tried again at another length."""
+    """The check of its kind; what fails is dropped and, but for IBANs, not tried again at another length."""
     if kind == "ip":
         return all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or 0) <= 255 for p in found.split("."))
     if kind in ("card", "card_short"):

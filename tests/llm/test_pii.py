@@ -51,6 +51,16 @@ def test_checksums_and_context():
     assert pii.redact("mail a@b.co now", pii.find("mail a@b.co now")) == "mail [email] now"
 
 
+def test_an_iban_ends_before_a_word_in_capitals():
+    ibans = ["BE68 5390 0754 7034", "ES91 2100 0418 4502 0005 1332", "BE68539007547034", "DE89 3704 0044 0532 0130 00"]
+    for x in ibans:
+        for tail in ("", " EUR", " BIC", " A", " EURO", " PAID NOW", ", EUR", f" {ibans[0]}"):
+            got = [f"IBAN {x}{tail}"[s.start : s.end] for s in pii.find(f"IBAN {x}{tail}") if s.kind == "iban"]
+            assert got == [x] + [ibans[0]] * (tail[1:] == ibans[0])
+    assert [s.start for s in pii.find("bank AB12 ABCD EFGH DE89 3704 0044 0532 0130 00") if s.kind == "iban"] == [20]
+    pii.find("AB12 " * 60_000)
+
+
 def test_long_runs_are_linear():
     for text in ("a" * 300_000, "1" * 300_000, "1." * 150_000, "+" * 300_000, "a@" * 150_000, "1-" * 150_000):
         pii.find(text)
