@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from mosaiq.llm.common import arrow_map, text_of
 
 ERROR_RATE = 0.2
-#: Items with fewer words say too little to be a leak.
+#: Items with fewer words are looked for without edits: a few words with one changed say too little to be a leak.
 LEAST_WORDS = 8
 #: Letters of items that one pass over the documents takes: it bounds what is broadcast.
 BLOCK_CHARS = 16 << 20
@@ -136,12 +136,12 @@ def item_blocks(benchmark: DataFrame, error_rate: float, least_words: int, block
     block, size = [], 0
     for row in benchmark.select("item_id", text_of(benchmark).alias("text")).toLocalIterator():
         words = tuple(m.group().lower() for m in tokens(row["text"]))
-        if len(words) < least_words:
+        if not words:
             continue
         if size and size + len(row["text"]) > block_chars:
             yield block
             block, size = [], 0
-        block.append(Item(row["item_id"], words, int(error_rate * len(words))))
+        block.append(Item(row["item_id"], words, int(error_rate * len(words)) if len(words) >= least_words else 0))
         size += len(row["text"])
     yield block
 
@@ -153,7 +153,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_
     left out or replaced. Case, punctuation and marks between words do not count. Offsets count code points; the stretch is
     the first of least distance about a whole piece.
 
-    Nulls: a null text has no leaks, a null item and items below `least_words` words are not looked for. Equal items each
+    Items below `least_words` words are looked for as they are, without edits.
+
+    Nulls: a null text has no leaks, a null item and items without words are not looked for. Equal items each
     give a leak; equal rows give equal rows. With no items, or no documents, there are no leaks or rows. Other columns are
     left aside. Benchmarks beyond block_chars are taken in several passes, so that what each task holds is bounded.
     """

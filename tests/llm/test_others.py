@@ -69,6 +69,15 @@ def test_leaks_in_tables(spark):
     assert D.leak_report(docs, bench.limit(0)).count() == 0 and D.leak_report(docs.limit(0), bench).count() == 0
 
 
+def test_short_items_are_found_without_edits(spark):
+    items = [(1, "What is two plus two?"), (2, "北京是中华人民共和国的首都"), (3, "..."), (4, None)]
+    texts = ["He asked: what is TWO plus two - and left", "what is two plus three", "说。北京是中华人民共和国的首都。", "...", None, "北京是中华人民"]
+    docs = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    assert {(r.doc_id, *r.item_ids, r.least_distance) for r in D.leak_report(docs, bench).collect()} == {(0, 1, 0), (2, 2, 0)}
+    assert sorted(r.doc_id for r in D.drop_leaked(docs, bench).collect()) == [1, 3, 4, 5]
+
+
 # ---- Mixing
 def plain_seats(seats, votes, most):
     given_ = [0] * len(votes)
