@@ -14,15 +14,18 @@ FROM w LEFT JOIN (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id) g ON w
 
 OP4 = """
 WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
- p AS (SELECT doc_id, i, hash(b[i:i + 399]) AS h FROM (SELECT doc_id, b, unnest(range(1, n - 398)) AS i FROM d)),
- again AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY h) AS c FROM p) WHERE c > 1),
- runs AS (SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM (SELECT doc_id, i, CASE WHEN i > lag(i, 1, -1000) OVER (PARTITION BY doc_id ORDER BY i) + 400 THEN 1 ELSE 0 END AS fresh FROM again)),
- spans AS (SELECT doc_id, min(i) AS a, max(i) + 399 AS z FROM runs GROUP BY doc_id, k),
+ p AS (SELECT doc_id, l, i, hash(b[i:i + l - 1]) AS h FROM (SELECT doc_id, b, l, unnest(range(1, n - l + 2)) AS i FROM d, (VALUES (400), (240)) t(l))),
+ again AS (SELECT doc_id, l, i FROM (SELECT doc_id, l, i, count(*) OVER (PARTITION BY l, h) AS c FROM p) WHERE c > 1),
+ runs AS (SELECT doc_id, l, i, sum(fresh) OVER (PARTITION BY doc_id, l ORDER BY i) AS k FROM (SELECT doc_id, l, i, CASE WHEN i > lag(i, 1, -1000) OVER (PARTITION BY doc_id, l ORDER BY i) + l THEN 1 ELSE 0 END AS fresh FROM again)),
+ every AS (SELECT doc_id, l, min(i) AS a, max(i) + l - 1 AS z FROM runs GROUP BY doc_id, l, k),
+ spans AS (SELECT doc_id, a, z FROM every WHERE l = 400),
  cuts AS (SELECT doc_id, lag(z, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) + 1 AS lo, a - 1 AS hi FROM spans
    UNION ALL SELECT d.doc_id, coalesce(max(z), 0) + 1, any_value(n) FROM d LEFT JOIN spans ON d.doc_id = spans.doc_id GROUP BY d.doc_id),
- kept AS (SELECT d.doc_id, unhex(string_agg(hex(b[lo:hi]), '' ORDER BY lo)) AS b FROM cuts JOIN d ON cuts.doc_id = d.doc_id WHERE hi >= lo GROUP BY d.doc_id)
-SELECT d.doc_id, n::BIGINT AS n_bytes, coalesce(r, 0)::BIGINT AS n_removed, coalesce(s, 0)::BIGINT AS n_spans, sha256(coalesce(kept.b, ''::BLOB)) AS kept_sha256
-FROM d LEFT JOIN (SELECT doc_id, sum(z - a + 1) AS r, count(*) AS s FROM spans GROUP BY doc_id) t ON d.doc_id = t.doc_id LEFT JOIN kept ON d.doc_id = kept.doc_id"""
+ kept AS (SELECT d.doc_id, unhex(string_agg(hex(b[lo:hi]), '' ORDER BY lo)) AS b FROM cuts JOIN d ON cuts.doc_id = d.doc_id WHERE hi >= lo GROUP BY d.doc_id),
+ sums AS (SELECT doc_id, l, sum(z - a + 1) AS r, count(*) AS s FROM every GROUP BY doc_id, l)
+SELECT d.doc_id, n::BIGINT AS n_bytes, coalesce(t.r, 0)::BIGINT AS n_removed, coalesce(t.s, 0)::BIGINT AS n_spans, sha256(coalesce(kept.b, ''::BLOB)) AS kept_sha256,
+ coalesce(u.s, 0)::BIGINT AS n_passages, coalesce(u.r, 0)::BIGINT AS n_passage_bytes
+FROM d LEFT JOIN sums t ON d.doc_id = t.doc_id AND t.l = 400 LEFT JOIN sums u ON d.doc_id = u.doc_id AND u.l = 240 LEFT JOIN kept ON d.doc_id = kept.doc_id"""
 
 _LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 OP7 = rf"""

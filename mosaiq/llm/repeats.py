@@ -32,18 +32,25 @@ _ROOM = 1024  # a stretch's start and its windows share a number
 
 @dataclass(frozen=True)
 class Kind:
-    """What repeats are made of. index(entries, length) gives, for each body of one shard in order, its repeated windows as a mask."""
+    """What repeats are made of.
 
-    length: int
+    lengths are the windows that are looked for, the shortest first: stretches are made of those, and each goes on far
+    enough to hold the longest window that begins in it. index(bodies, counts) gives, for each length, which of the first
+    `count` windows of each body of one shard are repeated, as masks.
+    """
+
+    lengths: tuple[int, ...]
     gram: int
-    stretches: Callable[[W.Bytes, int, int], W.Stretches]
+    stretches: Callable[[W.Bytes, int, int, int], W.Stretches]
     units: Callable[[bytes], list | bytes]
     join: Callable[[list | bytes], bytes]
-    index: Callable[[list[bytes], int], list[np.ndarray]]
+    index: Callable[[list[bytes], list[int]], list[list[np.ndarray]]]
     #: Only windows with an equal one before them count, not the first.
     earlier: bool
-    #: Bytes that an anchor's classes may have to be indexed in a shard. A shard with a quarter of them takes no more anchors.
-    shard_units: int
+    #: A shard takes anchors until it has so many bytes.
+    shard_bytes: int
+    #: The units of an anchor's classes that are indexed as one; beyond them its windows are counted one by one.
+    anchor_units: int
 
 
 def identified(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -65,7 +72,7 @@ def _signed(x: np.ndarray) -> np.ndarray:
 
 def _stretch_rows(texts: DataFrame, kind: Kind) -> DataFrame:
     def per_slice(batch: pa.RecordBatch):
-        found = kind.stretches(W.bytes_of(batch.column(2)), kind.length, kind.gram)
+        found = kind.stretches(W.bytes_of(batch.column(2)), kind.lengths[0], kind.gram, kind.lengths[-1])
         doc, tie = batch.column(0).to_numpy()[found.text], batch.column(1).to_numpy()[found.text]
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in (_signed(found.anchor), _signed(found.content), doc, tie, found.start * _ROOM + found.windows)], names=["h", "sh", "doc", "tie", "at"])
 
@@ -73,7 +80,7 @@ def _stretch_rows(texts: DataFrame, kind: Kind) -> DataFrame:
 
 
 def _bodies(texts: DataFrame, wanted: DataFrame, kind: Kind) -> DataFrame:
-    """The content of the wanted stretches: of large anchors a key for each window, of others the body under the anchor's key."""
+    """The content of the wanted stretches: of large anchors a key for each window of each length, of others the body under the anchor's key, with the length 0."""
 
     def per_slice(batch: pa.RecordBatch):
         out = [[], [], [], [], [], []]
@@ -82,17 +89,17 @@ def _bodies(texts: DataFrame, wanted: DataFrame, kind: Kind) -> DataFrame:
             for x in want:
                 start, count = divmod(x["at"], _ROOM)
                 if x["large"]:
-                    rows = [(hashlib.blake2b(kind.join(units[s : s + kind.length]), digest_size=16).digest(), s * _ROOM + 1, None) for s in range(start, start + count)]
+                    rows = [(n, hashlib.blake2b(kind.join(units[s : s + n]), digest_size=16).digest(), s * _ROOM + 1, None) for n in kind.lengths for s in range(start, min(start + count, len(units) - n + 1))]
                 else:
-                    rows = [(x["h"].to_bytes(8, "big", signed=True), x["at"], kind.join(units[start : start + count + kind.length - 1]))]
-                for key, at, body in rows:
-                    for column, value in zip(out, (x["large"], key, doc, tie, at, body), strict=True):
+                    rows = [(0, x["h"].to_bytes(8, "big", signed=True), x["at"], kind.join(units[start : start + count + kind.lengths[-1] - 1]))]
+                for length, key, at, body in rows:
+                    for column, value in zip(out, (length, key, doc, tie, at, body), strict=True):
                         column.append(value)
-        types = (pa.bool_(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names=["large", "key", "doc", "tie", "at", "body"])
+        types = (pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names=["length", "key", "doc", "tie", "at", "body"])
 
     joined = texts.join(wanted, ["doc", "tie"]).select("doc", "tie", "text", "want")
-    return arrow_map(joined, per_slice, "large boolean, key binary, doc long, tie long, at long, body binary", SLICE)
+    return arrow_map(joined, per_slice, "length int, key binary, doc long, tie long, at long, body binary", SLICE)
 
 
 def runs(mask: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -109,7 +116,7 @@ def _indexed(bodies: DataFrame, kind: Kind) -> DataFrame:
         size, last = 0, None
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if row[0] != last and size >= kind.shard_units // 4:
+                if row[0] != last and size >= kind.shard_bytes:
                     yield close(shard)
                     shard, size = [], 0
                 last = row[0]
@@ -119,25 +126,27 @@ def _indexed(bodies: DataFrame, kind: Kind) -> DataFrame:
             yield close(shard)
 
     def close(shard: list[tuple]) -> pa.RecordBatch:
-        out = [[], [], [], []]
+        out = [[], [], [], [], []]
         begin = 0
         while begin < len(shard):  # a kind that counts only earlier windows has one automaton for each anchor
             end = begin + 1
             while end < len(shard) and (not kind.earlier or shard[end][0] == shard[begin][0]):
                 end += 1
-            for (_, doc, tie, at, _), mask in zip(shard[begin:end], kind.index([r[4] for r in shard[begin:end]], kind.length), strict=True):
-                for start, count in runs(mask):
-                    for column, value in zip(out, (doc, tie, at // _ROOM + start, count), strict=True):
-                        column.append(value)
+            rows = shard[begin:end]
+            for length, masks in zip(kind.lengths, kind.index([r[4] for r in rows], [r[3] % _ROOM for r in rows]), strict=True):
+                for (_, doc, tie, at, _), mask in zip(rows, masks, strict=True):
+                    for start, count in runs(mask):
+                        for column, value in zip(out, (doc, tie, at // _ROOM + start, count, length), strict=True):
+                            column.append(value)
             begin = end
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=["doc", "tie", "start", "windows"])
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=["doc", "tie", "start", "windows", "length"])
 
     dealt = bodies.repartition("key").sortWithinPartitions("key", "doc", "tie", "at")
-    return dealt.mapInArrow(run, "doc long, tie long, start long, windows long")
+    return dealt.mapInArrow(run, "doc long, tie long, start long, windows long, length long")
 
 
 def repeated_windows(texts: DataFrame, kind: Kind) -> DataFrame:
-    """doc, tie and found: an array of (start, windows), of every document with a repeated window."""
+    """doc, tie and found: an array of (start, windows, length), of every document with a repeated window."""
     place = F.struct("doc", "tie", "at")
     rows = _stretch_rows(texts, kind)
     # Written first: a join whose sides come straight from their shuffles lets Spark split the hot anchors.
@@ -145,31 +154,33 @@ def repeated_windows(texts: DataFrame, kind: Kind) -> DataFrame:
     kept = cut(rows.join(twice, "h", "left_semi").sortWithinPartitions("h", "sh"))
     discard(twice)
     classes = cut(kept.groupBy("h", "sh").agg(F.count("*").alias("n"), F.min(place).alias("first")))
-    units = F.sum(F.col("first.at") % _ROOM + (kind.length - 1))
+    units = F.sum(F.col("first.at") % _ROOM + (kind.lengths[-1] - 1))
     # Where all classes are repeated anyway, and the first too, there is nothing to look for.
     open_ = F.count("*") > 1 if kind.earlier else (F.count("*") > 1) & (F.min("n") == 1)
-    groups = classes.groupBy("h").agg(open_.alias("open"), (units * (6 if kind.earlier else 1) > kind.shard_units).alias("large")).where("open").select("h", "large")
+    groups = classes.groupBy("h").agg(open_.alias("open"), (units > kind.anchor_units).alias("large")).where("open").select("h", "large")
     wanted = classes.join(groups, "h").select("first.*", "h", "large").groupBy("doc", "tie").agg(F.collect_list(F.struct("h", "at", "large")).alias("want"))  # of one document
     bodies = cut(_bodies(texts, wanted, kind))
-    inner = _indexed(bodies.where("NOT large").select("key", "doc", "tie", "at", "body"), kind)
-    single = bodies.where("large").select("key", "doc", "tie", "at")
-    counted = single.groupBy("key").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1")
-    split = lambda df: df.select("doc", "tie", F.floor(F.col("at") / _ROOM).alias("start"), (F.col("at") % _ROOM).alias("windows"))
+    inner = _indexed(bodies.where("length = 0").select("key", "doc", "tie", "at", "body"), kind)
+    single = bodies.where("length > 0").select("key", "length", "doc", "tie", "at")
+    counted = single.groupBy("key", "length").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1")
+    split = lambda df: df.select("doc", "tie", F.floor(F.col("at") / _ROOM).alias("start"), (F.col("at") % _ROOM).alias("windows"), F.col("length").cast("long").alias("length"))
     other = (place != F.col("first")) if kind.earlier else F.lit(True)
-    by_window = split(single.join(counted, "key").where(other))
-    whole = split(kept.join(classes.where("n > 1"), ["h", "sh"]).where(other))
-    found = cut(whole.unionByName(by_window).unionByName(inner).groupBy("doc", "tie").agg(F.collect_list(F.struct("start", "windows")).alias("found")))
+    by_window = split(single.join(counted, ["key", "length"]).where(other))
+    copies = kept.join(classes.where("n > 1"), ["h", "sh"]).where(other)
+    whole = split(copies.withColumn("length", F.explode(F.array(*map(F.lit, kind.lengths)))) if len(kind.lengths) > 1 else copies.withColumn("length", F.lit(kind.lengths[0])))
+    found = cut(whole.unionByName(by_window).unionByName(inner).groupBy("doc", "tie").agg(F.collect_list(F.struct("start", "windows", "length")).alias("found")))
     discard(kept, classes, bodies)
     return found
 
 
 def removed_mask(n: int, length: int, found: list[dict] | None) -> np.ndarray | None:
-    """Which of n units the found windows cover; None if none."""
+    """Which of n units the found windows of a length cover; None if none. Windows that would reach beyond the text are none."""
+    found = [x for x in found or () if x["length"] == length and x["start"] + length <= n]
     if not found:
         return None
     change = np.zeros(n + 1, np.int32)
     start = np.array([x["start"] for x in found])
-    end = np.array([x["start"] + x["windows"] + length - 1 for x in found])
+    end = np.minimum(np.array([x["start"] + x["windows"] + length - 1 for x in found]), n)
     np.add.at(change, start, 1)
     np.add.at(change, end, -1)
     return np.cumsum(change[:n]) > 0

@@ -17,7 +17,8 @@ from mosaiq.llm.common import arrow_map
 from mosaiq.llm.repeats import SLICE, Kind, identified, removed_mask, repeated_windows, runs
 
 WINDOW, GRAM = 20, 5
-SHARD_BYTES = 1 << 19
+#: A shard takes anchors until it has so many bytes; an anchor of more words than this is not indexed (see repeats).
+SHARD_BYTES, ANCHOR_WORDS = 1 << 17, 1 << 17
 
 
 class SuffixAutomaton:
@@ -76,7 +77,7 @@ class SuffixAutomaton:
         return out
 
 
-def index(bodies: list[bytes], length: int) -> list[np.ndarray]:
+def index(bodies: list[bytes], length: int = WINDOW) -> list[np.ndarray]:
     """Which windows of each body stand in one before it."""
     automaton, out = SuffixAutomaton(), []
     for i, body in enumerate(bodies):
@@ -88,11 +89,12 @@ def index(bodies: list[bytes], length: int) -> list[np.ndarray]:
     return out
 
 
-def kind(window: int = WINDOW, gram: int = GRAM, shard_bytes: int = SHARD_BYTES) -> Kind:
-    return Kind(window, gram, lambda texts, length, gram: W.word_stretches(W.words_of(texts), length, gram), lambda text: text.split(), lambda units: b" ".join(units), index, True, shard_bytes)
+def kind(window: int = WINDOW, gram: int = GRAM, shard_bytes: int = SHARD_BYTES, anchor_words: int = ANCHOR_WORDS) -> Kind:
+    cut = lambda texts, length, gram, wide: W.word_stretches(W.words_of(texts), length, gram, wide)
+    return Kind((window,), gram, cut, lambda text: text.split(), lambda units: b" ".join(units), lambda bodies, counts: [index(bodies, window)], True, shard_bytes, anchor_words)
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = WINDOW, shard_bytes: int = SHARD_BYTES, anchor_words: int = ANCHOR_WORDS) -> DataFrame:
     """doc_id, n_words, n_removed, spans and text: one row per input row.
 
     Removed are the words of each run of `window` words that also starts earlier: in a document of smaller doc_id, or
@@ -103,7 +105,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, shard_bytes: int = SHA
     keep all words. An empty table gives an empty one; other columns are left aside. Texts of any length are taken whole.
     """
     rows, texts = identified(docs)
-    found = repeated_windows(texts, kind(window, min(GRAM, window), shard_bytes))
+    found = repeated_windows(texts, kind(window, min(GRAM, window), shard_bytes, anchor_words))
 
     def per_slice(batch: pa.RecordBatch):
         n, gone, spans, kept = [], [], [], []

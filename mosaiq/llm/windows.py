@@ -127,8 +127,11 @@ class Stretches:
     content: np.ndarray
 
 
-def stretches(units: np.ndarray, offsets: np.ndarray, length: int, gram: int, base: int) -> Stretches:
-    """The stretches of texts over units; text d has units[offsets[d] : offsets[d + 1]]. A text shorter than a window has none."""
+def stretches(units: np.ndarray, offsets: np.ndarray, length: int, gram: int, base: int, wide: int = 0) -> Stretches:
+    """The stretches of texts over units; text d has units[offsets[d] : offsets[d + 1]]. A text shorter than a window has none.
+
+    The content of a stretch reaches to the end of its last window, or of the last of `wide` units if the text goes on so far.
+    """
     none = Stretches(*(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64, np.uint64)))
     n, w = len(units), length - gram + 1
     if n < length:
@@ -153,12 +156,13 @@ def stretches(units: np.ndarray, offsets: np.ndarray, length: int, gram: int, ba
     count = np.add.reduceat(valid.astype(np.int64), heads)
     text = np.searchsorted(offsets, heads, "right") - 1
     del last
-    return Stretches(text, heads - offsets[text], count, grams[place[heads]], sums.hash(heads, heads + count + length - 1))
+    ends = np.minimum(heads + count + max(length, wide) - 1, offsets[text + 1])
+    return Stretches(text, heads - offsets[text], count, grams[place[heads]], sums.hash(heads, ends))
 
 
-def word_stretches(words: Words, length: int, gram: int) -> Stretches:
-    return stretches(words.hash, words.offsets, length, gram, _WORD_BASE)
+def word_stretches(words: Words, length: int, gram: int, wide: int = 0) -> Stretches:
+    return stretches(words.hash, words.offsets, length, gram, _WORD_BASE, wide)
 
 
-def byte_stretches(texts: Bytes, length: int, gram: int) -> Stretches:
-    return stretches(texts.data.astype(np.uint64) + np.uint64(1), texts.offsets, length, gram, _BASE)
+def byte_stretches(texts: Bytes, length: int, gram: int, wide: int = 0) -> Stretches:
+    return stretches(texts.data.astype(np.uint64) + np.uint64(1), texts.offsets, length, gram, _BASE, wide)

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -47,6 +48,20 @@ def plain_words(texts, window=20):
     return out
 
 
+def plain_spans(texts, window):
+    data = [(t or "").encode() for t in texts]
+    seen = Counter(d[i : i + window] for d in data for i in range(len(d) - window + 1))
+    return [[(r.start(), r.end()) for r in re.finditer("1+", "".join(map(str, covered(d, seen, window))))] for d in data]
+
+
+def covered(d, seen, window):
+    gone = np.zeros(len(d), int)
+    for i in range(len(d) - window + 1):
+        if seen[d[i : i + window]] > 1:
+            gone[i : i + window] = 1
+    return gone.tolist()
+
+
 def plain_bytes(texts, window):
     data = [(t or "").encode() for t in texts]
     seen = Counter(d[i : i + window] for d in data for i in range(len(d) - window + 1))
@@ -65,16 +80,21 @@ def plain_bytes(texts, window):
 def test_words_are_removed_as_brute_force_does(spark, seed, shard):
     texts = corpus(seed)
     docs = spark.createDataFrame([(i * 3, t, 1) for i, t in enumerate(texts)], "doc_id long, text string, n_words int").repartition(5)
-    got = {r.doc_id: (r.n_words, r.n_removed, hashlib.sha256(r.text.encode()).hexdigest()) for r in S.remove_repeats(docs, shard_bytes=shard).collect()}
+    got = {r.doc_id: (r.n_words, r.n_removed, hashlib.sha256(r.text.encode()).hexdigest()) for r in S.remove_repeats(docs, shard_bytes=shard, anchor_words=shard // 6).collect()}
     assert [got[i * 3] for i in range(len(texts))] == plain_words(texts)
 
 
-@pytest.mark.parametrize("seed,shard", [(1, 1 << 20), (3, 200)])
-def test_bytes_are_removed_as_brute_force_does(spark, seed, shard):
-    texts, window = corpus(seed), 60
+@pytest.mark.parametrize("seed,shard,anchor", [(1, 1 << 20, 1 << 20), (2, 1, 1 << 20), (3, 200, 200)])
+def test_bytes_are_removed_as_brute_force_does(spark, seed, shard, anchor):
+    texts, window, passage = corpus(seed), 60, 37
+    texts.append("ab" * 70 + "x" + "ba" * 60)  # stretches of one anchor that overlap
+    texts.append("pq rs tu vw xy " + "".join(chr(200 + i) for i in range(9)) + " pq rs tu vw xy " + "k" * 9 + " pq rs tu vw xy")
     docs = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)], "doc_id long, text string, kept int").repartition(5)
-    got = {r.doc_id: (r.n_bytes, r.n_removed, len(r.spans), hashlib.sha256(bytes(r.kept)).hexdigest()) for r in X.remove_repeats(docs, window=window, shard_bytes=shard).collect()}
+    rows = X.remove_repeats(docs, window=window, passage=passage, shard_bytes=shard, anchor_bytes=anchor).collect()
+    got = {r.doc_id: (r.n_bytes, r.n_removed, len(r.spans), hashlib.sha256(bytes(r.kept)).hexdigest()) for r in rows}
     assert [got[i] for i in range(len(texts))] == plain_bytes(texts, window)
+    passages = {r.doc_id: [(x.start, x.end) for x in r.passages] for r in rows}
+    assert [passages[i] for i in range(len(texts))] == plain_spans(texts, passage)
 
 
 def test_default_window_and_long_text(spark):
@@ -126,7 +146,7 @@ def test_run_length_index_measures_all_matches(parts):
         return k
 
     index = X.RunLengthIndex(text)
-    assert index.statistics().tolist() == [max((match(i, j) for j in range(n) if j != i), default=0) for i in range(n)]
+    assert index.match.tolist() == [max((match(i, j) for j in range(n) if j != i), default=0) for i in range(n)]
     assert index.runs <= n
 
 
