@@ -6,6 +6,7 @@ from fractions import Fraction
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from mosaiq.llm import decontamination as D
@@ -170,24 +171,52 @@ def test_overflow_walks_clockwise_and_nothing_is_lost(loads, n):
 
 
 # ---- Licences
-def test_notices_are_named_and_talk_is_not(spark):
-    rows = [(i, f"some words\n{t}\nmore") for i, t in enumerate(x for ts in L.TEMPLATES.values() for x in ts)]
-    names = [n for n, ts in L.TEMPLATES.items() for _ in ts]
-    docs = spark.createDataFrame([*rows, (100, "\n".join(L.OTHERS)), (101, None), (102, "")], "doc_id long, text string").selectExpr("*", "1 AS paragraph")
-    got = L.scan_licenses(docs).collect()
-    named = {r.doc_id: r for r in got if r.doc_id < 100}
-    assert sum(named[i].family == n and named[i].confirmed for i, n in enumerate(names)) >= len(names) - 1
-    assert not any(r.confirmed for r in got if r.doc_id >= 100)
-    assert L.scan_licenses(docs.limit(0)).count() == 0
+#: Sentences about a license that the model was never trained on.
+UNSEEN = ("This program is made available under the {}", "All files here are covered by the {}", "The library, by Jo Blow, is under the {} since 2012", "We chose the {} as our license.", "Copyright 2020 The Authors, {}")
+TALK = (
+    "The members met and the general public was invited.", "He was given permission to drive the old car.", "A new version of the law was published in the city.", "Er geht mit dem Hund in die Stadt.", "They hold a license to fish in the lake.",
+    "Use of the library is free for any person.", "The weather was good, and all of us went to the sea.", "Licensed under the Quux Public License v2", "Rights of the public and of the author", "the apache people lived in the west", "Copyright of the photographs is unclear.",
+)
+
+
+def scanned(spark, rows):
+    by = {}
+    for r in L.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS paragraph")).collect():
+        by.setdefault(r.doc_id, []).append((r.paragraph, r.family, r.confirmed))
+    return {k: sorted(v) for k, v in by.items()}
+
+
+def test_unseen_sentences_name_the_family(spark):
+    cases = [(family, f"Some words of a text.\n\n{said.format(name)}\n\nmore") for family, names in L.NAMES.items() for name in names for k, said in enumerate(UNSEEN) if (len(name) + k) % 2]
+    got = scanned(spark, [*enumerate(t for _, t in cases), *((10_000 + i, t) for i, t in enumerate(TALK)), (20_000, None), (20_001, "--\n \n")])
+    right = sum(any(f == family for _, f, _ in got.get(i, ())) for i, (family, _) in enumerate(cases))
+    assert right >= 0.95 * len(cases)
+    assert all(f == family for i, (family, _) in enumerate(cases) for _, f, sure in got.get(i, ()) if sure)
+    assert not any(f != L.UNKNOWN for i in got if i >= 10_000 for _, f, _ in got[i])
+    assert L.scan_licenses(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_gates_drop_nothing_that_could_be_named(spark):
+    model = L.Model(spark)
+    texts = [*TALK, *(s.format(n) for s in UNSEEN for ns in L.NAMES.values() for n in ns[:2]), "Кот и пёс", "the of and to", "mit", "MIT", ""]
+    rows = spark.createDataFrame([*enumerate(texts)], "i long, text string").select("i", model.cued(F.col("text")).alias("cued"), model.bound(model.grams_of(F.col("text"))).alias("bound"), model.bounds(model.grams_of(F.col("text"))).alias("bounds")).collect()
+    for r in rows:
+        found = [g for g in L.grams_of(L.words_of(texts[r.i])) if g in model.weights]
+        z = [b + sum(model.weights[g][c] for g in found) for c, b in enumerate(model.bias)]
+        open_ = any(r.bounds[c] > model.bias[-1] - b - 1e-6 for c, b in enumerate(model.bias[:-1]))
+        assert r.cued and r.bound > model.least and open_ or max(z[:-1]) < z[-1]
+        assert all(r.bounds[c] >= v - z[-1] - (model.bias[c] - model.bias[-1]) - 1e-6 for c, v in enumerate(z[:-1])) and r.bound >= max(r.bounds) - 1e-6
 
 
 def test_columns_score_as_the_model(spark):
     classes, weights, bias = L.train()
-    lines = ["Released under the MIT License.", "all rights are reserved here", "cc by", "A license. GNU!"]
+    lines = ["Released under the MIT License.", "All rights are reserved here, all rights", "cc by", "A GPL license. GNU!", "Released under the MIT License."]
     docs = spark.createDataFrame([*enumerate(lines)], "doc_id long, text string")
-    for r in L.scan_licenses(docs, 0.0).collect():
+    got = L.scan_licenses(docs, 0.0).collect()
+    for r in got:
         p = L.softmax([b + sum(weights[g][c] for g in L.grams_of(L.words_of(lines[r.doc_id])) if g in weights) for c, b in enumerate(bias)])
         assert r.probability == pytest.approx(max(p), abs=1e-6) and (r.family == classes[p.index(max(p))])
+    assert {r.doc_id for r in got} >= {0, 3, 4}
 
 
 GPL_HEADER = """    This program is free software: you can redistribute it and/or modify
@@ -197,27 +226,24 @@ GPL_HEADER = """    This program is free software: you can redistribute it and/o
 
 
 def test_wrapped_notices_are_seen_whole(spark):
-    long = [(n, t) for n, ts in L.TEMPLATES.items() for t in ts if len(t.split()) > 8]
+    long = [(n, t) for n, ts in L.TEXTS.items() for t in ts if len(t.split()) > 14]
     rows = [(i, "Talk of the day.\n" + textwrap.fill(t, 40) + "\nmore talk") for i, (_, t) in enumerate(long)]
     two = "title\n\n" + GPL_HEADER + "\n \n* * *\n\n# Released under the\r\n# MIT License.\nLicensed under the Apache License, Version 2.0.\n"
-    around = "\n".join(["He came to the house of the old man in the town"] * 20)
-    rows += [(100, GPL_HEADER), (101, two), (101, two), (102, f"{around}\n{GPL_HEADER}\n{around}"), (None, GPL_HEADER)]
-    got = L.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    by = {}
-    for r in got:
-        by.setdefault(r.doc_id, []).append((r.paragraph, r.family, r.confirmed))
+    around = "\n".join(["He came to the house of the old man in the town"] * 400)
+    rows += [(100, GPL_HEADER), (101, two), (101, two), (102, f"{around}\n{GPL_HEADER}\n{around}"), (None, GPL_HEADER), (103, "x " * 50_000 + "\nLicensed under the MIT License.")]
+    by = scanned(spark, rows)
     assert all((n, True) in [x[1:] for x in by[i]] and {x[1] for x in by[i]} == {n} for i, (n, _) in enumerate(long))
-    assert by[100] == by[None] == [(0, "gpl-3.0", True)] and by[102] == [(20, "gpl-3.0", True)]
-    assert [x for x in sorted(by[101]) if x[2]] == [(2, "gpl-3.0", True), (9, "mit", True), (11, "apache-2.0", True)]
+    assert by[100] == by[None] == [(0, "gpl-3.0", True)] and by[102] == [(400, "gpl-3.0", True)] and by[103] == [(1, "mit", True)]
+    assert [x for x in by[101] if x[2]] == [(2, "gpl-3.0", True), (10, "mit", True), (11, "apache-2.0", True)]
 
 
-def test_notices_need_no_cue_word(spark):
-    notices = {"Released under the GPLv3.": "gpl-3.0", "Released under MIT.": "mit", "Distributed under the AGPLv3": "agpl-3.0", "Dedicated to the public domain.": "cc0-1.0"}
-    others = ["Licensing: GPLv2+", "Lizenz: MIT", "Er war mit ihm in der Stadt.", "Кот и пёс", "the of and to"]
-    docs = spark.createDataFrame([*enumerate([*notices, *others]), (50, "--\n\n")], "doc_id long, text string")
-    got = {r.doc_id: r for r in L.scan_licenses(docs).collect()}
-    assert [got[i].family for i in range(len(notices))] == [*notices.values()]
-    assert set(got) == set(range(len(notices) + len(others))) and {got[i].family for i in got if i >= len(notices)} == {L.UNKNOWN}
+def test_known_notices(spark):
+    notices = {
+        "Released under the GPLv3.": "gpl-3.0", "Released under MIT.": "mit", "Code available under MIT.": "mit", "Distributed under the AGPLv3": "agpl-3.0", "Dedicated to the public domain.": "public-domain", "Licensing: GPLv2+": "gpl-2.0",
+        "Lizenz: MIT": "mit", "Licensed under the Eclipse Public License 2.0": "epl-2.0", "Boost Software License": "bsl-1.0", "This is the Unlicense, see below.": "unlicense", "SPDX-License-Identifier: BSD-3-Clause": "bsd",
+    }
+    got = scanned(spark, [*enumerate(notices)])
+    assert {i: [x[1] for x in got.get(i, ())] for i in range(len(notices))} == {i: [f] for i, f in enumerate(notices.values())}
 
 
 # ---- The pipeline
