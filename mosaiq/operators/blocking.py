@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,26 +22,88 @@ def grams(text: Column, n: int = GRAM) -> Column:
     return F.when(F.length(text) >= n, let(F.split(text, ""), runs)).otherwise(F.array().cast("array<string>"))
 
 
-def counted_grams(df: DataFrame, id_col: str, text_col: str, n: int = GRAM) -> DataFrame:
-    """id, gram, tf. Dealt out by id, which is also what the weights need."""
-    dealt = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).repartition("id")
-    return dealt.select("id", F.explode(grams(F.col("text"), n)).alias("gram")).groupBy("id", "gram").agg(F.count("*").cast("double").alias("tf"))
+def spread(df: DataFrame) -> DataFrame:
+    """df, dealt out anew if its scan has fewer splits than there are cores: before costly work, small tables only."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
+# ---- Grams as numbers: GRAM letters of 21 bits each, in the order of the texts.
+def _gram_codes(text: str, n: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct grams of a text and how often each is there."""
+    letters = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    if len(letters) < n:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    codes = letters[: len(letters) - n + 1].copy()
+    for k in range(1, n):
+        codes = codes << 21 | letters[k : len(letters) - n + 1 + k]
+    return np.unique(codes, return_counts=True)
+
+
+def _posted(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """id, gram and tf of every text, counted where the text lies."""
+    kind = df.schema[id_col].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [_gram_codes(t or "") for t in batch.column(1).to_pylist()]
+            rows = pa.array(np.repeat(np.arange(batch.num_rows), [len(g) for g, _ in found]))
+            grams, tf = (np.concatenate(x) if found else np.zeros(0, np.int64) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 2
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), pa.array(grams), pa.array(tf.astype(np.float64))], names=["id", "gram", "tf"])
+
+    return df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"id {kind}, gram long, tf double")
+
+
+def vocabulary(catalog: DataFrame, id_col: str, text_col: str, max_features: int | None = MAX_FEATURES) -> DataFrame:
+    """gram and idf = ln((1 + n) / (1 + df)) + 1, of the grams that are most frequent in the catalog; ties go by the gram.
 
+    Each task sums up its own texts, so that a gram leaves it once.
+    """
 
-def vocabulary(postings: DataFrame, n_docs: int | Column, max_features: int | None = MAX_FEATURES) -> DataFrame:
-    """gram and idf = ln((1 + n) / (1 + df)) + 1, of the grams that are most frequent in the corpus; ties go by the gram."""
-    stats = postings.groupBy("gram").agg(F.count("*").alias("df"), F.sum("tf").alias("total"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grams, df, tf, n = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), 0
+        for batch in batches:
+            found = [_gram_codes(t or "") for t in batch.column(0).to_pylist()]
+            n += batch.num_rows
+            every = np.concatenate([grams, *(g for g, _ in found)])
+            grams, at = np.unique(every, return_inverse=True)
+            df = np.bincount(at, np.concatenate([df, np.ones(len(every) - len(df))]), len(grams)).astype(np.int64)
+            tf = np.bincount(at, np.concatenate([tf, *(c for _, c in found)]), len(grams)).astype(np.int64)
+            if len(grams) > 1 << 20:  # what has been summed up so far may go: sums add up
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (grams, df, tf)], names=["gram", "df", "tf"])
+                grams, df, tf = (np.zeros(0, np.int64),) * 3
+        # Code -1 counts the texts.
+        columns = (np.append(grams, -1), np.append(df, n), np.append(tf, 1 << 62 if n else 0))
+        yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in columns], names=["gram", "df", "tf"])
+
+    summed = catalog.select(F.col(text_col).cast("string")).mapInArrow(run, "gram long, df long, tf long")
+    stats = summed.groupBy("gram").agg(F.sum("df").alias("df"), F.max("tf").alias("most"), F.sum(F.col("tf").cast("decimal(38,0)")).alias("total"))
+    n = stats.where("gram = -1").select(F.col("df").alias("n"))
+    stats = stats.where("gram >= 0")
     if max_features:
         stats = stats.orderBy(F.desc("total"), "gram").limit(max_features)
-    n = F.lit(n_docs) if isinstance(n_docs, int) else n_docs
-    return stats.select("gram", (F.log((n + 1) / (F.col("df") + 1)) + 1).alias("idf"))
+    return stats.crossJoin(F.broadcast(n)).select("gram", (F.log((F.col("n") + 1) / (F.col("df") + 1)) + 1).alias("idf"))  # one row
 
 
-def weigh(postings: DataFrame, idf: DataFrame) -> DataFrame:
-    """id, gram, w: tf * idf, of unit length for each id. Grams out of the vocabulary are left out.
+@dataclass
+class Weights:
+    """The vocabulary in order, and its weights: at most MAX_FEATURES, so that each task can hold them."""
 
-    The vocabulary has a bound, so it is broadcast; the grams of one id come together for their length.
-    """
+    grams: np.ndarray
+    idf: np.ndarray
+
+    def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """Places in the vocabulary and tf * idf there, of unit length."""
+        grams, tf = _gram_codes(text)
+        at = np.minimum(np.searchsorted(self.grams, grams), max(0, len(self.grams) - 1))
+        known = self.grams[at] == grams if len(self.grams) else np.zeros(len(grams), bool)
+        w = tf[known] * self.idf[at[known]]
+        size = np.sqrt(w @ w)
+        return at[known], w / size if size else w
+
+
+def _weigh(postings: DataFrame, idf: DataFrame) -> DataFrame:
+    """id, gram, w: tf * idf, of unit length for each id. Grams out of the vocabulary are left out."""
     raw = postings.join(F.broadcast(idf), "gram").withColumn("w", F.col("tf") * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("id")))
     return raw.withColumn("w", F.col("w") / norm).select("id", "gram", "w")
@@ -48,21 +115,65 @@ def top_k(scored: DataFrame, k: int, query: str = "query_id", candidate: str = "
     return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def tfidf_candidates(queries: DataFrame, catalog: DataFrame, k: int, id_col: str = "entity_id", text_col: str = "text", n: int = GRAM, max_features: int | None = MAX_FEATURES, digits: int = 9) -> DataFrame:
+#: Queries that one pass over the catalog scores, and how many passes are worth it before postings are joined instead.
+TFIDF_BLOCK, TFIDF_PASSES = 256, 16
+
+
+def tfidf_candidates(queries: DataFrame, catalog: DataFrame, k: int, id_col: str = "entity_id", text_col: str = "text", max_features: int | None = MAX_FEATURES, digits: int = 9, block: int = TFIDF_BLOCK, passes: int = TFIDF_PASSES) -> DataFrame:
     """query_id, candidate_id, score, rank: the k catalog rows of highest cosine for each query; none share no gram.
 
     The vocabulary and its weights are those of the catalog. Scores are rounded before they are ranked, so that the order
-    of additions decides no tie.
+    of additions decides no tie. A few queries are scored in blocks against each catalog row where it lies, and each batch
+    of rows gives its own k best; beyond block * passes queries the postings are joined by gram.
     """
-    own = counted_grams(catalog, id_col, text_col, n)
-    idf = vocabulary(own, catalog.count(), max_features)
-    c, q = weigh(own, idf), weigh(counted_grams(queries, id_col, text_col, n), idf)
+    idf = vocabulary(catalog, id_col, text_col, max_features)
+    few = queries.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).limit(block * passes + 1).collect()
+    if len(few) <= block * passes:
+        rows = idf.orderBy("gram").collect()
+        weights = Weights(np.array([r["gram"] for r in rows], np.int64), np.array([r["idf"] for r in rows], np.float64))
+        kinds = (queries.schema[id_col].dataType.simpleString(), catalog.schema[id_col].dataType.simpleString())
+        scored = None
+        for at in range(0, max(1, len(few)), block):
+            one = _scored_block(catalog.select(id_col, text_col), few[at : at + block], weights, k, digits, kinds)
+            scored = one if scored is None else scored.unionByName(one)
+        return top_k(scored, k)
+    c, q = (_weigh(_posted(x, id_col, text_col), idf) for x in (catalog, queries))
     # Only grams that a query has can score.
     hits = q.select(F.col("id").alias("query_id"), "gram", F.col("w").alias("wq")).join(c.select(F.col("id").alias("candidate_id"), "gram", F.col("w").alias("wc")), "gram")
     scored = hits.groupBy("query_id", "candidate_id").agg(F.round(F.sum(F.col("wq") * F.col("wc")), digits).alias("score"))
     return top_k(scored, k)
 
 
+def _scored_block(catalog: DataFrame, queries: list, weights: Weights, k: int, digits: int, kinds: tuple[str, str]) -> DataFrame:
+    """query_id, candidate_id, score: of each batch of the catalog the rows that are among the batch's k best for a query."""
+    vectors = [weights.vector(q["text"] or "") for q in queries]
+    used = np.unique(np.concatenate([at for at, _ in vectors])) if vectors else np.zeros(0, np.int64)
+    table = np.zeros((len(used), len(vectors)))
+    for i, (at, w) in enumerate(vectors):
+        table[np.searchsorted(used, at), i] = w
+    row = np.full(len(weights.grams) + 1, -1, np.int64)
+    row[used] = np.arange(len(used))
+    shared = catalog.sparkSession.sparkContext.broadcast((weights, table, row, [q["id"] for q in queries]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights, table, row, names = shared.value
+        for batch in batches:
+            scores = np.zeros((batch.num_rows, table.shape[1]))
+            for i, text in enumerate(batch.column(1).to_pylist()):
+                at, w = weights.vector(text or "")
+                met = row[at] >= 0
+                scores[i] = w[met] @ table[row[at[met]]]
+            some = scores > 0
+            scores = np.round(scores, digits)
+            if len(scores) > k:  # ties with the last of the k stay
+                least = -np.partition(-np.where(some, scores, -1.0), k - 1, 0)[k - 1]
+                some &= scores >= least
+            doc, query = np.nonzero(some)
+            yield pa.RecordBatch.from_arrays([pa.array(names).take(pa.array(query)), batch.column(0).take(pa.array(doc)), pa.array(scores[doc, query])], names=["query_id", "candidate_id", "score"])
+
+    return catalog.mapInArrow(run, f"query_id {kinds[0]}, candidate_id {kinds[1]}, score double")
+
+
 def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
 

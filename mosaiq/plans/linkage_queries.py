@@ -42,6 +42,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
+    """A table of long texts, dealt out to all cores where its file has fewer splits."""
+    return B.spread(table(spark, sf_dir, name))
+
+
 # ---- SQL pieces ------------------------------------------------------------------------------------------------------
 def quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
@@ -102,10 +107,45 @@ def sql_ratio_table(pairs: str, a: str, b: str, keys: str) -> str:
     )"""
 
 
+def sql_masks(a: str, b: str) -> str:
+    """For each letter of b the places of a with the same letter, as the bits of a number."""
+    return f"list_transform(range(1, length({b}) + 1), lambda j: coalesce(list_sum(list_transform(range(0, length({a})), lambda i: CASE WHEN substr({a}, i + 1, 1) = substr({b}, j, 1) THEN 1::HUGEINT << i ELSE 0::HUGEINT END)), 0)::HUGEINT)"
+
+
+def sql_lcs(a: str, masks: str) -> str:
+    """The length of the common subsequence of a and what the masks stand for: the zeros that are left of as many ones."""
+    full = f"((1::HUGEINT << length({a})) - 1)"
+    return f"(length({a}) - bit_count(list_reduce({masks}, lambda v, m: ((v + (v & m)) | (v - (v & m))) & {full}, {full})))"
+
+
+def sql_pair_ratio(a: str, b: str, masks: str) -> str:
+    return f"(CASE WHEN length({a}) + length({b}) = 0 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE * {sql_lcs(a, masks)} / (length({a}) + length({b})) END)"
+
+
+def sql_partial(a: str, b: str, masks: str) -> str:
+    """Of a, the shorter and not empty: the best ratio to a stretch of b."""
+    lo, hi = "greatest(i, 0)", f"least(i + length({a}), length({b}))"
+    return f"list_max(list_transform(range(1 - length({a}), length({b})), lambda i: 2.0::DOUBLE * {sql_lcs(a, f'{masks}[{lo} + 1:{hi}]')} / (length({a}) + {hi} - {lo})))"
+
+
+def sql_partials(pairs: str, keys: str, a: str, b: str) -> str:
+    """partials: keys and r, the partial ratio of the strings a and b of pairs."""
+    return f"""
+    turned AS (SELECT {keys}, CASE WHEN length({a}) <= length({b}) THEN {a} ELSE {b} END AS x, CASE WHEN length({a}) <= length({b}) THEN {b} ELSE {a} END AS y FROM {pairs}),
+    both_ways AS (SELECT {keys}, x, y FROM turned UNION ALL SELECT {keys}, y, x FROM turned WHERE length(x) = length(y)),
+    masked AS (SELECT *, {sql_masks('x', 'y')} AS ms FROM both_ways),
+    partials AS (SELECT {keys}, max(CASE WHEN x = '' THEN (CASE WHEN y = '' THEN 1.0 ELSE 0.0 END)::DOUBLE ELSE {sql_partial('x', 'y', 'ms')} END) AS r FROM masked GROUP BY {keys})"""
+
+
+def sql_ratios(name: str, pairs: str, keys: str, a: str, b: str) -> str:
+    """A table of that name: keys and r, the ratio of the strings a and b of pairs."""
+    return f"{name} AS (SELECT {keys}, max({sql_pair_ratio('x', 'y', 'ms')}) AS r FROM (SELECT *, {sql_masks('x', 'y')} AS ms FROM (SELECT {keys}, {a} AS x, {b} AS y FROM {pairs})) GROUP BY {keys})"
+
+
 # ---- Normalisation ---------------------------------------------------------------------------------------------------
 @query("norm_name", f"SELECT doc_id, {sql_norm('text')} AS norm_name FROM documents")
 def norm_name(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", T.normalize_text(F.col("text")).alias("norm_name"))
+    return texts(spark, sf_dir).select("doc_id", T.normalize_text(F.col("text")).alias("norm_name"))
 
 
 @query("norm_url", f"SELECT page_id, {sql_strip_url('url')} AS bare_url, {sql_norm('url')} AS norm_url FROM pages")
@@ -231,7 +271,7 @@ def token_set_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return part.select("p_partkey", F.round(S.ratio_of("set", F.col("a"), F.col("b")), 9).alias("token_set_ratio"))
 
 
-@query("partial_ratio")
+@query("partial_ratio", f"WITH pairs AS ({_PART_PAIRS}), {sql_partials('pairs', 'a, b', 'a', 'b')} SELECT p_partkey, round(r, 9) AS partial_ratio FROM part JOIN partials ON lower(p_name) = a AND lower(p_type || ' ' || p_name) = b")
 def partial_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _part_pairs(spark, sf_dir).select("p_partkey", F.round(S.ratio_of("partial", F.col("a"), F.col("b")), 9).alias("partial_ratio"))
 
@@ -266,7 +306,38 @@ def flag_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _record_pairs(spark, sf_dir).select("s1_id", "cand_id", *[c.alias(n) for n, c in made.items()])
 
 
-@query("pair_features")
+def _sql_words(x: str) -> str:
+    return f"list_filter(string_split({x}, ' '), lambda w: w <> '')"
+
+
+def _sql_sets(name: str, pairs: str, keys: str, a: str, b: str) -> str:
+    """A table of that name: keys and r, the set ratio of the words of a and b."""
+    left, right = "trim(i || ' ' || dx)", "trim(i || ' ' || dy)"
+    asked = f"SELECT {keys}, x, y, i, dx, dy, {left} AS p, {right} AS q FROM {name}_parts UNION ALL SELECT {keys}, x, y, i, dx, dy, i, {left} FROM {name}_parts WHERE i <> '' UNION ALL SELECT {keys}, x, y, i, dx, dy, i, {right} FROM {name}_parts WHERE i <> ''"
+    joined = lambda x, test: f"array_to_string(list_sort(list_filter({x}, lambda w: {test})), ' ')"
+    return f"""{name}_sets AS (SELECT {keys}, list_distinct({_sql_words(a)}) AS x, list_distinct({_sql_words(b)}) AS y FROM {pairs}),
+    {name}_parts AS (SELECT {keys}, x, y, {joined('x', 'list_contains(y, w)')} AS i, {joined('x', 'NOT list_contains(y, w)')} AS dx, {joined('y', 'NOT list_contains(x, w)')} AS dy FROM {name}_sets),
+    {name} AS (SELECT {keys}, max(CASE WHEN len(x) = 0 OR len(y) = 0 THEN 0.0::DOUBLE WHEN i <> '' AND (dx = '' OR dy = '') THEN 1.0::DOUBLE ELSE {sql_pair_ratio('p', 'q', 'ms')} END) AS r FROM (SELECT *, {sql_masks('p', 'q')} AS ms FROM ({asked})) GROUP BY {keys})"""
+
+
+def _sql_pair_features() -> str:
+    sorted_ = lambda x: f"array_to_string(list_sort({_sql_words(x)}), ' ')"
+    distinct = lambda c: f"(SELECT DISTINCT a.{c} AS ka, b.{c} AS kb FROM a JOIN b ON a.country = b.country)"
+    tables = ", ".join([
+        f"names AS {distinct('name')}, streets AS {distinct('street_name')}, cities AS {distinct('city_state')}, addrs AS {distinct('clean_addr')}",
+        sql_ratios("name_r", "names", "ka, kb", "ka", "kb"), sql_ratios("sort_r", "names", "ka, kb", sorted_("ka"), sorted_("kb")), _sql_sets("set_r", "names", "ka, kb", "ka", "kb"), sql_partials("names", "ka, kb", "ka", "kb"),
+        sql_ratios("street_r", "streets", "ka, kb", "ka", "kb"), _sql_sets("city_r", "cities", "ka, kb", "ka", "kb"), sql_ratios("addr_r", "addrs", "ka, kb", sorted_("ka"), sorted_("kb")),
+    ])
+    on = " ".join(f"JOIN {t} ON {t}.ka = a.{c} AND {t}.kb = b.{c}" for t, c in (("name_r", "name"), ("sort_r", "name"), ("set_r", "name"), ("partials", "name"), ("street_r", "street_name"), ("city_r", "city_state"), ("addr_r", "clean_addr")))
+    named = lambda t: f"CASE WHEN a.name <> '' AND b.name <> '' THEN {t}.r ELSE 0.0::DOUBLE END"
+    either = lambda c, t, neither: f"CASE WHEN a.{c} <> '' AND b.{c} <> '' THEN {t}.r WHEN a.{c} = '' AND b.{c} = '' THEN {neither}::DOUBLE ELSE 0.0::DOUBLE END"
+    made = {"name_ratio": named("name_r"), "name_token_sort": named("sort_r"), "name_token_set": named("set_r"), "name_partial": named("partials"), "street_name_sim": either("street_name", "street_r", "0.5"), "city_state_sim": either("city_state", "city_r", "0.5"), "addr_token_sort": either("clean_addr", "addr_r", "0.0")}
+    rows = f"SELECT a.id AS s1_id, b.id AS cand_id, {_FLAGS}, {', '.join(f'{x} AS {n}' for n, x in made.items())} FROM a JOIN b ON a.country = b.country {on}"
+    dba = "CAST(street_name_sim >= 0.85 AND street_num_match = 1.0 AND country_match = 1.0 AS DOUBLE) AS is_dba_pattern"
+    return f"WITH a AS ({_sql_records(_CUSTOMERS, 'S1-', 'c_custkey')}), b AS ({_sql_records(_SUPPLIERS, 'S2-', 's_suppkey')}), {tables} SELECT s1_id, cand_id, {', '.join(f'round({n}, 4) AS {n}' for n in S.FEATURES)} FROM (SELECT *, {dba} FROM ({rows}))"
+
+
+@query("pair_features", _sql_pair_features())
 def pair_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.featurize(_record_pairs(spark, sf_dir))
 
@@ -328,7 +399,7 @@ def _sql_tfidf(k: int) -> str:
 
 def _tfidf(spark: SparkSession, sf_dir: str, k: int = TOP_K) -> DataFrame:
     queries = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("entity_id"), T.normalize_text(F.col("text")).alias("text"))
-    catalog = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("entity_id"), T.normalize_text(F.col("text")).alias("text"))
+    catalog = texts(spark, sf_dir).select(F.col("doc_id").alias("entity_id"), T.normalize_text(F.col("text")).alias("text"))
     return B.tfidf_candidates(queries, catalog, k)
 
 
@@ -364,10 +435,10 @@ _TRUTH = "SELECT b.item_id AS query_id, d.doc_id AS candidate_id FROM benchmark
 
 
 def _truth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """s1_id and cand_id: a stated query set, the items, against all documents."""
+    """s1_id and cand_id: the documents that hold an item's text. Joined by a run of its inner words, then compared as texts."""
     items = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("s1_id"), F.col("text").alias("item"))
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("cand_id"), "text")
-    return docs.join(F.broadcast(items), F.col("text").contains(F.col("item"))).select("s1_id", "cand_id")
+    docs = texts(spark, sf_dir).select(F.col("doc_id").alias("cand_id"), "text")
+    return P.containing(docs, items, "text", "item").select("s1_id", "cand_id")
 
 
 def _scored(spark: SparkSession, sf_dir: str, k: int = WIDE) -> DataFrame:
