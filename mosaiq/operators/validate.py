@@ -8,11 +8,13 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from mosaiq.sources.tables import exists, with_position
+
 EXAMPLES = 5
 #: Each rule, and whether it is an error or a warning.
 RULES = {
     "duplicate_row": "error", "duplicate_id": "error", "self_match": "error", "wrong_prefix": "error", "unknown_id": "error", "missing_s1": "error", "unexpected_s1": "error",
-    "no_tab": "error", "bad_header": "error", "not_utf8": "error", "no_file": "error", "empty_file": "error", "comma_header": "error", "not_in_candidates": "warning", "id_check_off": "warning", "no_candidates": "warning",
+    "no_tab": "error", "bad_header": "error", "not_utf8": "error", "no_file": "error", "empty_file": "error", "comma_header": "error", "not_in_candidates": "warning", "id_check_off": "warning", "no_candidates": "warning", "no_source": "warning",
 }
 
 
@@ -74,21 +76,23 @@ def note(spark: SparkSession, rule: str, example: str) -> DataFrame:
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame | None:
-    """n and value of a file's lines; None without a file. Numbers are exact in files of one split; in larger ones they tell lines apart."""
+    """n and value of a file's lines; None without a file."""
     try:
-        return spark.read.text(path).select((F.monotonically_increasing_id() + 1).alias("n"), "value")
+        return with_position(spark.read.text(path), "n").select("n", "value")
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e):
             return None
         raise
 
 
-def validate_files(spark: SparkSession, matching: str, candidates: str | None, required: DataFrame, valid_ids: DataFrame | None = None) -> DataFrame:
+def validate_files(spark: SparkSession, matching: str, candidates: str | None, required: DataFrame, valid_ids: DataFrame | None = None, sources: tuple[str, ...] = ()) -> DataFrame:
     """All findings about a matching file and, if there is one, its candidate file, against the required s1_id.
 
     A fault of a file's header ends the checks of that file. Without valid_ids a warning says that ids were not looked up.
+    `sources` are the files that the ids come from: a warning names each one that is missing.
     """
     found = [] if valid_ids is not None else [note(spark, "id_check_off", "")]
+    found += [note(spark, "no_source", path) for path in sources if not exists(spark, path)]
     lists = {}
     for name, path, header in (("matched", matching, ("source1_entity_id", "matched_entity_ids")), ("candidates", candidates, ("source1_entity_id", "candidate_entity_ids"))):
         lines = read_lines(spark, path) if path else None
@@ -111,7 +115,8 @@ def validate_files(spark: SparkSession, matching: str, candidates: str | None, r
         found.append(check_lists(lists[name], required, valid_ids))
     if len(lists) == 2:
         found.append(check_subset(lists["matched"], lists["candidates"]))
-    return reduce(DataFrame.unionByName, found)
+    nothing = note(spark, "no_file", "").limit(0)
+    return reduce(DataFrame.unionByName, found, nothing)
 
 
 def list_counts(lists: DataFrame) -> DataFrame:

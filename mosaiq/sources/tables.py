@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,9 +20,54 @@ PAIRS = T.StructType([T.StructField(n, T.DoubleType()) for n in FEATURES] + [T.S
 NO_CONFIG = {"model_mode": "lgbm", "optimal_threshold": 0.80, "singleton_cutoff": 0.76}
 
 
-def read_tsv(spark: SparkSession, path: str, schema: T.StructType, quoted: bool = True) -> DataFrame:
-    """A TSV with a header. Id lists are read without quoting: a quote in them is a letter. Empty values are null."""
-    return spark.read.schema(schema).option("sep", "\t").option("header", True).option("quote", '"' if quoted else "").option("enforceSchema", True).csv(path)
+def read_tsv(spark: SparkSession, path: str, schema: T.StructType, quoted: bool = True, most: int | None = None) -> DataFrame:
+    """A TSV with a header. Id lists are read without quoting: a quote in them is a letter. Empty values are null. `most` limits the rows."""
+    df = spark.read.schema(schema).option("sep", "\t").option("header", True).option("quote", '"' if quoted else "").option("enforceSchema", True).csv(path)
+    return df if most is None else df.limit(most)
+
+
+def with_position(scan: DataFrame, name: str = "pos") -> DataFrame:
+    """A scan of files with each row's position, from 1, by path and place in the file. It must be a scan as it was read.
+
+    Rows are numbered within their split; where a split begins follows from the counts of those before, a row for each.
+    """
+    marked = scan.withColumns({"__file": F.input_file_name(), "__block": F.input_file_block_start(), "__at": F.monotonically_increasing_id()})
+    splits = marked.groupBy("__file", "__block").agg(F.count("*").alias("__n"), F.min("__at").alias("__first"))
+    before = Window.orderBy("__file", "__block").rowsBetween(Window.unboundedPreceding, -1)
+    begin = splits.select("__file", "__block", "__first", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__begin"))
+    return marked.join(begin, ["__file", "__block"]).select(*scan.columns, (F.col("__begin") + F.col("__at") - F.col("__first") + 1).alias(name))
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder, in any store that Spark writes to."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
+def is_complete(spark: SparkSession, path: str, expected: Mapping[str, int]) -> bool:
+    """Whether a catalog is there and has as many rows of each source as are expected."""
+    if not exists(spark, f"{path}/_SUCCESS"):
+        return False
+    found = {r["source"]: r["n"] for r in spark.read.parquet(path).groupBy("source").agg(F.count("*").alias("n")).collect()}  # a few sources
+    return found == {k: n for k, n in expected.items() if n}
+
+
+def save_catalog(s2: DataFrame, s3: DataFrame, path: str) -> DataFrame:
+    """Both noisy sources as one Parquet table, a folder for each source, in order of ids so that lookups skip row groups."""
+    catalog(s2, s3).repartitionByRange("source", "entity_id").sortWithinPartitions("source", "entity_id").write.mode("overwrite").partitionBy("source").parquet(path)
+    return s2.sparkSession.read.parquet(path)
+
+
+def cached(spark: SparkSession, path: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """What make gives, written once and read from then on: vectors, candidates, scores. A write that broke off is made again."""
+    if not exists(spark, f"{path}/_SUCCESS"):
+        make().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """Where the session lets tasks on all machines write: its checkpoint folder, else its warehouse."""
+    return (spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:

@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from mosaiq.plans import file_queries  # noqa: F401  registers its own
 from mosaiq.plans import linkage_queries as L
 
 SF = "/root/testdata/sf0.001"
