@@ -21,9 +21,11 @@ def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> Data
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share, as the session names it. A folder of our own is set only where none is named."""
+    """The folder that all executors share, as the session names it. One of our own is set only on a single machine."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         named = tempfile.mkdtemp(prefix="mosaiq-")
         spark.sparkContext.setCheckpointDir(named)
     return named

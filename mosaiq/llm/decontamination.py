@@ -13,7 +13,7 @@ from typing import NamedTuple
 
 import ahocorasick
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mosaiq.llm.common import arrow_map, text_of
@@ -146,6 +146,11 @@ def item_blocks(benchmark: DataFrame, error_rate: float, least_words: int, block
     yield block
 
 
+def _row(docs: DataFrame) -> Column:
+    """What tells rows apart that share a doc_id, or have none: leaks depend on the text alone."""
+    return F.xxhash64(text_of(docs))
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE, least_words: int = LEAST_WORDS, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """doc_id and leaks: an array of (item_id, start, end, distance) in order, one row per input row and block of items.
 
@@ -159,6 +164,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_
     give a leak; equal rows give equal rows. With no items, or no documents, there are no leaks or rows. Other columns are
     left aside. Benchmarks beyond block_chars are taken in several passes, so that what each task holds is bounded.
     """
+    return _found(docs, benchmark, error_rate, least_words, block_chars).drop("of")
+
+
+def _found(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE, least_words: int = LEAST_WORDS, block_chars: int = BLOCK_CHARS) -> DataFrame:
     kind = benchmark.schema["item_id"].dataType.simpleString()
     out = None
     for block in item_blocks(benchmark, error_rate, least_words, block_chars):
@@ -176,23 +185,26 @@ def _pass(docs: DataFrame, items: list[Item], kind: str) -> DataFrame:
         rows = [[x._asdict() for x in matcher.find(t)] for t in batch.column(1).to_pylist()]
         item = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}.get(kind, pa.string())
         leak = pa.list_(pa.struct([("item_id", item), ("start", pa.int64()), ("end", pa.int64()), ("distance", pa.int64())]))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, leak)], names=["doc_id", "leaks"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(rows, leak)], names=["doc_id", "of", "leaks"])
 
     doc = docs.schema["doc_id"].dataType.simpleString()
-    return arrow_map(docs.select("doc_id", text_of(docs).alias("text")), per_slice, f"doc_id {doc}, leaks array<struct<item_id:{kind},start:bigint,end:bigint,distance:bigint>>")
+    return arrow_map(docs.select("doc_id", text_of(docs).alias("text"), _row(docs).alias("of")), per_slice, f"doc_id {doc}, of long, leaks array<struct<item_id:{kind},start:bigint,end:bigint,distance:bigint>>")
 
 
 def leak_report(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """One row per document with a leak: doc_id, item_ids in order, the number of leaks, the least distance, the spans."""
-    found = find_leaks(docs, benchmark, **options).where(F.size("leaks") > 0)
-    leak = found.select("doc_id", F.explode("leaks").alias("x"))
+    """One row per document with a leak: doc_id, item_ids in order, the number of leaks, the least distance, the spans.
+
+    A document is known by doc_id and text: rows that share a doc_id, or have none, are told apart by their texts, and equal
+    ones have one row.
+    """
+    leak = _found(docs, benchmark, **options).where(F.size("leaks") > 0).select("doc_id", "of", F.explode("leaks").alias("x"))
     spans = F.array_sort(F.collect_set(F.struct("x.start", "x.end", "x.item_id", "x.distance")))
-    out = leak.groupBy("doc_id").agg(F.array_sort(F.collect_set("x.item_id")).alias("item_ids"), spans.alias("s"), F.min("x.distance").alias("least_distance"))
+    out = leak.groupBy("doc_id", "of").agg(F.array_sort(F.collect_set("x.item_id")).alias("item_ids"), spans.alias("s"), F.min("x.distance").alias("least_distance"))  # of one document
     text = F.array_join(F.transform("s", lambda x: F.concat_ws(":", x["item_id"].cast("string"), x["start"].cast("string"), x["end"].cast("string"), x["distance"].cast("string"))), ",")
     return out.select("doc_id", "item_ids", F.size("s").cast("long").alias("n_leaks"), "least_distance", text.alias("spans"))
 
 
 def drop_leaked(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The rows of docs without a leak, with their columns."""
-    bad = find_leaks(docs, benchmark, **options).where(F.size("leaks") > 0).select(F.col("doc_id").alias("__id"))
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["__id"]), "left_anti")
+    """The rows of docs without a leak, with their columns. A row goes by its own text, also where rows share a doc_id or have none."""
+    bad = _found(docs, benchmark, **options).where(F.size("leaks") > 0).select(F.col("doc_id").alias("__id"), F.col("of").alias("__of"))
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["__id"]) & (_row(docs) == bad["__of"]), "left_anti")

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mosaiq.llm import windows as W
-from mosaiq.llm.common import arrow_map, cut, text_of
+from mosaiq.llm.common import WORD, arrow_map, cut, text_of
 from mosaiq.llm.components import components
 from mosaiq.llm.repeats import SLICE
 
@@ -107,14 +107,14 @@ def fingerprints(sets: list[np.ndarray]) -> list[pa.Array]:
 
 
 def _sets_table(docs: DataFrame) -> DataFrame:
-    """doc_id, and the fingerprints n, p, q, sketch of each row's set."""
+    """doc_id, of (a hash of the text), and the fingerprints n, p, q, sketch of each row's set."""
 
     def per_slice(batch: pa.RecordBatch):
         found = fingerprints(shingle_sets(W.bytes_of(batch.column(1))))
-        yield pa.RecordBatch.from_arrays([batch.column(0), *found], names=["doc_id", "n", "p", "q", "sketch"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *found], names=["doc_id", "of", "n", "p", "q", "sketch"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return arrow_map(docs.select("doc_id", text_of(docs).alias("text")), per_slice, f"doc_id {kind}, n long, p long, q long, sketch array<bigint>", SLICE)
+    return arrow_map(docs.select("doc_id", text_of(docs).alias("text"), F.xxhash64(text_of(docs)).alias("of")), per_slice, f"doc_id {kind}, of long, n long, p long, q long, sketch array<bigint>", SLICE)
 
 
 def _common_shingles(texts: DataFrame, n_texts: int) -> np.ndarray:
@@ -244,6 +244,11 @@ def join_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     repeat a doc_id are told apart by their sets. Documents of under five words have one shingle, of all their words. An
     empty table gives an empty one; other columns are left aside. Texts of any length are taken whole.
     """
+    return _joined(docs, percent)[0].select("doc_id", "n_shingles", "component_id")
+
+
+def _joined(docs: DataFrame, percent: int) -> tuple[DataFrame, bool]:
+    """The result with of and group, which is equal for the rows of one component; and whether each doc_id stands once."""
     sets = cut(_sets_table(docs))
     once = sets.groupBy("doc_id").agg(F.count("*").alias("c")).where("c > 1 OR doc_id IS NULL").limit(1).count() == 0
     classes = sets.where("n > 0").groupBy("p", "q", "n").agg(F.min("doc_id").cast("long").alias("least"), F.first("sketch").alias("sketch"))
@@ -252,7 +257,7 @@ def join_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     common = docs.sparkSession.sparkContext.broadcast(_common_shingles(texts, classes.count()))
     groups = cut(_groups(texts, common))
     links, labels = _links(texts, groups, classes, percent)
-    return _result(sets, classes, labels, once)
+    return _result(sets, classes, labels, once), once
 
 
 def _node_texts(docs: DataFrame, sets: DataFrame, classes: DataFrame, once: bool) -> DataFrame:
@@ -317,10 +322,23 @@ def _result(sets: DataFrame, classes: DataFrame, labels: DataFrame, once: bool)
         named = named.withColumn("component", F.col("label"))
     else:
         named = named.join(named.groupBy("label").agg(F.min("least").alias("component")), "label")
-    return sets.join(named.select("p", "q", "n", "component"), ["p", "q", "n"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id").cast("long")).alias("component_id"))
+    component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id").cast("long"))
+    return sets.join(named.select("p", "q", "n", "component", F.col("label").alias("group")), ["p", "q", "n"], "left").select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), "of", "group")
+
 
+def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Of each component one row, that of the least doc_id, with the columns of docs; all documents without words stay.
 
-def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """Of each component the row of the least doc_id, with the columns of docs; all empty documents stay."""
-    found = join_documents(docs, **options).where("doc_id = component_id OR doc_id IS NULL").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["__id"]), "left_semi")
+    A null doc_id comes after all others. Of rows that share the least doc_id the one of least text hash stays, and of rows
+    equal in doc_id and text any one.
+    """
+    found, once = _joined(docs, percent)
+    if once:
+        kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("__id"))
+        return docs.join(kept, docs["doc_id"] == kept["__id"], "left_semi")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "of")
+    first = found.where("n_shingles > 0").groupBy("group").agg(F.min(order).alias("x")).select(F.col("x.doc_id").alias("__id"), F.col("x.of").alias("__of"))
+    told = docs.withColumns({"__text": F.xxhash64(text_of(docs)), "__key": F.col("doc_id")})
+    one = told.join(cut(first), told["doc_id"].eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__of")), "left_semi").dropDuplicates(["__key", "__text"])
+    empty = docs.where(~text_of(docs).rlike(WORD))
+    return one.select(*[one[c] for c in docs.columns]).unionByName(empty)

@@ -75,9 +75,19 @@ def test_rows_without_own_ids(spark):
     assert got == [(0, -1), (0, 9), (1, 5), (36, 5), (36, 5), (37, 5), (37, 5)]
     kept = J.keep_one(docs.withColumn("key", F.lit(1)))
     assert kept.columns == ["doc_id", "text", "key"]
+    assert sorted((r.doc_id or 0, r.text or "") for r in kept.collect()) == [(0, ""), (5, "other words than these"), (5, t), (9, "")]
+    nulls = spark.createDataFrame([(5, t), (5, t), (7, t), (None, t), (None, t), (None, ""), (None, "z " * 40), (None, "z " * 40)], "doc_id long, text string")
+    assert sorted((r.doc_id or 0, r.text) for r in J.keep_one(nulls).collect()) == [(0, ""), (0, "z " * 40), (5, t)]
     assert J.join_documents(docs.limit(0)).count() == 0 and J.keep_one(docs.limit(0)).count() == 0
 
 
+def test_long_texts_are_linked(spark):
+    long = [f"w{i * 7919 % 100_003}" for i in range(60_000)]
+    rows = [(1, " ".join(long)), (2, " ".join(long[:58_000])), (3, " ".join(long[::-1]))]
+    got = {r.doc_id: r.component_id for r in J.join_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 1, 2: 1, 3: 3}
+
+
 def test_slots_of_linked_sets_meet():
     import numpy as np
 

@@ -70,6 +70,14 @@ def test_leaks_in_tables(spark):
     assert D.leak_report(docs, bench.limit(0)).count() == 0 and D.leak_report(docs.limit(0), bench).count() == 0
 
 
+def test_rows_that_share_an_id_leak_each(spark):
+    item = "The quick brown fox jumps over the lazy dog near the old river bank today"
+    rows = [(None, item), (None, "clean"), (None, None), (4, f"x {item}"), (4, "clean"), (4, "clean"), (4, f"y {item}"), (8, "word " * 100_000 + item)]
+    docs, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert sorted((r.doc_id or 0, r.text or "") for r in D.drop_leaked(docs, bench).collect()) == [(0, ""), (0, "clean"), (4, "clean"), (4, "clean")]
+    assert sorted((r.doc_id or 0, r.n_leaks) for r in D.leak_report(docs, bench).collect()) == [(0, 1), (4, 1), (4, 1), (8, 1)]
+
+
 def test_short_items_are_found_without_edits(spark):
     items = [(1, "What is two plus two?"), (2, "北京是中华人民共和国的首都"), (3, "..."), (4, None)]
     texts = ["He asked: what is TWO plus two - and left", "what is two plus three", "说。北京是中华人民共和国的首都。", "...", None, "北京是中华人民"]
@@ -108,6 +116,36 @@ def test_targets_share_all_and_stop_at_the_bound(sizes):
     assert not free or max(free) - min(free) < 1e-6 and all(t / w <= free[0] + 1e-6 for t, w in zip(got, weights, strict=True))
 
 
+def plain_mix(rows, block, seed=17, n_shards=16):
+    """taken by (doc_id, source): every word of each source's stream asks its own block. The order's hash is Spark's."""
+    from pyspark.sql import SparkSession
+
+    spark = SparkSession.getActiveSession()
+    docs = spark.createDataFrame(rows)
+    placed = docs.select("doc_id", "source", F.coalesce("text", F.lit("")).alias("text"), M._place(docs, seed).alias("place")).collect()
+    names = sorted({r.source for r in placed}, key=lambda s: (s is None, (s or "").encode()))
+    streams = {s: [r for r in sorted((r for r in placed if r.source == s), key=lambda r: ((r.place >> 33 & 0x7FFFFFFF) % M.BUCKETS, r.place, r.doc_id or -1)) for _ in r.text.split()] for s in names}
+    plan = M.plan_mix([len(streams[s]) for s in names], block, n_shards=n_shards)
+    taken = {(r.doc_id, r.source): 0 for r in placed if r.doc_id is not None}
+    for s, p in zip(names, plan, strict=True):
+        assert sum(p["quotas"]) == -(-(p["words"] - p["rounds"] * p["source_size"]) // block)
+        chosen = {k + n_shards * i for k, q in enumerate(p["quotas"]) for i in range(q)}
+        for at, r in enumerate(streams[s]):
+            j = at // block
+            extra = j in chosen and (j != p["last"] or at % block < p["cut"])
+            if r.doc_id is not None:
+                taken[r.doc_id, s] += p["rounds"] + extra
+    return taken
+
+
+def test_rows_that_share_an_id_are_mixed_each(spark):
+    rows = [(5, "a b c " * 9, "x"), (5, "d e f " * 9, "y"), (None, "g h i " * 9, "x"), (None, "g h i " * 9, "x"), (None, None, None), (6, "w " * 50_000, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got, mixed = M.mix_sources(docs).collect(), M.mixed_documents(docs).collect()
+    assert len(got) == 6 and all(r.taken <= 3 * r.size for r in got)
+    assert {(r.doc_id, r.source) for r in mixed} == {(r.doc_id, r.source) for r in got if r.taken}
+
+
 def test_mix_of_tables(spark):
     rng = random.Random(5)
     rows = [(i, "w " * rng.randrange(200), rng.choice(["b", "a", "é", None, "a", "a"]), 1) for i in range(300)] + [(900, None, "a", 1), (901, "", "z", 1), (None, "x y", "a", 1), (None, "x y", "a", 1)]
@@ -122,8 +160,7 @@ def test_mix_of_tables(spark):
     assert list(sorted(by, key=lambda s: (s is None, (s or "").encode()))) == ["a", "b", "z", "é", None]
     assert all(abs(t - goal) <= 16 and size == total for t, size, goal, total in by.values())
     assert sorted(map(str, M.mix_sources(docs.repartition(7), block_tokens=16).collect())) == sorted(map(str, got))
-    quota = M.plan_mix([1000, 50, 0], 16)
-    assert all(sum(p["quotas"]) == p["blocks"] for p in quota)
+    assert {(r.doc_id, r.source): r.taken for r in got if r.doc_id is not None} == plain_mix(docs.collect(), 16)
     mixed = Counter(r.doc_id for r in M.mixed_documents(docs, block_tokens=16).collect() if r.doc_id is not None)
     assert all(mixed[r.doc_id] == -(-r.taken // r.size) for r in got if r.taken and r.doc_id is not None)
     assert M.mix_sources(docs.limit(0)).count() == 0
