@@ -27,6 +27,8 @@ from mosaiq.llm.common import arrow_map, cut, discard, text_of
 
 #: Bytes of text that a task looks at at once.
 SLICE = 1 << 20
+#: Rows from which a class is hot, and how many such classes are broadcast.
+HOT, MOST_HOT = 4096, 500_000
 _ROOM = 1024  # a stretch's start and its windows share a number
 
 
@@ -145,6 +147,16 @@ def _indexed(bodies: DataFrame, kind: Kind) -> DataFrame:
     return dealt.mapInArrow(run, "doc long, tie long, start long, windows long, length long")
 
 
+def _in_classes(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """The rows of the classes (h, sh, n, first). Classes of very many rows are few, so they are sent to the rows; a task never gets all rows of one."""
+    hot = classes.where(F.col("n") > HOT)
+    many = hot.count()
+    if not 0 < many <= MOST_HOT:  # beyond that Spark joins by shuffling, and splits what is skewed
+        return rows.join(classes, ["h", "sh"])
+    cold = rows.join(F.broadcast(hot.select("h", "sh")), ["h", "sh"], "left_anti").join(classes.where(F.col("n") <= HOT), ["h", "sh"])
+    return rows.join(F.broadcast(hot), ["h", "sh"]).unionByName(cold)
+
+
 def repeated_windows(texts: DataFrame, kind: Kind) -> DataFrame:
     """doc, tie and found: an array of (start, windows, length), of every document with a repeated window."""
     place = F.struct("doc", "tie", "at")
@@ -166,24 +178,36 @@ def repeated_windows(texts: DataFrame, kind: Kind) -> DataFrame:
     split = lambda df: df.select("doc", "tie", F.floor(F.col("at") / _ROOM).alias("start"), (F.col("at") % _ROOM).alias("windows"), F.col("length").cast("long").alias("length"))
     other = (place != F.col("first")) if kind.earlier else F.lit(True)
     by_window = split(single.join(counted, ["key", "length"]).where(other))
-    copies = kept.join(classes.where("n > 1"), ["h", "sh"]).where(other)
+    copies = _in_classes(kept, classes.where("n > 1")).where(other)
     whole = split(copies.withColumn("length", F.explode(F.array(*map(F.lit, kind.lengths)))) if len(kind.lengths) > 1 else copies.withColumn("length", F.lit(kind.lengths[0])))
     found = cut(whole.unionByName(by_window).unionByName(inner).groupBy("doc", "tie").agg(F.collect_list(F.struct("start", "windows", "length")).alias("found")))
     discard(kept, classes, bodies)
     return found
 
 
-def removed_mask(n: int, length: int, found: list[dict] | None) -> np.ndarray | None:
+Found = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def found_rows(column: pa.Array) -> Iterator[Found]:
+    """For each row of a column `found` its starts, windows and lengths."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    at, values = column.offsets.to_numpy(), column.values
+    start, windows, length = (values.field(k).to_numpy(zero_copy_only=False) for k in range(3))
+    for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+        yield start[a:b], windows[a:b], length[a:b]
+
+
+def removed_mask(n: int, length: int, found: Found) -> np.ndarray | None:
     """Which of n units the found windows of a length cover; None if none. Windows that would reach beyond the text are none."""
-    found = [x for x in found or () if x["length"] == length and x["start"] + length <= n]
-    if not found:
+    start, windows, lengths = found
+    own = (lengths == length) & (start + length <= n)
+    if not own.any():
         return None
     change = np.zeros(n + 1, np.int32)
-    start = np.array([x["start"] for x in found])
-    end = np.minimum(np.array([x["start"] + x["windows"] + length - 1 for x in found]), n)
-    np.add.at(change, start, 1)
-    np.add.at(change, end, -1)
+    np.add.at(change, start[own], 1)
+    np.add.at(change, np.minimum(start[own] + windows[own] + length - 1, n), -1)
     return np.cumsum(change[:n]) > 0
 
 
-__all__ = ["Kind", "identified", "removed_mask", "repeated_windows", "runs"]
+__all__ = ["Kind", "found_rows", "identified", "removed_mask", "repeated_windows", "runs"]

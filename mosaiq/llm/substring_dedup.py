@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from mosaiq.llm import windows as W
 from mosaiq.llm.common import arrow_map
-from mosaiq.llm.repeats import SLICE, Kind, identified, removed_mask, repeated_windows, runs
+from mosaiq.llm.repeats import SLICE, Kind, found_rows, identified, removed_mask, repeated_windows, runs
 
 WINDOW, GRAM = 20, 5
 #: A shard takes anchors until it has so many bytes; an anchor of more words than this is not indexed (see repeats).
@@ -109,7 +109,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, shard_bytes: int = SHA
 
     def per_slice(batch: pa.RecordBatch):
         n, gone, spans, kept = [], [], [], []
-        for text, have in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+        for text, have in zip(batch.column(1).to_pylist(), found_rows(batch.column(2)), strict=True):
             words = text.encode().split()
             mask = removed_mask(len(words), window, have)
             n.append(len(words))

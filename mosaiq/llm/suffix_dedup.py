@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from mosaiq.llm import windows as W
 from mosaiq.llm.common import arrow_map
-from mosaiq.llm.repeats import SLICE, Kind, identified, removed_mask, repeated_windows, runs
+from mosaiq.llm.repeats import SLICE, Kind, found_rows, identified, removed_mask, repeated_windows, runs
 
 #: Removed are windows of WINDOW bytes. Those of PASSAGE bytes, some forty words, are marked: passages that repeat.
 WINDOW, PASSAGE, GRAM = 400, 240, 48
@@ -157,7 +157,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, passage: int | None =
 
     def per_slice(batch: pa.RecordBatch):
         n, gone, spans, passages, kept = [], [], [], [], []
-        for text, have in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+        for text, have in zip(batch.column(1).to_pylist(), found_rows(batch.column(2)), strict=True):
             data = text.encode()
             mask = removed_mask(len(data), window, have)
             n.append(len(data))

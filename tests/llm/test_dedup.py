@@ -8,6 +8,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from mosaiq.llm import repeats
 from mosaiq.llm import substring_dedup as S
 from mosaiq.llm import suffix_dedup as X
 from mosaiq.llm import windows as W
@@ -97,7 +98,8 @@ def test_bytes_are_removed_as_brute_force_does(spark, seed, shard, anchor):
     assert [passages[i] for i in range(len(texts))] == plain_spans(texts, passage)
 
 
-def test_default_window_and_long_text(spark):
+def test_default_window_and_long_text(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "HOT", 1)  # every class that repeats is hot
     rng = random.Random(9)
     long = " ".join(f"{rng.randrange(10**6)}" for _ in range(20000))
     texts = [long, "x " + long[5000:5450] + " y", "z" * 900, "short"]
