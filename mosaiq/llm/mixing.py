@@ -104,19 +104,21 @@ def mix_sources(docs: DataFrame, block_tokens: int = BLOCK_TOKENS, seed: int = 1
 
 
 def _place(docs: DataFrame, seed: int) -> Column:
-    return F.xxhash64(F.lit(seed), docs["doc_id"], F.crc32(F.encode(text_of(docs), "UTF-8")))
+    """The place in the seeded order: 60 bits of a digest, which any engine can work out."""
+    known = F.concat_ws(":", F.lit(str(seed)), F.coalesce(docs["doc_id"].cast("string"), F.lit("")), text_of(docs))
+    return F.conv(F.substring(F.md5(F.encode(known, "UTF-8")), 1, 15), 16, 10).cast("long")
 
 
 def _mixed(docs: DataFrame, block_tokens: int, seed: int, n_shards: int, buckets: int) -> DataFrame:
     text, spark = text_of(docs), docs.sparkSession
     sized = docs.select("doc_id", F.col("source").cast("string").alias("source"), n_words(text).alias("size"), _place(docs, seed).alias("place"))
-    sized = cut(sized.withColumn("bucket", F.pmod(F.shiftrightunsigned("place", 33), F.lit(buckets)).cast("int")))
+    sized = cut(sized.withColumn("bucket", F.floor(F.col("place") / F.lit(-(-(1 << 60) // buckets))).cast("int")))
     sums = sized.groupBy("source").agg(F.sum("size").alias("size")).limit(MAX_SOURCES + 1).collect()
     if len(sums) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
     sums.sort(key=lambda r: (r["source"] is None, (r["source"] or "").encode()))
     plan = plan_mix([r["size"] for r in sums], block_tokens, n_shards=n_shards)
-    rows = [(r["source"], p["source_size"], p["target"], p["rounds"], p["quotas"], p["last"], p["cut"]) for r, p in zip(sums, plan, strict=True)]
+    rows = [(r["source"], p["source_size"], round(p["target"], 6), p["rounds"], p["quotas"], p["last"], p["cut"]) for r, p in zip(sums, plan, strict=True)]
     by_source = spark.createDataFrame(rows, "of string, source_size long, target double, rounds long, quotas array<int>, last long, cut int")
     by_source = F.broadcast(by_source) if len(rows) <= 100_000 else by_source  # beyond that Spark chooses
     ahead = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)

@@ -37,3 +37,23 @@ WITH RECURSIVE w AS (SELECT doc_id, {WORDS.format(text=_LOW)} AS ws FROM documen
  reach AS (SELECT doc_id AS x, doc_id AS y FROM n UNION SELECT x, v FROM reach JOIN links ON y = u)
 SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(c, d.doc_id)::BIGINT AS component_id
 FROM documents d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN (SELECT x, min(y) AS c FROM reach GROUP BY x) r ON d.doc_id = r.x"""
+
+OP9 = rf"""
+WITH sized AS (SELECT doc_id, source, len({WORDS.format(text="coalesce(text, '')")}) AS size, ('0x' || substr(md5('17:' || doc_id || ':' || coalesce(text, '')), 1, 15))::BIGINT AS place FROM documents),
+ placed AS (SELECT doc_id, source, size, coalesce(sum(size) OVER (PARTITION BY source ORDER BY place, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start FROM sized),
+ sources AS (SELECT source, size, row_number() OVER (ORDER BY source IS NULL, encode(source)) - 1 AS i FROM (SELECT source, sum(size)::BIGINT AS size FROM sized GROUP BY source)),
+ weighed AS (SELECT *, 1 + i % 3 AS w, sum(size) OVER () AS total FROM sources),
+ -- Filled up to one level a weight: those of least bound a weight are full first.
+ levels AS (SELECT *, 3.0::DOUBLE * size / w AS bound, (total - coalesce(sum(3 * size) OVER before, 0))::DOUBLE / (sum(w) OVER () - coalesce(sum(w) OVER before, 0)) AS level FROM weighed WINDOW before AS (ORDER BY 3.0::DOUBLE * size / w, i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+ goals AS (SELECT source, size, i, total, least(3.0::DOUBLE * size, w * (SELECT level FROM levels WHERE level <= bound ORDER BY bound, i LIMIT 1)) AS target FROM levels),
+ seats AS (SELECT i, count(*) AS given FROM (SELECT i FROM (SELECT i, total, target, unnest(range(0, ceil(3 * size / 64.0)::BIGINT)) AS k FROM goals WHERE target > 0) ORDER BY target / (2 * k + 1) DESC, i LIMIT (SELECT ceil(any_value(total) / 64.0)::BIGINT FROM goals)) GROUP BY i),
+ words AS (SELECT g.*, least(coalesce(given, 0) * 64, 3 * size)::BIGINT AS words FROM goals g LEFT JOIN seats s ON g.i = s.i),
+ rests AS (SELECT *, CASE WHEN size > 0 THEN words // size ELSE 0 END AS rounds, CASE WHEN size > 0 THEN words % size ELSE 0 END AS rest FROM words),
+ shards AS (SELECT r.i, rest, s, ceil(size / 64.0)::BIGINT // 16 + (CASE WHEN s < ceil(size / 64.0)::BIGINT % 16 THEN 1 ELSE 0 END) AS own FROM rests r, range(16) t(s)),
+ turns AS (SELECT i, s, count(*) AS quota FROM (SELECT i, s, rest, row_number() OVER (PARTITION BY i ORDER BY own::DOUBLE / (2 * k + 1) DESC, s) AS r FROM (SELECT *, unnest(range(0, own)) AS k FROM shards)) WHERE r <= ceil(rest / 64.0) GROUP BY i, s),
+ lasts AS (SELECT i, max(s + 16 * (quota - 1)) AS last FROM turns GROUP BY i),
+ blocks AS (SELECT doc_id, source, start, size, unnest(range(start // 64, (start + size - 1) // 64 + 1)) AS j FROM placed WHERE size > 0),
+ extra AS (SELECT doc_id, sum(greatest(0, least(b.start + b.size, j * 64 + CASE WHEN j = last THEN rest - 64 * (ceil(rest / 64.0)::BIGINT - 1) ELSE 64 END) - greatest(b.start, j * 64))) AS more
+  FROM blocks b JOIN rests r ON b.source IS NOT DISTINCT FROM r.source JOIN turns t ON t.i = r.i AND t.s = j % 16 AND j // 16 < quota JOIN lasts l ON l.i = r.i GROUP BY doc_id),
+ taken AS (SELECT p.doc_id, p.size, r.size AS source_size, round(target, 6) AS target, (rounds * p.size + coalesce(more, 0))::BIGINT AS taken, start FROM placed p JOIN rests r ON p.source IS NOT DISTINCT FROM r.source LEFT JOIN extra e ON p.doc_id = e.doc_id)
+SELECT doc_id, size::BIGINT AS size, source_size, target, taken, CASE WHEN taken > 0 THEN (start // 64 % 16)::INTEGER END AS shard FROM taken"""

@@ -54,4 +54,4 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_pii, op2_quality_classifier, op3_substring_dedup, op4_suffix_dedup, op5_sharding, op6_quality_rules, op7_jaccard_join, op8_decontamination, op9_mixing, op10_license_scan)}
-ORACLES: dict[str, str] = {"op3_substring_dedup": oracles.OP3, "op4_suffix_dedup": oracles.OP4, "op7_jaccard_join": oracles.OP7}
+ORACLES: dict[str, str] = {"op3_substring_dedup": oracles.OP3, "op4_suffix_dedup": oracles.OP4, "op7_jaccard_join": oracles.OP7, "op9_mixing": oracles.OP9}

@@ -117,14 +117,14 @@ def test_targets_share_all_and_stop_at_the_bound(sizes):
 
 
 def plain_mix(rows, block, seed=17, n_shards=16):
-    """taken by (doc_id, source): every word of each source's stream asks its own block. The order's hash is Spark's."""
+    """taken by (doc_id, source): every word of each source's stream asks its own block."""
     from pyspark.sql import SparkSession
 
     spark = SparkSession.getActiveSession()
     docs = spark.createDataFrame(rows)
     placed = docs.select("doc_id", "source", F.coalesce("text", F.lit("")).alias("text"), M._place(docs, seed).alias("place")).collect()
     names = sorted({r.source for r in placed}, key=lambda s: (s is None, (s or "").encode()))
-    streams = {s: [r for r in sorted((r for r in placed if r.source == s), key=lambda r: ((r.place >> 33 & 0x7FFFFFFF) % M.BUCKETS, r.place, r.doc_id or -1)) for _ in r.text.split()] for s in names}
+    streams = {s: [r for r in sorted((r for r in placed if r.source == s), key=lambda r: (r.place, r.doc_id or -1)) for _ in r.text.split()] for s in names}
     plan = M.plan_mix([len(streams[s]) for s in names], block, n_shards=n_shards)
     taken = {(r.doc_id, r.source): 0 for r in placed if r.doc_id is not None}
     for s, p in zip(names, plan, strict=True):
