@@ -197,6 +197,29 @@ def test_shards_and_slots(spark, law):
     assert S.shard_documents(docs.limit(0), law=law).count() == 0
 
 
+def test_rows_go_where_a_walk_on_the_ring_leads(spark):
+    """Key by key: own cells first, then clockwise to the next node with room."""
+    n_shards, bits = 5, 8
+    docs = spark.createDataFrame([(i, f"t{i}" * (i % 3)) for i in range(700)] + [(800, "word " * 100_000)], "doc_id long, text string")
+    got = {r.doc_id: r.shard for r in S.shard_documents(docs, n_shards=n_shards, law="rows", virtual_nodes=4, cell_bits=bits).collect()}
+    text = F.coalesce("text", F.lit(""))
+    place = F.xxhash64("doc_id", (F.octet_length(text) + 1).cast("long"), F.crc32(F.encode(text, "UTF-8")))
+    keys = sorted(((r.place & (1 << 64) - 1) >> 64 - bits, r.place, r.doc_id) for r in docs.select("doc_id", place.alias("place")).collect())
+    owner, free, want, over = S.ring(n_shards, 4, bits), [141, 140, 140, 140, 140], {}, []
+    for cell, _, doc in keys:
+        if free[owner[cell]]:
+            free[owner[cell]] -= 1
+            want[doc] = owner[cell]
+        else:
+            over.append((cell, doc))
+    for cell, doc in over:
+        while not free[owner[cell]]:
+            cell = (cell + 1) % (1 << bits)
+        free[owner[cell]] -= 1
+        want[doc] = owner[cell]
+    assert got == want
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.integers(0, 9), min_size=8, max_size=8), st.integers(1, 4))
 def test_overflow_walks_clockwise_and_nothing_is_lost(loads, n):
