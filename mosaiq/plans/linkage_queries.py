@@ -600,6 +600,6 @@ def _quality_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ml_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _quality_features(spark, sf_dir)
     held = F.pmod(F.xxhash64("doc_id"), F.lit(5)) == 0
-    boosters = M.Boosters(rounds=8, features=tuple(f"f{i}" for i in range(8))).fit(rows.where(~held))
+    boosters = M.Boosters(features=tuple(f"f{i}" for i in range(8)), least_leaf=M.LEAST_LEAF).fit(rows.withColumn("held", held), validation="held")
     return boosters.score(rows).select("doc_id", "label", held.alias("held_out"), F.round("p_lgbm", 6).alias("p_lgbm"), F.round("p_xgboost", 6).alias("p_xgboost"), F.round("p", 6).alias("p"))
 
