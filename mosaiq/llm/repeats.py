@@ -38,7 +38,8 @@ class Kind:
 
     lengths are the windows that are looked for, the shortest first: stretches are made of those, and each goes on far
     enough to hold the longest window that begins in it. index(bodies, counts) gives, for each length, which of the first
-    `count` windows of each body of one shard are repeated, as masks.
+    `count` windows of each body of one shard are repeated, as masks. With `copies` the index is asked for all classes:
+    copies(bodies) gives the masks of index, and those of a further copy of each body.
     """
 
     lengths: tuple[int, ...]
@@ -46,9 +47,10 @@ class Kind:
     stretches: Callable[[W.Bytes, int, int, int], W.Stretches]
     units: Callable[[bytes], list | bytes]
     join: Callable[[list | bytes], bytes]
-    index: Callable[[list[bytes], list[int]], list[list[np.ndarray]]]
+    index: Callable[[list[bytes], list[int]], list[list[np.ndarray]]] | None
     #: Only windows with an equal one before them count, not the first.
     earlier: bool
+    copies: Callable[[list[bytes], list[bool]], tuple[list[np.ndarray], list[np.ndarray]]] | None
     #: A shard takes anchors until it has so many bytes.
     shard_bytes: int
     #: The units of an anchor's classes that are indexed as one; beyond them its windows are counted one by one.
@@ -85,7 +87,7 @@ def _bodies(texts: DataFrame, wanted: DataFrame, kind: Kind) -> DataFrame:
     """The content of the wanted stretches: of large anchors a key for each window of each length, of others the body under the anchor's key, with the length 0."""
 
     def per_slice(batch: pa.RecordBatch):
-        out = [[], [], [], [], [], []]
+        out = [[], [], [], [], [], [], [], []]
         for doc, tie, text, want in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             units = kind.units(text.encode())
             for x in want:
@@ -95,13 +97,13 @@ def _bodies(texts: DataFrame, wanted: DataFrame, kind: Kind) -> DataFrame:
                 else:
                     rows = [(0, x["h"].to_bytes(8, "big", signed=True), x["at"], kind.join(units[start : start + count + kind.lengths[-1] - 1]))]
                 for length, key, at, body in rows:
-                    for column, value in zip(out, (length, key, doc, tie, at, body), strict=True):
+                    for column, value in zip(out, (length, key, doc, tie, at, body, x["sh"], x["n"]), strict=True):
                         column.append(value)
-        types = (pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names=["length", "key", "doc", "tie", "at", "body"])
+        types = (pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names=["length", "key", "doc", "tie", "at", "body", "sh", "n"])
 
     joined = texts.join(wanted, ["doc", "tie"]).select("doc", "tie", "text", "want")
-    return arrow_map(joined, per_slice, "length int, key binary, doc long, tie long, at long, body binary", SLICE)
+    return arrow_map(joined, per_slice, "length int, key binary, doc long, tie long, at long, body binary, sh long, n long", SLICE)
 
 
 def runs(mask: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -110,8 +112,14 @@ def runs(mask: np.ndarray) -> Iterator[tuple[int, int]]:
     yield from zip(edges[::2].tolist(), (edges[1::2] - edges[::2]).tolist(), strict=True)
 
 
+_FOUND = "doc long, tie long, start long, windows long, length long, key binary, sh long, n long, at long"
+
+
 def _indexed(bodies: DataFrame, kind: Kind) -> DataFrame:
-    """The repeated windows of the bodies: anchors are dealt out whole, and a task indexes one shard of them after another."""
+    """The repeated windows of the bodies: anchors are dealt out whole, and a task indexes one shard of them after another.
+
+    Where the index is asked for copies, rows with a key say which windows of a class (key, sh) its further copies repeat.
+    """
 
     def run(batches):
         shard: list[tuple] = []
@@ -128,23 +136,36 @@ def _indexed(bodies: DataFrame, kind: Kind) -> DataFrame:
             yield close(shard)
 
     def close(shard: list[tuple]) -> pa.RecordBatch:
-        out = [[], [], [], [], []]
+        out = [[], [], [], [], [], [], [], [], []]
+
+        def put(*row) -> None:
+            for column, value in zip(out, row, strict=True):
+                column.append(value)
+
         begin = 0
         while begin < len(shard):  # a kind that counts only earlier windows has one automaton for each anchor
             end = begin + 1
             while end < len(shard) and (not kind.earlier or shard[end][0] == shard[begin][0]):
                 end += 1
             rows = shard[begin:end]
-            for length, masks in zip(kind.lengths, kind.index([r[4] for r in rows], [r[3] % _ROOM for r in rows]), strict=True):
-                for (_, doc, tie, at, _), mask in zip(rows, masks, strict=True):
+            if kind.copies is None:
+                found = kind.index([r[4] for r in rows], [r[3] % _ROOM for r in rows])
+            else:
+                masks, again = kind.copies([r[4] for r in rows], [r[6] > 1 for r in rows])
+                found = [masks]
+                for (key, doc, tie, at, _, sh, n), mask in zip(rows, again, strict=True):
+                    for start, count in runs(mask):
+                        put(doc, tie, start, count, kind.lengths[0], key, sh, n, at)
+            for length, masks in zip(kind.lengths, found, strict=True):
+                for (_, doc, tie, at, *_), mask in zip(rows, masks, strict=True):
                     for start, count in runs(mask):
-                        for column, value in zip(out, (doc, tie, at // _ROOM + start, count, length), strict=True):
-                            column.append(value)
+                        put(doc, tie, at // _ROOM + start, count, length, None, None, None, None)
             begin = end
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=["doc", "tie", "start", "windows", "length"])
+        types = [pa.binary() if k == 5 else pa.int64() for k in range(9)]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names=[x.split(" ")[0] for x in _FOUND.split(", ")])
 
     dealt = bodies.repartition("key").sortWithinPartitions("key", "doc", "tie", "at")
-    return dealt.mapInArrow(run, "doc long, tie long, start long, windows long, length long")
+    return dealt.mapInArrow(run, _FOUND)
 
 
 def _in_classes(rows: DataFrame, classes: DataFrame) -> DataFrame:
@@ -167,21 +188,30 @@ def repeated_windows(texts: DataFrame, kind: Kind) -> DataFrame:
     discard(twice)
     classes = cut(kept.groupBy("h", "sh").agg(F.count("*").alias("n"), F.min(place).alias("first")))
     units = F.sum(F.col("first.at") % _ROOM + (kind.lengths[-1] - 1))
-    # Where all classes are repeated anyway, and the first too, there is nothing to look for.
-    open_ = F.count("*") > 1 if kind.earlier else (F.count("*") > 1) & (F.min("n") == 1)
+    # Where all classes are repeated anyway, and the first too, there is nothing to look for, unless the index is to say so.
+    open_ = F.lit(True) if kind.copies else (F.count("*") > 1) & (F.min("n") == 1)
     groups = classes.groupBy("h").agg(open_.alias("open"), (units > kind.anchor_units).alias("large")).where("open").select("h", "large")
-    wanted = classes.join(groups, "h").select("first.*", "h", "large").groupBy("doc", "tie").agg(F.collect_list(F.struct("h", "at", "large")).alias("want"))  # of one document
+    wanted = classes.join(groups, "h").select("first.*", "h", "sh", "n", "large").groupBy("doc", "tie").agg(F.collect_list(F.struct("h", "sh", "n", "at", "large")).alias("want"))  # of one document
     bodies = cut(_bodies(texts, wanted, kind))
-    inner = _indexed(bodies.where("length = 0").select("key", "doc", "tie", "at", "body"), kind)
+    asked = bodies.where("length = 0").select("key", "doc", "tie", "at", "body", "sh", "n")
+    inner = cut(_indexed(asked, kind)) if kind.copies else _indexed(asked, kind)
     single = bodies.where("length > 0").select("key", "length", "doc", "tie", "at")
     counted = single.groupBy("key", "length").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1")
     split = lambda df: df.select("doc", "tie", F.floor(F.col("at") / _ROOM).alias("start"), (F.col("at") % _ROOM).alias("windows"), F.col("length").cast("long").alias("length"))
     other = (place != F.col("first")) if kind.earlier else F.lit(True)
     by_window = split(single.join(counted, ["key", "length"]).where(other))
-    copies = _in_classes(kept, classes.where("n > 1")).where(other)
-    whole = split(copies.withColumn("length", F.explode(F.array(*map(F.lit, kind.lengths)))) if len(kind.lengths) > 1 else copies.withColumn("length", F.lit(kind.lengths[0])))
-    found = cut(whole.unionByName(by_window).unionByName(inner).groupBy("doc", "tie").agg(F.collect_list(F.struct("start", "windows", "length")).alias("found")))
-    discard(kept, classes, bodies)
+    every = F.explode(F.array(*map(F.lit, kind.lengths)))
+    if kind.copies:
+        # What the index says of a class's copies; classes of large anchors go by their counts.
+        said = inner.where("key IS NOT NULL").select(F.conv(F.hex("key"), 16, -10).cast("long").alias("h"), "sh", "n", F.struct("doc", "tie", "at").alias("first"), F.col("start").alias("from"), F.col("windows").alias("count"))
+        rest = classes.where("n > 1").join(groups.where("large"), "h", "left_semi").select("h", "sh", "n", "first", F.lit(0).cast("long").alias("from"), (F.col("first.at") % _ROOM).alias("count"))
+        copies = _in_classes(kept, said.unionByName(rest)).where(other)
+        whole = copies.select("doc", "tie", (F.floor(F.col("at") / _ROOM) + F.col("from")).alias("start"), F.col("count").alias("windows"), F.lit(kind.lengths[0]).cast("long").alias("length"))
+    else:
+        whole = split(_in_classes(kept, classes.where("n > 1")).where(other).withColumn("length", every))
+    inside = inner.where("key IS NULL").select("doc", "tie", "start", "windows", "length")
+    found = cut(whole.unionByName(by_window).unionByName(inside).groupBy("doc", "tie").agg(F.collect_list(F.struct("start", "windows", "length")).alias("found")))
+    discard(kept, classes, bodies, *([inner] if kind.copies else []))
     return found
 
 

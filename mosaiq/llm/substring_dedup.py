@@ -77,21 +77,23 @@ class SuffixAutomaton:
         return out
 
 
-def index(bodies: list[bytes], length: int = WINDOW) -> list[np.ndarray]:
-    """Which windows of each body stand in one before it."""
-    automaton, out = SuffixAutomaton(), []
-    for i, body in enumerate(bodies):
+def index(bodies: list[bytes], again: list[bool], length: int = WINDOW) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Which windows of each body stand in one before it, and which of a further copy of it; none where there is no copy."""
+    automaton, first, later = SuffixAutomaton(), [], []
+    for i, (body, copied) in enumerate(zip(bodies, again, strict=True)):
         words = body.split()
         size = max(0, len(words) - length + 1)
-        out.append(np.array(automaton.statistics(words)[length - 1 :]) >= length if i and size else np.zeros(size, bool))
-        if i + 1 < len(bodies):
+        long = lambda words=words: np.array(automaton.statistics(words)[length - 1 :]) >= length
+        first.append(long() if i and size else np.zeros(size, bool))
+        if copied or i + 1 < len(bodies):
             automaton.add(words)
-    return out
+        later.append(long() if copied and size else np.zeros(0, bool))
+    return first, later
 
 
 def kind(window: int = WINDOW, gram: int = GRAM, shard_bytes: int = SHARD_BYTES, anchor_words: int = ANCHOR_WORDS) -> Kind:
     cut = lambda texts, length, gram, wide: W.word_stretches(W.words_of(texts), length, gram, wide)
-    return Kind((window,), gram, cut, lambda text: text.split(), lambda units: b" ".join(units), lambda bodies, counts: [index(bodies, window)], True, shard_bytes, anchor_words)
+    return Kind((window,), gram, cut, lambda text: text.split(), lambda units: b" ".join(units), None, True, lambda bodies, again: index(bodies, again, window), shard_bytes, anchor_words)
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, shard_bytes: int = SHARD_BYTES, anchor_words: int = ANCHOR_WORDS) -> DataFrame:

@@ -135,7 +135,7 @@ def index(bodies: list[bytes], counts: list[int], lengths: tuple[int, ...]) -> l
 
 def kind(window: int = WINDOW, passage: int | None = None, gram: int = GRAM, shard_bytes: int = SHARD_BYTES, anchor_bytes: int = ANCHOR_BYTES) -> Kind:
     lengths = (window,) if passage in (None, window) else (passage, window)
-    return Kind(lengths, gram, W.byte_stretches, lambda text: text, lambda units: units, lambda bodies, counts: index(bodies, counts, lengths), False, shard_bytes, anchor_bytes)
+    return Kind(lengths, gram, W.byte_stretches, lambda text: text, lambda units: units, lambda bodies, counts: index(bodies, counts, lengths), False, None, shard_bytes, anchor_bytes)
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, passage: int | None = PASSAGE, shard_bytes: int = SHARD_BYTES, anchor_bytes: int = ANCHOR_BYTES) -> DataFrame:
