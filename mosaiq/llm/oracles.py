@@ -56,4 +56,4 @@ WITH sized AS (SELECT doc_id, source, len({WORDS.format(text="coalesce(text, '')
  extra AS (SELECT doc_id, sum(greatest(0, least(b.start + b.size, j * 64 + CASE WHEN j = last THEN rest - 64 * (ceil(rest / 64.0)::BIGINT - 1) ELSE 64 END) - greatest(b.start, j * 64))) AS more
   FROM blocks b JOIN rests r ON b.source IS NOT DISTINCT FROM r.source JOIN turns t ON t.i = r.i AND t.s = j % 16 AND j // 16 < quota JOIN lasts l ON l.i = r.i GROUP BY doc_id),
  taken AS (SELECT p.doc_id, p.size, r.size AS source_size, round(target, 6) AS target, (rounds * p.size + coalesce(more, 0))::BIGINT AS taken, start FROM placed p JOIN rests r ON p.source IS NOT DISTINCT FROM r.source LEFT JOIN extra e ON p.doc_id = e.doc_id)
-SELECT doc_id, size::BIGINT AS size, source_size, target, taken, CASE WHEN taken > 0 THEN (start // 64 % 16)::INTEGER END AS shard FROM taken"""
+SELECT doc_id, size::BIGINT AS size, source_size, target, taken, CASE WHEN taken > 0 THEN (start // 64 % 16)::INTEGER ELSE -1 END AS shard FROM taken"""

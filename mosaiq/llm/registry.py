@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from mosaiq.llm import decontamination, jaccard_join, license_scan, mixing, oracles, pii, quality_classifier, quality_rules, sharding, substring_dedup, suffix_dedup
 from mosaiq.llm.common import documents
@@ -46,7 +47,8 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix_sources(documents(spark, sf_dir)).drop("source")
+    """As mix_sources; shard is -1 for documents of which nothing is taken."""
+    return mixing.mix_sources(documents(spark, sf_dir)).drop("source").withColumn("shard", F.coalesce("shard", F.lit(-1)))
 
 
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
