@@ -31,6 +31,10 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
+#: For each call of settled that is under way, the tables that were cut in it.
+_under_way: list[list[DataFrame]] = []
+
+
 def cut(df: DataFrame) -> DataFrame:
     """df, written to the shared folder as Parquet and read from there: its lineage ends, and a lost executor costs no rerun."""
     spark = df.sparkSession
@@ -44,6 +48,24 @@ def cut(df: DataFrame) -> DataFrame:
     spark.sparkContext._jvm.System.gc()
     table = spark.read.schema(schema).parquet(path)
     table._written_to = path
+    if _under_way:
+        _under_way[-1].append(table)
+    return table
+
+
+def settled(make: Callable[[], DataFrame]) -> DataFrame:
+    """What make gives, cut. The tables that were cut on the way to it are deleted: nothing reads them any more."""
+    _under_way.append([])
+    try:
+        table = make()
+        passed = _under_way[-1]
+        _under_way[-1] = []
+        table = cut(table)
+    finally:
+        _under_way.pop()
+    discard(*passed)
+    if _under_way:
+        _under_way[-1].append(table)
     return table
 
 

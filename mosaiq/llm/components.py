@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mosaiq.llm.common import cut
+from mosaiq.llm.common import cut, discard
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -33,5 +33,6 @@ def components(links: DataFrame) -> DataFrame:
         if tuple(now) == mark:
             break
         mark = tuple(now)
-        edges = cut(_star(_star(edges, large=True), large=False))
+        last, edges = edges, cut(_star(_star(edges, large=True), large=False))
+        discard(last)
     return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())

@@ -13,11 +13,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mosaiq.llm import windows as W
-from mosaiq.llm.common import WORD, arrow_map, cut, text_of
+from mosaiq.llm.common import WORD, arrow_map, cut, discard, settled, text_of
 from mosaiq.llm.components import components
 from mosaiq.llm.repeats import SLICE
 
@@ -29,8 +29,11 @@ SAMPLE = 20_000
 COMMON = 5
 #: Up to this many ids are broadcast; beyond it Spark joins by shuffling.
 BROADCAST_IDS = 2_000_000
-#: So many members of a slot's group are compared with the others in one round.
+#: About so many members of a slot's group are compared in one round, each time with about as many of the others in a task.
 GROUP = 4096
+#: A slot key that more of the sample have than one document in so many is dealt to several tasks.
+HOT_SHARE = 1000
+HOT_LEAST = 8
 #: Bits of the sketch that rules pairs out before their texts are fetched.
 SKETCH_BITS = 1024
 _BAND_BITS, _ALONE = 2, 64
@@ -117,29 +120,73 @@ def _sets_table(docs: DataFrame) -> DataFrame:
     return arrow_map(docs.select("doc_id", text_of(docs).alias("text"), F.xxhash64(text_of(docs)).alias("of")), per_slice, f"doc_id {kind}, of long, n long, p long, q long, sketch array<bigint>", SLICE)
 
 
-def _common_shingles(texts: DataFrame, n_texts: int) -> np.ndarray:
-    """Shingles of at least COMMON of at most about SAMPLE texts; at most a COMMONth of the sample's shingles are."""
+def _sample(texts: DataFrame, n_texts: int) -> DataFrame:
+    """node and text of at most about SAMPLE texts, written."""
     part = max(1, -(-n_texts // SAMPLE))
+    return cut(texts.where(F.pmod(F.xxhash64("node"), F.lit(part)) == 0).select("node", "text"))
+
+
+def _common_shingles(sample: DataFrame) -> np.ndarray:
+    """Shingles of at least COMMON texts of the sample; at most a COMMONth of the sample's shingles are."""
 
     def per_slice(batch: pa.RecordBatch):
-        sets = shingle_sets(W.bytes_of(batch.column(0)))
+        sets = shingle_sets(W.bytes_of(batch.column(1)))
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets).view(np.int64))], names=["h"])
 
-    picked = texts.where(F.pmod(F.xxhash64("node"), F.lit(part)) == 0).select("text")
-    rows = arrow_map(picked, per_slice, "h long", SLICE).groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= COMMON)
+    rows = arrow_map(sample.select("node", "text"), per_slice, "h long", SLICE).groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= COMMON)
     return np.sort(np.array([r["h"] for r in rows.select("h").toLocalIterator()], np.int64).view(np.uint64))
 
 
-def _groups(texts: DataFrame, common) -> DataFrame:
-    """key, leader, node: the members of every slot key that two nodes or more have; the leader is the least of them."""
+def _keyed(batch: pa.RecordBatch, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The slot keys of a batch (node, text), and the node of each."""
+    keys = [slot_keys(s, common) for s in shingle_sets(W.bytes_of(batch.column(1)))]
+    return np.concatenate(keys), np.repeat(batch.column(0).to_numpy(), [len(k) for k in keys])
+
+
+def _hot_keys(sample: DataFrame, common) -> tuple[np.ndarray, np.ndarray]:
+    """The slot keys that many of the sample have, sorted, and among how many parts the members of each are dealt.
+
+    The parts of all keys together are at most twice the sample's keys over the least count of a hot one.
+    """
+    least = max(HOT_LEAST, sample.count() // HOT_SHARE)
 
     def per_slice(batch: pa.RecordBatch):
-        keys = [slot_keys(s, common.value) for s in shingle_sets(W.bytes_of(batch.column(1)))]
-        nodes = np.repeat(batch.column(0).to_numpy(), [len(k) for k in keys])
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(nodes)], names=["key", "node"])
+        yield pa.RecordBatch.from_arrays([pa.array(_keyed(batch, common.value)[0].view(np.int64))], names=["key"])
+
+    rows = arrow_map(sample.select("node", "text"), per_slice, "key long", SLICE).groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > least)
+    found = [*rows.toLocalIterator()]
+    keys = np.array([r["key"] for r in found], np.int64).view(np.uint64)
+    order = np.argsort(keys)
+    return keys[order], np.array([-(-r["n"] // least) for r in found], np.uint64)[order]
+
+
+def _part_key(key: np.ndarray, part: np.ndarray) -> np.ndarray:
+    return W.mix(key ^ W.mix(part + _SLOT))
+
+
+def _groups(texts: DataFrame, common, hot) -> DataFrame:
+    """key, leader, node: the members of every slot key that two nodes or more have; the leader is the least of them.
+
+    The members of a hot key are dealt to tasks by keys of its parts, which each find a leader; the least of these is the key's.
+    """
+    keys, parts = hot.value
+    spark = texts.sparkSession
+    all_parts = [(int(_part_key(np.array([k]), np.array([i], np.uint64)).view(np.int64)[0]), int(k.view(np.int64))) for k, n in zip(keys, parts, strict=True) for i in range(int(n))]
+    table = spark.createDataFrame(all_parts, "part long, whole long")
+    dealt = spark.sparkContext.broadcast(np.sort(np.array([p for p, _ in all_parts], np.int64)))
+
+    def per_slice(batch: pa.RecordBatch):
+        key, node = _keyed(batch, common.value)
+        keys, parts = hot.value
+        if len(keys):
+            at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+            own = np.flatnonzero(keys[at] == key)
+            key[own] = _part_key(key[own], W.mix(node[own].view(np.uint64)) % parts[at[own]])
+        yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(node)], names=["key", "node"])
 
     def run(batches):
         held, leader = None, None  # the last row, if its run may go on; the leader of that run if it has been given out
+        single = dealt.value
         for batch in batches:
             key, node = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             if held is not None:
@@ -151,6 +198,8 @@ def _groups(texts: DataFrame, common) -> DataFrame:
             if leader is not None:
                 lead[key == key[0]] = leader
             many = ~first | np.concatenate([~first[1:], [False]])
+            if len(single):  # a part of a hot key may have one member only
+                many |= single[np.minimum(np.searchsorted(single, key), len(single) - 1)] == key
             many[0] |= leader is not None
             if leader is not None:
                 many[0] = False  # was given out with the batch before
@@ -159,8 +208,14 @@ def _groups(texts: DataFrame, common) -> DataFrame:
             leader = lead[-1] if many[-1] or again else None
             yield pa.RecordBatch.from_arrays([pa.array(x[many]) for x in (key, lead, node)], names=["key", "leader", "node"])
 
-    keys = arrow_map(texts.select("node", "text"), per_slice, "key long, node long", SLICE)
-    return keys.repartition("key").sortWithinPartitions("key", "node").mapInArrow(run, "key long, leader long, node long")
+    rows = arrow_map(texts.select("node", "text"), per_slice, "key long, node long", SLICE)
+    rows = rows.repartition("key").sortWithinPartitions("key", "node").mapInArrow(run, "key long, leader long, node long")
+    if not all_parts:
+        return rows
+    rows = cut(rows.join(F.broadcast(table), F.col("key") == F.col("part"), "left"))
+    least = rows.where("whole IS NOT NULL").groupBy("whole").agg(F.min("leader").alias("least"))  # at most a row for each hot key
+    rows = rows.join(F.broadcast(least), "whole", "left")
+    return rows.select(F.coalesce("whole", "key").alias("key"), F.coalesce("least", "leader").alias("leader"), "node")
 
 
 def _near(percent: int) -> Column:
@@ -253,11 +308,17 @@ def _joined(docs: DataFrame, percent: int) -> tuple[DataFrame, bool]:
     once = sets.groupBy("doc_id").agg(F.count("*").alias("c")).where("c > 1 OR doc_id IS NULL").limit(1).count() == 0
     classes = sets.where("n > 0").groupBy("p", "q", "n").agg(F.min("doc_id").cast("long").alias("least"), F.first("sketch").alias("sketch"))
     classes = cut(classes.withColumn("node", F.col("least") if once else F.xxhash64("p", "q", "n")))
+    return _result(sets, classes, settled(lambda: _labels(docs, sets, classes, once, percent)), once), once
+
+
+def _labels(docs: DataFrame, sets: DataFrame, classes: DataFrame, once: bool, percent: int) -> DataFrame:
+    """node and label of the nodes with links."""
+    share = docs.sparkSession.sparkContext.broadcast
     texts = _node_texts(docs, sets, classes, once)
-    common = docs.sparkSession.sparkContext.broadcast(_common_shingles(texts, classes.count()))
-    groups = cut(_groups(texts, common))
-    links, labels = _links(texts, groups, classes, percent)
-    return _result(sets, classes, labels, once), once
+    sample = _sample(texts, classes.count())
+    common = share(_common_shingles(sample))
+    hot = share(_hot_keys(sample, common))
+    return _links(texts, cut(_groups(texts, common, hot)), classes, percent)[1]
 
 
 def _node_texts(docs: DataFrame, sets: DataFrame, classes: DataFrame, once: bool) -> DataFrame:
@@ -281,18 +342,20 @@ def _links(texts: DataFrame, groups: DataFrame, classes: DataFrame, percent: int
 
     First each member is compared with the group's leader: a row for each member, however large the group. That leaves
     groups whose members are in several components. Of each set of members one group then compares those outside its
-    largest component with all members of other components, GROUP of them a round, until each has had its turn; sizes and
-    sketches are looked at within the join, so that only what may be a link becomes a row.
+    largest component with all members of other components, about GROUP of them a round, until each has had its turn. The
+    others are dealt into parts of about GROUP, and those whose turn it is go to every part, so a task has a part of a
+    group only. Sizes and sketches are looked at within the join, so that only what may be a link becomes a row.
     """
     links, labels = None, None
 
     def add(pairs: DataFrame) -> None:
         nonlocal links, labels
         pairs = cut(pairs)
-        new = cut(_verified(cut(_pool(texts, pairs)), pairs, percent)) if links is None or pairs.limit(1).count() else None
+        new = settled(lambda: _verified(cut(_pool(texts, pairs)), pairs, percent)) if links is None or pairs.limit(1).count() else None
         if links is None or new is not None and new.limit(1).count():
             links = new if links is None else cut(links.unionByName(new))
-            labels = cut(components(links))
+            labels = settled(lambda: components(links))
+        discard(pairs)
 
     add(_possible(groups.where("leader <> node").select(F.col("leader").alias("u"), F.col("node").alias("v")).distinct(), classes, percent))
     labelled = lambda df: df.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
@@ -301,17 +364,19 @@ def _links(texts: DataFrame, groups: DataFrame, classes: DataFrame, percent: int
     # Two members were compared already, one of them being the leader.
     open_ = cut(by_key.where("a <> b AND size > 2").groupBy("size", "sum").agg(F.min("key").alias("key")).select("key"))
     inside = cut(named.join(open_, "key"))
-    main = inside.groupBy("key", "label").agg(F.count("*").alias("c")).groupBy("key").agg(F.max_by("label", F.struct("c", "label")).alias("main"))
-    turns = Window.partitionBy("key").orderBy("node")
-    outer = cut(inside.join(main, "key").where("label <> main").select("key", "node", F.row_number().over(turns).alias("turn")))
-    last = outer.agg(F.max("turn")).first()[0] or 0
+    by_label = inside.groupBy("key", "label").agg(F.count("*").alias("c"))
+    main = by_label.groupBy("key").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.max("c").alias("most"), F.sum("c").alias("size"))
+    main = main.select("key", "main", F.ceil((F.col("size") - F.col("most")) / GROUP).alias("turns"), F.ceil(F.col("size") / GROUP).alias("parts"))
+    turn = F.when(F.col("label") != F.col("main"), F.pmod(F.xxhash64("node", F.lit(1)), F.col("turns")))
+    dealt = cut(inside.join(main, "key").select("key", "node", "turns", "parts", turn.alias("turn"), F.pmod(F.xxhash64("node"), F.col("parts")).alias("part")))
+    last = dealt.agg(F.max("turns")).first()[0] or 0
     described = classes.select("node", "n", "sketch")
-    for done in range(0, last, GROUP):
-        now = labelled(inside.select("key", "node")).join(described, "node")
-        turn = labelled(outer.where((F.col("turn") > done) & (F.col("turn") <= done + GROUP)).select("key", "node")).join(described, "node")
-        turn = turn.select("key", F.col("node").alias("u"), F.col("label").alias("lu"), F.col("n").alias("nu"), F.col("sketch").alias("su"))
-        now = now.select(F.col("key").alias("k"), F.col("node").alias("v"), F.col("label").alias("lv"), F.col("n").alias("nv"), F.col("sketch").alias("sv"))
-        met = turn.join(now, (F.col("key") == F.col("k")) & (F.col("lu") != F.col("lv")) & _near(percent))
+    for now in range(last):
+        v = labelled(dealt.where(F.col("turns") > now).select("key", "part", "node")).join(described, "node")
+        u = labelled(dealt.where(F.col("turn") == now).select("key", "parts", "node")).join(described, "node")
+        u = u.select("key", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.col("node").alias("u"), F.col("label").alias("lu"), F.col("n").alias("nu"), F.col("sketch").alias("su"))
+        v = v.select(F.col("key").alias("k"), F.col("part").alias("p"), F.col("node").alias("v"), F.col("label").alias("lv"), F.col("n").alias("nv"), F.col("sketch").alias("sv"))
+        met = u.join(v, (F.col("key") == F.col("k")) & (F.col("part") == F.col("p")) & (F.col("lu") != F.col("lv")) & _near(percent))
         add(met.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
     return links, labels
 

@@ -67,6 +67,50 @@ def test_chains_beyond_the_leader_are_found(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in J.join_documents(docs).collect()} == {d: c for (d, _), (_, c) in zip(rows, plain(rows), strict=True)}
 
 
+def test_hot_slots_are_dealt_to_tasks(spark, monkeypatch):
+    """Documents that share a passage, most of them unlinked: the keys of its slots are split, their members compared in parts."""
+    for name, value in (("GROUP", 16), ("HOT_LEAST", 2), ("COMMON", 10**9)):
+        monkeypatch.setattr(J, name, value)
+    rng = random.Random(8)
+    shared, texts = [f"s{i}" for i in range(7)], []
+    for i in range(40):
+        own = [f"d{i}x{j}" for j in range(rng.choice([6, 7, 20]))]
+        texts.append(shared + own)
+        if i % 4 == 0:
+            texts.append(shared + own + ["more"])
+    chain = [f"w{i}" for i in range(100)]
+    texts += [shared + chain[i * 2 : i * 2 + 40] for i in range(12)]
+    rng.shuffle(texts)
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    share = spark.sparkContext.broadcast
+    node_texts, none = docs.withColumnRenamed("doc_id", "node"), share(J.shingle_sets(J.W.bytes_of(J.pa.array([""])))[0])
+    keys, parts = J._hot_keys(J._sample(node_texts, len(rows)), none)
+    assert len(keys) and parts.max() > 10
+    found = {}
+    for r in J._groups(node_texts, none, share((keys, parts))).collect():
+        found.setdefault(r.key, set()).add((r.leader, r.node))
+    alone = {}
+    for r in J._groups(node_texts, none, share((keys[:0], parts[:0]))).collect():
+        alone.setdefault(r.key, set()).add((r.leader, r.node))
+    wrong = {k: (found.get(k), alone.get(k)) for k in found.keys() | alone.keys() if found.get(k) != alone.get(k)}
+    assert not wrong and max(map(len, found.values())) > 30
+    got = {r.doc_id: r.component_id for r in J.join_documents(docs).collect()}
+    assert got == {d: c for (d, _), (_, c) in zip(rows, plain(rows), strict=True)}
+
+
+def test_settled_leaves_one_table(spark):
+    import os
+
+    from mosaiq.llm.common import cut, settled, shared_dir
+
+    place = shared_dir(spark).removeprefix("file:")
+    before = set(os.listdir(place))
+    inner = lambda: settled(lambda: cut(spark.range(5)).where("id > 1"))
+    table = settled(lambda: cut(inner()).unionByName(inner()))
+    assert table.count() == 6 and len(set(os.listdir(place)) - before) == 1
+
+
 def test_rows_without_own_ids(spark):
     t = " ".join(f"w{i}" for i in range(40))
     rows = [(5, t), (5, t), (None, t + " x"), (7, t + " y"), (None, None), (9, ""), (5, "other words than these")]
