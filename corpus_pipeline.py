@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from mosaiq.llm import decontamination, jaccard_join, mixing, quality_rules, sharding
-from mosaiq.llm.common import cut, documents
+from mosaiq.llm.common import discard, documents, settled
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,8 +51,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
-    for i, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        docs = docs if i == len(STAGES) - 1 else cut(docs)
-    return docs
+    """The last stage's rows. What a stage wrote on its way is deleted after it, its own result after the next stage."""
+    docs, last = documents(spark, sf_dir), None
+    for _, stage in STAGES[:-1]:
+        now = settled(lambda: stage(spark, docs, sf_dir))  # noqa: B023  called at once
+        if last is not None:
+            discard(last)
+        docs = last = now
+    return STAGES[-1][1](spark, docs, sf_dir)
