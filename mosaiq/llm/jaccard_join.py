@@ -171,9 +171,9 @@ def _groups(texts: DataFrame, common, hot) -> DataFrame:
     """
     keys, parts = hot.value
     spark = texts.sparkSession
-    all_parts = [(int(_part_key(np.array([k]), np.array([i], np.uint64)).view(np.int64)[0]), int(k.view(np.int64))) for k, n in zip(keys, parts, strict=True) for i in range(int(n))]
-    table = spark.createDataFrame(all_parts, "part long, whole long")
-    dealt = spark.sparkContext.broadcast(np.sort(np.array([p for p, _ in all_parts], np.int64)))
+    whole, at = np.repeat(keys, parts.astype(np.int64)), np.concatenate([np.zeros(0, np.uint64), *[np.arange(n, dtype=np.uint64) for n in parts]])
+    part = _part_key(whole, at).view(np.int64)
+    dealt = spark.sparkContext.broadcast(np.sort(part))
 
     def per_slice(batch: pa.RecordBatch):
         key, node = _keyed(batch, common.value)
@@ -210,8 +210,9 @@ def _groups(texts: DataFrame, common, hot) -> DataFrame:
 
     rows = arrow_map(texts.select("node", "text"), per_slice, "key long, node long", SLICE)
     rows = rows.repartition("key").sortWithinPartitions("key", "node").mapInArrow(run, "key long, leader long, node long")
-    if not all_parts:
+    if not len(part):
         return rows
+    table = spark.createDataFrame(pa.table({"part": part, "whole": whole.view(np.int64)}))
     rows = cut(rows.join(F.broadcast(table), F.col("key") == F.col("part"), "left"))
     least = rows.where("whole IS NOT NULL").groupBy("whole").agg(F.min("leader").alias("least"))  # at most a row for each hot key
     rows = rows.join(F.broadcast(least), "whole", "left")
