@@ -106,8 +106,8 @@ def fold(text: Column) -> Column:
     one, to, many = _folds()
     table = F.create_map(*[F.lit(x) for pair in many.items() for x in pair])
     signs = lambda t: F.array_join(F.transform(F.split(t, ""), lambda c: F.coalesce(F.try_element_at(table, c), c)), "")
-    some = "[" + "".join(rf"\x{{{ord(c):x}}}" for c in many) + "]"
-    spread = lambda t: F.when(t.rlike(some), signs(t)).otherwise(t)
+    # Looked up in translate's map: a class of as many signs is tried sign by sign at every letter.
+    spread = lambda t: F.when(F.translate(t, "".join(many), "") != t, signs(t)).otherwise(t)
     plain = lambda t: F.when(t.rlike(r"[^\x00-\x7F]"), F.regexp_replace(F.translate(spread(t), one, to), r"[^\x00-\x7F]", "")).otherwise(t)
     return F.lower(let(text, plain))
 
@@ -124,15 +124,27 @@ def forms_pattern(forms: tuple[str, ...]) -> str:
     return r"\b(" + "|".join(re.escape(f) for f in forms) + r")\b"
 
 
+def _folded_pattern(forms: tuple[str, ...]) -> str:
+    """forms_pattern for text in lower case, tried only at letters that a form begins with."""
+    return "(?=[" + "".join(sorted({re.escape(f[0]) for f in forms})) + "])" + forms_pattern(forms)
+
+
 def _replace_forms(text: Column, table: tuple[tuple[str, tuple[str, ...]], ...]) -> Column:
-    for plain, forms in table:
-        text = F.regexp_replace(text, "(?i)" + forms_pattern(forms), plain)
-    return text
+    """For text that is folded. Texts without any form that is written otherwise pass with one look."""
+    table = tuple((plain, tuple(f for f in forms if f != plain)) for plain, forms in table)
+
+    def each(x: Column) -> Column:
+        out = x
+        for plain, forms in table:
+            out = F.regexp_replace(out, _folded_pattern(forms), plain) if forms else out
+        return F.when(x.rlike(_folded_pattern(tuple(f for _, forms in table for f in forms))), out).otherwise(x)
+
+    return let(text, each)
 
 
 def tidy(text: Column) -> Column:
     """Punctuation to blanks, blanks to one, none at the ends. Underscores stay. For text that is folded."""
-    return F.trim(F.regexp_replace(F.regexp_replace(text, r"[^\w\s]", " "), r"\s+", " "))
+    return F.trim(F.regexp_replace(text, r"\W+", " "))
 
 
 def missing(text: Column) -> Column:

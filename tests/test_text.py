@@ -1,3 +1,4 @@
+import re
 import unicodedata
 
 import pytest
@@ -59,3 +60,21 @@ def test_digits_and_postal_of_any_script(spark):
 def test_id_lists(spark):
     df = spark.createDataFrame([(" S2-1, ,S3-2,",), ("",), (None,), ("nan",)], "s string").select(T.id_list(F.col("s")).alias("x"))
     assert [r.x for r in df.collect()] == [["S2-1", "S3-2"], [], [], []]
+
+
+def test_forms_and_blanks_are_as_by_the_plain_patterns(spark):
+    def plain(text, table):
+        for to, forms in table:
+            text = re.sub(T.forms_pattern(forms), to, text, flags=re.A)
+        return text
+
+    texts = ["ltd&co. inc.x corp.", "s.a.s.a.r.l", "sas s.a.s.u, sasu", "a&b s.a&c", "ste soc etablissement ets", "st. rue r. ave.bd cedex all", "no form", "x\x1c\n_ y\t\tz .", " pv.t lt.d l.l.c "]
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    got = df.select("s", *[T._replace_forms(F.col("s"), x).alias(n) for n, x in (("l", T.LEGAL_FORMS), ("a", T.ADDRESS_FORMS))], T.tidy(F.col("s")).alias("t")).collect()
+    assert [(r.l, r.a) for r in got] == [(plain(r.s, T.LEGAL_FORMS), plain(r.s, T.ADDRESS_FORMS)) for r in got]
+    assert [r.t for r in got] == [re.sub(r"\s+", " ", re.sub(r"[^\w\s]", " ", r.s, flags=re.A), flags=re.A).strip(" ") for r in got]
+
+
+def test_normalising_looks_at_no_letter_by_a_class_of_thousands(spark):
+    plan = spark.range(1).select(T.normalize_text(F.col("id").cast("string")))._jdf.queryExecution().optimizedPlan().toString()
+    assert all(len(p) < 2000 for p in re.findall(r"RLIKE\(?[^)]*", plan, re.I))
