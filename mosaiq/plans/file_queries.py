@@ -101,9 +101,9 @@ def id_set(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("first_rows", f"SELECT entity_id FROM ({_RECORDS}) ORDER BY entity_id LIMIT 20")
 def first_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The row limit of a scan: of a file in order, in one part, the first twenty."""
+    """The row limit of a scan: of a file in order, the first twenty, in however many parts and splits it lies."""
     path = _folder(spark)
-    R.write_tsv(_s1(spark, sf_dir).orderBy("entity_id").coalesce(1), path)
+    R.write_tsv(_s1(spark, sf_dir), path, ["entity_id"])
     return R.read_tsv(spark, path, R.RECORD, most=20).select("entity_id")
 
 

@@ -21,9 +21,10 @@ NO_CONFIG = {"model_mode": "lgbm", "optimal_threshold": 0.80, "singleton_cutoff"
 
 
 def read_tsv(spark: SparkSession, path: str, schema: T.StructType, quoted: bool = True, most: int | None = None) -> DataFrame:
-    """A TSV with a header. Id lists are read without quoting: a quote in them is a letter. Empty values are null. `most` limits the rows."""
+    """A TSV with a header. Id lists are read without quoting: a quote in them is a letter. Empty values are null. `most` limits the rows to the
+    first of them by path and place: a plain limit takes those of whichever split is read first."""
     df = spark.read.schema(schema).option("sep", "\t").option("header", True).option("quote", '"' if quoted else "").option("enforceSchema", True).csv(path)
-    return df if most is None else df.limit(most)
+    return df if most is None else with_position(df, "__pos").where(F.col("__pos") <= most).drop("__pos")
 
 
 def with_position(scan: DataFrame, name: str = "pos") -> DataFrame:

@@ -186,3 +186,15 @@ def test_files_are_validated(spark, tmp_path):
     assert rules("m.tsv", "c.tsv", ids) == {"no_tab", "unknown_id", "not_in_candidates"}
     assert rules("comma.tsv", ids=ids) == {"comma_header"} and rules("empty.tsv", ids=ids) == {"empty_file"}
     assert rules("none.tsv", "none.tsv", ids) == {"no_file", "no_candidates"}
+
+
+def test_first_rows_are_those_of_the_first_splits(spark, tmp_path):
+    """The file's second part is the larger, and each is read in several splits."""
+    header = "entity_id\tbusiness_name\tbusiness_address\tcountry\n"
+    for part, (a, b) in enumerate(((0, 300), (300, 2000))):
+        (tmp_path / f"part-{part:05}.csv").write_text(header + "".join(f"S1-{i:05}\tname\taddress\tUS\n" for i in range(a, b)))
+    own = spark.newSession()
+    own.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    own.conf.set("spark.sql.files.openCostInBytes", "0")
+    got = sorted(r[0] for r in R.read_tsv(own, str(tmp_path), R.RECORD, most=310).select("entity_id").collect())
+    assert got == [f"S1-{i:05}" for i in range(310)]
