@@ -198,3 +198,27 @@ def test_first_rows_are_those_of_the_first_splits(spark, tmp_path):
     own.conf.set("spark.sql.files.openCostInBytes", "0")
     got = sorted(r[0] for r in R.read_tsv(own, str(tmp_path), R.RECORD, most=310).select("entity_id").collect())
     assert got == [f"S1-{i:05}" for i in range(310)]
+
+
+def test_pairs_of_a_country_are_those_of_attached_records(spark):
+    """Records move, pairs do not: no table of pairs is dealt out by its ids."""
+    names = ["Acme Pvt. Ltd.", "acme private limited", "Warner Silver Blueport Inc", "WSBlueport", "", None, "x " * 50, "Kumar and Sons Kumar"]
+    places = ["5 bis Rue Dignac, La Teste, 33260", "5 bis rue dignac; La Teste", "", None, "12 Elm St, Morganton", "12 elm str, morganton NC 28655", "Hill Lane, Garland", "G-3/571, COLONY"]
+    rows = lambda p: spark.createDataFrame([(f"S{p}-{i}", names[i % 8], places[(i * 3 + i // 8) % 8], ("US", "FR", "", None)[i % 7 % 4]) for i in range(40)], R.RECORD)
+    s1, catalog = rows(1), rows(2).unionByName(rows(3))
+    pairs = s1.select(F.col("entity_id").alias("s1_id"), "country").join(catalog.select(F.col("entity_id").alias("cand_id"), "country"), "country").drop("country")
+    plain = P.featurize(P.attach_records(pairs, s1, catalog)).select("s1_id", "cand_id", *FEATURES)
+    made = P.featurize_by_country(s1, catalog)
+    assert sorted(map(tuple, made.collect())) == sorted(map(tuple, plain.collect()))
+    attached = P.attach_by_country(s1, catalog)
+    assert sorted(map(str, attached.collect())) == sorted(map(str, P.attach_records(pairs, s1, catalog).select(*attached.columns).collect()))
+    for df in (made, attached):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(s1_id" not in plan and "hashpartitioning(cand_id" not in plan and "CartesianProduct" not in plan
+
+
+def test_the_feature_file_is_packed(spark, tmp_path):
+    row = ("S1-1", "S2-1", *[0.5] * 15, 0)
+    df = spark.createDataFrame([row], "source1_entity_id string, candidate_entity_id string, " + ", ".join(f"{f} double" for f in FEATURES) + ", label int").withColumn("label", F.col("label").cast("byte"))
+    R.write_pairs(df, str(tmp_path / "p"), "csv", rounded=True, packed="gzip")
+    assert list((tmp_path / "p").glob("*.csv.gz")) and R.read_pairs(spark, str(tmp_path / "p"), "csv").first().source1_entity_id == "S1-1"
