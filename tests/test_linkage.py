@@ -1,5 +1,8 @@
 """The small linkage set end to end, and each stage's rules."""
 
+import random
+
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -222,3 +225,30 @@ def test_the_feature_file_is_packed(spark, tmp_path):
     df = spark.createDataFrame([row], "source1_entity_id string, candidate_entity_id string, " + ", ".join(f"{f} double" for f in FEATURES) + ", label int").withColumn("label", F.col("label").cast("byte"))
     R.write_pairs(df, str(tmp_path / "p"), "csv", rounded=True, packed="gzip")
     assert list((tmp_path / "p").glob("*.csv.gz")) and R.read_pairs(spark, str(tmp_path / "p"), "csv").first().source1_entity_id == "S1-1"
+
+
+def test_packs_of_many_queries_score_as_blocks_do(spark):
+    """Beyond a few queries no table of postings is joined: rows are made for the best only."""
+    catalog = spark.createDataFrame([(f"c{i}", f"alpha {i * 7 % 50} beta {i % 13}") for i in range(3000)] + [("none", None)], "entity_id string, text string")
+    queries = spark.createDataFrame([(i, f"alpha {i * 3 % 50} betta {i % 11}" if i % 9 else "QQ") for i in range(200)], "entity_id long, text string")
+    few, many = B.tfidf_candidates(queries, catalog, 4), B.tfidf_candidates(queries, catalog, 4, block=16, passes=1)
+    assert {tuple(r) for r in few.collect()} == {tuple(r) for r in many.collect()} and few.count() == 4 * 177
+    plan = many._jdf.queryExecution().executedPlan().toString()
+    assert "gram#" not in plan and "MapInArrow" in plan
+
+
+def test_dense_is_as_by_plain_sums(spark):
+    own = random.Random(2)
+    rows = [(i, [own.uniform(-1, 1) / 3 for _ in range(24)]) for i in range(400)] + [(1000 + i, [0.25] * 24) for i in range(30)] + [(2000, None)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    queries, least = df.where("vec_id % 10 = 0"), 0.1
+    got = {tuple(r) for r in B.dense_candidates(queries, df, 5, least).select("query_id", "candidate_id", "score", "rank").collect()}
+    q, c = queries.toDF("query_id", "qv"), df.toDF("candidate_id", "cv")
+    plain = B.top_k(q.crossJoin(c).where("query_id <> candidate_id").select("query_id", "candidate_id", F.round(B.dot(F.col("qv"), F.col("cv")), 9).alias("score")).where(F.col("score") >= least), 5)
+    assert got == {tuple(r) for r in plain.collect()}
+    assert "zip_with" not in B.dense_candidates(queries, df, 5, least)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_vocabulary_takes_texts_in_lots():
+    lots = list(B._lots(pa.array(["a" * (B.LETTERS // 2), None, "b" * (B.LETTERS // 2), "c"])))
+    assert [len(x) for x in lots] == [3, 1] and lots[0][1] == ""
