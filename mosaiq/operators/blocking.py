@@ -30,6 +30,11 @@ def spread(df: DataFrame) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """df of short rows, dealt out to all cores: a file has splits by its bytes, but rows only where a row group begins."""
+    return df.repartition(4 * df.sparkSession.sparkContext.defaultParallelism)
+
+
 # ---- Grams as numbers: GRAM letters of 21 bits each, in the order of the texts.
 def _gram_codes(text: str, n: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
     """The distinct grams of a text and how often each is there."""
@@ -255,9 +260,14 @@ def dot(a: Column, b: Column) -> Column:
 def hashed_vector(text: Column, dim: int = 64, n: int = GRAM) -> Column:
     """A unit vector of hashed character grams: the default where no encoder's vectors are given."""
     hashes = F.transform(grams(text, n), lambda g: F.xxhash64(g))
-    counts = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda i: F.aggregate(hashes, F.lit(0.0), lambda s, h: s + F.when(F.pmod(h, F.lit(dim)) == i, F.when(F.pmod(F.shiftright(h, 8), F.lit(2)) == 0, 1.0).otherwise(-1.0)).otherwise(0.0)))
-    norm = lambda v: F.sqrt(dot(v, v))
-    return F.element_at(F.transform(F.array(counts), lambda v: F.transform(v, lambda x: F.when(norm(v) > 0, x / norm(v)).otherwise(0.0))), 1)
+    sign = lambda h: F.when(F.pmod(F.shiftright(h, 8), F.lit(2)) == 0, 1.0).otherwise(-1.0)
+    places = F.transform(hashes, lambda h: F.pmod(h, F.lit(dim)))
+    signs = F.transform(hashes, sign)
+    # Each place is looked at by its own grams only: a map from places that occur to the sums of their signs.
+    summed = lambda x: F.map_from_arrays(F.array_distinct(x["p"]), F.transform(F.array_distinct(x["p"]), lambda i: F.aggregate(F.arrays_zip(x["p"].alias("p"), x["s"].alias("s")), F.lit(0.0), lambda t, g: t + F.when(g["p"] == i, g["s"]).otherwise(0.0))))
+    counts = let(let(F.struct(places.alias("p"), signs.alias("s")), summed), lambda m: F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda i: F.coalesce(F.try_element_at(m, i.cast("bigint")), F.lit(0.0))))
+    unit = lambda v: let(F.struct(v.alias("v"), F.sqrt(dot(v, v)).alias("n")), lambda x: F.transform(x["v"], lambda y: F.when(x["n"] > 0, y / x["n"]).otherwise(0.0)))
+    return let(counts, unit)
 
 
 #: Queries that one pass over the catalog compares it by, and those that are multiplied at once.

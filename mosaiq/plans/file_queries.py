@@ -201,7 +201,7 @@ def indic_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("hashed_vectors", "SELECT p_partkey, 1.0::DOUBLE AS size, 64 AS n, true AS same FROM part")
 def hashed_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The vectors that stand for an encoder's: unit length, and the same for the same text."""
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    part = B.dealt(table(spark, sf_dir, "part").select("p_partkey", "p_name"))
     made = part.select("p_partkey", B.hashed_vector(F.col("p_name")).alias("a"), B.hashed_vector(F.concat("p_name", F.lit(""))).alias("b"))
     return made.select("p_partkey", F.round(B.dot(F.col("a"), F.col("a")), 6).alias("size"), F.size("a").alias("n"), (F.col("a") == F.col("b")).alias("same"))
 

@@ -6,6 +6,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from mosaiq.functions.similarity import FEATURES
 from mosaiq.operators import blocking as B
 from mosaiq.operators import decide as D
@@ -252,3 +253,22 @@ def test_dense_is_as_by_plain_sums(spark):
 def test_vocabulary_takes_texts_in_lots():
     lots = list(B._lots(pa.array(["a" * (B.LETTERS // 2), None, "b" * (B.LETTERS // 2), "c"])))
     assert [len(x) for x in lots] == [3, 1] and lots[0][1] == ""
+
+
+def test_short_rows_of_one_row_group_go_to_all_cores(spark, tmp_path):
+    """A file of one row group is read by one task, however many splits it has."""
+    for name, cols in (("part", "id AS p_partkey, 'blue widget' AS p_name"), ("customer", "id AS c_custkey, 'n' AS c_name, 'BUILDING' AS c_mktsegment, 0L AS c_nationkey")):
+        spark.range(2000).coalesce(1).selectExpr(*cols.split(", ")).write.parquet(str(tmp_path / f"{name}.parquet"))
+    spark.range(1).selectExpr("0L AS n_nationkey", "'X' AS n_name").write.parquet(str(tmp_path / "nation.parquet"))
+    for query in ("hashed_vectors", "preprocess_records"):
+        parts = entry.queries()[query](spark, str(tmp_path)).select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+        assert len(parts) >= spark.sparkContext.defaultParallelism and max(r["count"] for r in parts) < 1000
+
+
+def test_hashed_vector_is_the_sum_of_signs(spark):
+    texts = ["blue widget", "aaaaaa", "ab", ""]
+    df = spark.createDataFrame([(t,) for t in texts], "s string").select(B.grams(F.col("s")).alias("g"), B.hashed_vector(F.col("s")).alias("v"))
+    for r in df.select("v", F.transform("g", lambda g: F.xxhash64(g)).alias("h")).collect():
+        counts = [sum(1.0 if (h >> 8) % 2 == 0 else -1.0 for h in r.h if h % 64 == i) for i in range(64)]
+        size = sum(x * x for x in counts) ** 0.5
+        assert r.v == pytest.approx([x / size if size else 0.0 for x in counts])
