@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mosaiq.functions.text import let
+from mosaiq.sources.tables import kept, passing
 
 GRAM = 3
 MAX_FEATURES = 100_000
@@ -64,10 +65,28 @@ def _lots(texts: pa.Array) -> Iterator[list[str]]:
         yield lot
 
 
-def vocabulary(catalog: DataFrame, id_col: str, text_col: str, max_features: int | None = MAX_FEATURES) -> DataFrame:
-    """gram and idf = ln((1 + n) / (1 + df)) + 1, of the grams that are most frequent in the catalog; ties go by the gram.
+@dataclass
+class Weights:
+    """The vocabulary in order, and its weights: at most MAX_FEATURES, so that each task can hold them."""
+
+    grams: np.ndarray
+    idf: np.ndarray
+
+    def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """Places in the vocabulary and tf * idf there, of unit length."""
+        grams, tf = _gram_codes(text)
+        at = np.minimum(np.searchsorted(self.grams, grams), max(0, len(self.grams) - 1))
+        known = self.grams[at] == grams if len(self.grams) else np.zeros(len(grams), bool)
+        w = tf[known] * self.idf[at[known]]
+        size = np.sqrt(w @ w)
+        return at[known], w / size if size else w
+
+
+def vocabulary(catalog: DataFrame, text_col: str, max_features: int | None = MAX_FEATURES) -> Weights:
+    """The grams that are most frequent in the catalog, ties by the gram, and idf = ln((1 + n) / (1 + df)) + 1 of each.
 
-    Each task sums up its own texts, so that a gram leaves it once.
+    Each task sums up its own texts, so that a gram leaves it once. The texts are counted in the same pass: code -1, which
+    is ahead of every gram in the order.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -87,29 +106,13 @@ def vocabulary(catalog: DataFrame, id_col: str, text_col: str, max_features: int
         yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in columns], names=["gram", "df", "tf"])
 
     summed = catalog.select(F.col(text_col).cast("string")).mapInArrow(run, "gram long, df long, tf long")
-    stats = summed.groupBy("gram").agg(F.sum("df").alias("df"), F.max("tf").alias("most"), F.sum(F.col("tf").cast("decimal(38,0)")).alias("total"))
-    n = stats.where("gram = -1").select(F.col("df").alias("n"))
-    stats = stats.where("gram >= 0")
+    stats = summed.groupBy("gram").agg(F.sum("df").alias("df"), F.sum(F.col("tf").cast("decimal(38,0)")).alias("total"))
     if max_features:
-        stats = stats.orderBy(F.desc("total"), "gram").limit(max_features)
-    return stats.crossJoin(F.broadcast(n)).select("gram", (F.log((F.col("n") + 1) / (F.col("df") + 1)) + 1).alias("idf"))  # one row
-
-
-@dataclass
-class Weights:
-    """The vocabulary in order, and its weights: at most MAX_FEATURES, so that each task can hold them."""
-
-    grams: np.ndarray
-    idf: np.ndarray
-
-    def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """Places in the vocabulary and tf * idf there, of unit length."""
-        grams, tf = _gram_codes(text)
-        at = np.minimum(np.searchsorted(self.grams, grams), max(0, len(self.grams) - 1))
-        known = self.grams[at] == grams if len(self.grams) else np.zeros(len(grams), bool)
-        w = tf[known] * self.idf[at[known]]
-        size = np.sqrt(w @ w)
-        return at[known], w / size if size else w
+        stats = stats.orderBy(F.desc("total"), "gram").limit(max_features + 1)
+    found = stats.select("gram", "df").toArrow()
+    grams, df = (found.column(i).to_numpy() for i in range(2))
+    at = np.argsort(grams)[1:]  # without the count of texts
+    return Weights(grams[at], np.log((df[grams == -1].sum() + 1) / (df[at] + 1)) + 1)
 
 
 class _Best:
@@ -145,20 +148,20 @@ def tfidf_candidates(queries: DataFrame, catalog: DataFrame, k: int, id_col: str
 
     The vocabulary and its weights are those of the catalog. Scores are rounded before they are ranked, so that the order
     of additions decides no tie. A few queries are scored in blocks against each catalog row where it lies, and each task
-    gives its own k best; beyond block * passes queries both sides are packed, and every pack of queries meets every pack
-    of the catalog. No row is made for a pair that is not among the best.
+    gives its own k best; the texts are worked out once for the vocabulary and all blocks, and what is found is kept. Beyond
+    block * passes queries both sides are packed, and every pack of queries meets every pack of the catalog. No row is made
+    for a pair that is not among the best.
     """
-    idf = vocabulary(catalog, id_col, text_col, max_features)
     few = queries.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).limit(block * passes + 1).collect()
-    rows = idf.orderBy("gram").collect()
-    weights = Weights(np.array([r["gram"] for r in rows], np.int64), np.array([r["idf"] for r in rows], np.float64))
     kinds = (queries.schema[id_col].dataType.simpleString(), catalog.schema[id_col].dataType.simpleString())
     if len(few) <= block * passes:
-        scored = None
-        for at in range(0, max(1, len(few)), block):
-            one = _scored_block(catalog.select(id_col, text_col), few[at : at + block], weights, k, digits, kinds)
-            scored = one if scored is None else scored.unionByName(one)
-        return top_k(scored, k)
+        with passing(catalog.select(id_col, F.col(text_col).cast("string").alias(text_col))) as texts:
+            weights, scored = vocabulary(texts, text_col, max_features), None
+            for at in range(0, max(1, len(few)), block):
+                one = _scored_block(texts, few[at : at + block], weights, k, digits, kinds)
+                scored = one if scored is None else scored.unionByName(one)
+            return kept(top_k(scored, k))  # k rows of a query
+    weights = vocabulary(catalog, text_col, max_features)
     shared = catalog.sparkSession.sparkContext.broadcast(weights)
     q, c = (_packed(x.select(id_col, text_col), shared, size, kind) for x, size, kind in ((queries, block, kinds[0]), (catalog, 4 * SLICE, kinds[1])))
     return top_k(_scored_packs(q, c, k, digits, kinds), k)

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import json
-from collections.abc import Callable, Mapping, Sequence
+import uuid
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -71,6 +73,26 @@ def shared_folder(spark: SparkSession) -> str:
     return (spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
+def kept(df: DataFrame, path: str | None = None) -> DataFrame:
+    """df, worked out now and read from the shared folder from then on: what a plan names twice is worked out once."""
+    path = path or f"{shared_folder(df.sparkSession)}/mosaiq-kept-{uuid.uuid4().hex}"
+    # Small row groups, so that a file of long texts is read by more than one task.
+    df.write.option("compression", "zstd").option("parquet.block.size", 16 << 20).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextlib.contextmanager
+def passing(df: DataFrame) -> Iterator[DataFrame]:
+    """As kept, but deleted at the end: nothing that is still to run may read it then."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/mosaiq-passing-{uuid.uuid4().hex}"
+    try:
+        yield kept(df, path)
+    finally:
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def read_records(spark: SparkSession, path: str) -> DataFrame:
     """Source records; what counts as missing is null."""
     df = read_tsv(spark, path, RECORD)

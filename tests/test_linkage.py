@@ -14,9 +14,11 @@ from mosaiq.operators import evaluate as E
 from mosaiq.operators import model as M
 from mosaiq.operators import pairs as P
 from mosaiq.operators import validate as V
+from mosaiq.plans import linkage_queries as L
 from mosaiq.sources import tables as R
 from mosaiq.streaming.incremental import match_arrivals
 
+SF = "/root/testdata/sf0.001"
 S1 = [("S1-1", "McDonalds", "123 Main St", "US"), ("S1-2", "Burger King", "456 Oak Ave", "US"), ("S1-3", "Wendys", "789 Pine Rd", "US"), ("S1-4", "Subway", "101 Elm St", "India"), ("S1-5", "KFC", "202 Maple Dr", "UK")]
 S2 = [("S2-10", "Mc Donalds Inc", "123 Main Street", "US"), ("S2-20", "Burger King LLC", "456 Oak Avenue", "US"), ("S2-30", "Pizza Hut", "333 Walnut", "US")]
 S3 = [("S3-100", "Wendys Restaurant", "789 Pine Road", "US"), ("S3-200", "SubWay Sandwiches", "101 Elm Street", "India")]
@@ -272,3 +274,23 @@ def test_hashed_vector_is_the_sum_of_signs(spark):
         counts = [sum(1.0 if (h >> 8) % 2 == 0 else -1.0 for h in r.h if h % 64 == i) for i in range(64)]
         size = sum(x * x for x in counts) ** 0.5
         assert r.v == pytest.approx([x / size if size else 0.0 for x in counts])
+
+
+def test_texts_of_the_catalog_are_worked_out_once(spark):
+    """For the vocabulary, its count of texts, and every block of queries."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    catalog = spark.createDataFrame([(i, f"alpha {i * 7 % 50} beta {i % 13}") for i in range(300)], "entity_id long, text string").mapInArrow(counted, "entity_id long, text string")
+    queries = spark.createDataFrame([(i, f"alpha {i * 3 % 50}") for i in range(40)], "entity_id long, text string")
+    found = B.tfidf_candidates(queries, catalog, 4, block=16)
+    assert found.count() == 160 and found.where("rank = 1").count() == 40 and seen.value == 300
+
+
+def test_an_empty_catalog_has_no_candidates(spark):
+    none = spark.createDataFrame([], "entity_id long, text string")
+    assert B.tfidf_candidates(spark.createDataFrame([(1, "alpha")], none.schema), none, 4).count() == 0
