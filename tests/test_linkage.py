@@ -294,3 +294,19 @@ def test_texts_of_the_catalog_are_worked_out_once(spark):
 def test_an_empty_catalog_has_no_candidates(spark):
     none = spark.createDataFrame([], "entity_id long, text string")
     assert B.tfidf_candidates(spark.createDataFrame([(1, "alpha")], none.schema), none, 4).count() == 0
+
+
+def test_the_truth_is_worked_out_once_and_only_where_it_is_asked_for(spark, monkeypatch):
+    seen, plain = spark.sparkContext.accumulator(0), L.P.containing
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    monkeypatch.setattr(L.P, "containing", lambda *a, **b: (lambda df: df.select("s1_id", "cand_id").mapInArrow(counted, df.select("s1_id", "cand_id").schema))(plain(*a, **b)))
+    n = L._truth(spark, SF).count()
+    for name, times in (("threshold_scan", 1), ("threshold_scan_guarded", 1), ("best_threshold", 1), ("neg_sampling", 1), ("pair_counts", 1), ("blocking_recall", 1), ("macro_f05", 1), ("topk_val30", 0), ("match_output", 0), ("decision_counts", 0)):
+        before = seen.value
+        L.QUERIES[name](spark, SF).collect()
+        assert n and seen.value - before == times * n, name
