@@ -310,3 +310,17 @@ def test_the_truth_is_worked_out_once_and_only_where_it_is_asked_for(spark, monk
         before = seen.value
         L.QUERIES[name](spark, SF).collect()
         assert n and seen.value - before == times * n, name
+
+
+def test_runs_of_no_item_become_no_rows(spark, monkeypatch):
+    """Texts hold items as before, whether the items' keys are few or not, and rows are made for runs of items only."""
+    words = [f"w{i * i % 23}" for i in range(400)]
+    docs = spark.createDataFrame([(i, " ".join(words[i : i + 60])) for i in range(300)] + [(900, None), (901, ""), (902, "w0 w1"), (903, "xw0\nw1  w4 w9 w16y")], "cand_id long, text string")
+    items = spark.createDataFrame([(0, "w0 w1 w4 w9 w16 w2"), (1, "w0\nw1  w4 w9 w16"), (2, "w1 w4"), (3, "nowhere to be found at all"), (4, "w8 w3 w0 w22 w21 w0 w4")], "s1_id long, item string")
+    plain = sorted((d.cand_id, i.s1_id) for d in docs.collect() for i in items.collect() if i.item in (d.text or ""))
+    pairs = lambda: P.containing(docs, items, "text", "item").select("cand_id", "s1_id")
+    found = pairs()
+    assert sorted(map(tuple, found.collect())) == plain and {i for _, i in plain} == {0, 1, 2}
+    assert "INSET" in found._jdf.queryExecution().optimizedPlan().toString() or " IN (" in found._jdf.queryExecution().optimizedPlan().toString()
+    monkeypatch.setattr(P, "FEW_KEYS", 1)
+    assert sorted(map(tuple, pairs().collect())) == plain
