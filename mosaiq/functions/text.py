@@ -80,6 +80,10 @@ INDIC = (
 )
 
 
+#: What every sign that becomes several letters matches, and few others that are common.
+SEVERAL = r"[^\x00-\x{BB}\x{BF}-\x{131}]"
+
+
 @functools.cache
 def _folds() -> tuple[str, str, dict[str, str]]:
     """From Unicode's own decompositions: signs that become one ASCII letter, those letters, and signs that become several."""
@@ -107,7 +111,7 @@ def fold(text: Column) -> Column:
     table = F.create_map(*[F.lit(x) for pair in many.items() for x in pair])
     signs = lambda t: F.array_join(F.transform(F.split(t, ""), lambda c: F.coalesce(F.try_element_at(table, c), c)), "")
     # Looked up in translate's map: a class of as many signs is tried sign by sign at every letter.
-    spread = lambda t: F.when(F.translate(t, "".join(many), "") != t, signs(t)).otherwise(t)
+    spread = lambda t: F.when(t.rlike(SEVERAL) & (F.translate(t, "".join(many), "") != t), signs(t)).otherwise(t)
     plain = lambda t: F.when(t.rlike(r"[^\x00-\x7F]"), F.regexp_replace(F.translate(spread(t), one, to), r"[^\x00-\x7F]", "")).otherwise(t)
     return F.lower(let(text, plain))
 
@@ -153,9 +157,21 @@ def missing(text: Column) -> Column:
 
 
 def strip_url(text: Column) -> Column:
-    """Without a leading scheme and www, and without domain endings wherever they stand."""
-    text = F.regexp_replace(F.regexp_replace(text, r"(?U)^\s+|\s+$", ""), "(?i)" + URL_PREFIX, "")
-    return F.regexp_replace(F.regexp_replace(text, "(?iU)" + DOMAIN_ENDING, ""), r"^[ /]+|[ /]+$", "")
+    """Without a leading scheme and www, and without domain endings wherever they stand.
+
+    What can match at the ends only is tried only where the first or last letter allows it: else it is tried at each letter.
+    """
+
+    def where(ends: Callable[[Column], Column], replaced: Callable[[Column], Column]) -> Callable[[Column], Column]:
+        return lambda t: F.when(ends(t), replaced(t)).otherwise(t)
+
+    first, last = (lambda t: F.substring(t, 1, 1)), (lambda t: F.substring(t, -1, 1))
+    blanks = where(lambda t: first(t).rlike(r"(?U)\s") | last(t).rlike(r"(?U)\s"), lambda t: F.regexp_replace(t, r"(?U)^\s+|\s+$", ""))
+    prefix = where(lambda t: first(t).rlike("[hHwW]"), lambda t: F.regexp_replace(t, "(?i)" + URL_PREFIX, ""))
+    # A last line end may stand behind what goes.
+    slashes = where(lambda t: first(t).rlike("[ /]") | last(t).rlike(r"[ /\n\r\x{85}\x{2028}\x{2029}]"), lambda t: F.regexp_replace(t, r"^[ /]+|[ /]+$", ""))
+    bare = let(let(text, blanks), prefix)
+    return let(F.regexp_replace(bare, "(?iU)" + DOMAIN_ENDING, ""), slashes)
 
 
 def normalize_text(text: Column) -> Column:

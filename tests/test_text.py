@@ -78,3 +78,22 @@ def test_forms_and_blanks_are_as_by_the_plain_patterns(spark):
 def test_normalising_looks_at_no_letter_by_a_class_of_thousands(spark):
     plan = spark.range(1).select(T.normalize_text(F.col("id").cast("string")))._jdf.queryExecution().optimizedPlan().toString()
     assert all(len(p) < 2000 for p in re.findall(r"RLIKE\(?[^)]*", plan, re.I))
+
+
+def test_ends_are_stripped_as_by_tries_at_every_letter(spark):
+    """What is tried only where the ends allow it, or where a sign may become several letters, is what plain patterns give."""
+    many = T._folds()[2]
+    assert all(re.match(T.SEVERAL.replace(r"\x{BB}", "\xbb").replace(r"\x{BF}", "\xbf").replace(r"\x{131}", "ı"), sign) for sign in many)
+    ends = ["", " ", "/", "\n", " ", " ", "\x85", "\r\n", "/ \n", " / ", "http://", "HTTPS://www.", "wWw.", "h", ".com", ".com/", ".in \n", "ſ", "½", "ĳ", "é"]
+    texts = [a + b + c for a in ends for b in ("", "x", "a.com b", "é / ñ") for c in ends] + [None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    plain = F.regexp_replace(F.regexp_replace("t", r"(?U)^\s+|\s+$", ""), "(?i)" + T.URL_PREFIX, "")
+    plain = F.regexp_replace(F.regexp_replace(plain, "(?iU)" + T.DOMAIN_ENDING, ""), r"^[ /]+|[ /]+$", "")
+    one, to, _ = T._folds()
+    table = F.create_map(*[F.lit(x) for pair in many.items() for x in pair])
+    signs = F.array_join(F.transform(F.split("t", ""), lambda c: F.coalesce(F.try_element_at(table, c), c)), "")
+    folded = F.lower(F.regexp_replace(F.translate(signs, one, to), r"[^\x00-\x7F]", ""))
+    rows = df.select("t", T.strip_url(F.col("t")).alias("got"), plain.alias("plain"), T.fold(F.col("t")).alias("fold"), folded.alias("folded")).collect()
+    assert [(r.t, r.got, r.fold) for r in rows] == [(r.t, r.plain, r.folded) for r in rows] and len(rows) > 1000
+    plan = df.select(T.strip_url(F.col("t")))._jdf.queryExecution().optimizedPlan().toString()
+    assert "substring" in plan
