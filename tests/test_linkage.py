@@ -223,6 +223,21 @@ def test_pairs_of_a_country_are_those_of_attached_records(spark):
         assert "hashpartitioning(s1_id" not in plan and "hashpartitioning(cand_id" not in plan and "CartesianProduct" not in plan
 
 
+def test_flags_of_a_country_are_those_of_attached_records(spark):
+    """Hashes and sizes of strings are worked out for each record, not for each pair."""
+    names = ["Acme Pvt. Ltd.", "acme private limited", "Warner Silver Blueport Inc", "Warner Silver Blueport Holding", "WSBlueport", "", None, "x " * 50, "wsblueport é"]
+    places = ["5 bis Rue Dignac, La Teste, 33260", "5 bis rue dignac; La Teste", "", None, "12 Elm St, Morganton", "12 elm str, morganton NC 28655", "Hill Lane, Garland", "G-3/571, COLONY"]
+    rows = lambda p: spark.createDataFrame([(f"S{p}-{i}", names[i % 9], places[(i * 3 + i // 8) % 8], ("US", "FR", "", None)[i % 7 % 4]) for i in range(60)], R.RECORD)
+    s1, catalog = rows(1), rows(2).unionByName(rows(3))
+    made = P.flags_by_country(s1, catalog)
+    pairs = s1.select(F.col("entity_id").alias("s1_id"), "country").join(catalog.select(F.col("entity_id").alias("cand_id"), "country"), "country").drop("country")
+    plain = P.featurize(P.attach_records(pairs, s1, catalog)).select(*made.columns)
+    got = sorted(map(tuple, made.collect()))
+    assert got == sorted(map(tuple, plain.collect())) and {0.0, 1.0} == {r[2] for r in got} == {r[3] for r in got}
+    top = made._jdf.queryExecution().optimizedPlan().toString().split("Join")[0]
+    assert "length(" not in top and "StartsWith" not in top and "_key" in top
+
+
 def test_the_feature_file_is_packed(spark, tmp_path):
     row = ("S1-1", "S2-1", *[0.5] * 15, 0)
     df = spark.createDataFrame([row], "source1_entity_id string, candidate_entity_id string, " + ", ".join(f"{f} double" for f in FEATURES) + ", label int").withColumn("label", F.col("label").cast("byte"))
