@@ -7,7 +7,9 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  as pa.compute
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -273,53 +275,132 @@ def hashed_vector(text: Column, dim: int = 64, n: int = GRAM) -> Column:
     return let(counts, unit)
 
 
-#: Queries that one pass over the catalog compares it by, and those that are multiplied at once.
-QUERY_BLOCK, QUERY_SLICE = 20_000, 1024
-#: More than sums in another order can differ by.
+#: Vectors of a pack of queries and of the catalog: what is multiplied at once.
+QUERY_PACK, CATALOG_PACK = 2048, 4096
+#: More than sums in another order, and rounded scores that are equal, can differ by.
 SLACK = 1e-7
 
 
-def dense_candidates(queries: DataFrame, catalog: DataFrame, k: int, min_sim: float | None = 0.5, id_col: str = "vec_id", vec_col: str = "embedding", digits: int = 9, block: int = QUERY_BLOCK) -> DataFrame:
+def dense_candidates(queries: DataFrame, catalog: DataFrame, k: int, min_sim: float | None = 0.5, id_col: str = "vec_id", vec_col: str = "embedding", digits: int = 9, block: int = QUERY_PACK) -> DataFrame:
     """query_id, candidate_id, score, rank: the k catalog rows of highest cosine of unit vectors, at least min_sim.
 
-    A stated query set against all rows, in blocks of bounded size: the catalog is read where it lies, and multiplied by
-    the vectors of a block. What may be among a task's k best is summed up anew in the order of the vector, so that no
-    other order of additions decides. Rows without a vector are no candidates.
+    Both sides are packed, and every pack of queries meets every pack of the catalog in a matrix product of short numbers.
+    What may be among a task's k best by more than its error is summed up anew in the order of the vector, so that no other
+    order of additions decides, and a task gives k rows of a query. Rows without a vector are no candidates.
     """
-    q = queries.select(F.col(id_col).alias("query_id"), F.col(vec_col).cast("array<double>").alias("qv")).where("qv IS NOT NULL")
-    c = catalog.select(F.col(id_col).alias("candidate_id"), F.col(vec_col).cast("array<double>").alias("cv")).where("cv IS NOT NULL")
-    kinds = (q.schema["query_id"].dataType.simpleString(), c.schema["candidate_id"].dataType.simpleString())
-    blocks = max(1, -(-q.count() // block))
-    out = None
-    for b in range(blocks):
-        part = (q if blocks == 1 else q.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == b)).toArrow()  # a block
-        one = _multiplied(spread(c), part, k, min_sim, kinds).withColumn("score", F.round("score", digits))
-        out = one if out is None else out.unionByName(one)
+    kinds = (queries.schema[id_col].dataType.simpleString(), catalog.schema[id_col].dataType.simpleString())
+    q, c = (_vector_packs(spread(x.select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("v")).where("v IS NOT NULL")), size, kind) for x, size, kind in ((queries, min(block, QUERY_PACK), kinds[0]), (catalog, CATALOG_PACK, kinds[1])))
+    out = _multiplied(q, c, k, min_sim, kinds).withColumn("score", F.round("score", digits))
     return top_k(out if min_sim is None else out.where(F.col("score") >= min_sim), k)
 
 
-def _multiplied(catalog: DataFrame, queries: pa.Table, k: int, least: float | None, kinds: tuple[str, str]) -> DataFrame:
-    """query_id, candidate_id, score, not rounded: of each task's part of the catalog what may be among its k best."""
-    names = queries.column("query_id").combine_chunks()
-    vectors = np.array(queries.column("qv").to_pylist(), np.float64).reshape(len(names), -1)
-    shared = catalog.sparkSession.sparkContext.broadcast((names, vectors))
+def _vector_packs(df: DataFrame, size: int, kind: str) -> DataFrame:
+    """id and v in packs of that size: pack, ids, and the numbers of all vectors."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, vectors = shared.value
-        # One more than k: a row that is the query itself is no candidate.
-        lots = [(at, _Best(k + 1, len(vectors[at : at + QUERY_SLICE]), SLACK)) for at in range(0, len(vectors), QUERY_SLICE)]
-        for batch in (b.slice(at, SLICE) for b in batches for at in range(0, b.num_rows, SLICE)):
-            rows = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
-            for at, best in lots:
-                scores = rows @ vectors[at : at + QUERY_SLICE].T
-                some = np.ones(scores.shape, bool) if least is None else ~(scores < least - SLACK)
-                doc, query = np.nonzero(best.among(scores, some))
-                if len(doc):
-                    exact = np.cumsum(rows[doc] * vectors[at + query], 1)[:, -1]
-                    yield pa.RecordBatch.from_arrays([names.take(pa.array(at + query)), batch.column(0).take(pa.array(doc)), pa.array(exact)], names=["query_id", "candidate_id", "score"])
-
-    found = catalog.mapInArrow(run, f"query_id {kinds[0]}, candidate_id {kinds[1]}, score double")
-    return found.where(F.col("query_id") != F.col("candidate_id"))
+        number, held, n = TaskContext.get().partitionId() << 32, [], 0
+
+        def pack() -> pa.RecordBatch:
+            whole = pa.Table.from_batches(held).combine_chunks()
+            ids, vectors = (whole.column(i).combine_chunks() for i in range(2))
+            numbers = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64).tobytes()
+            return pa.RecordBatch.from_arrays([pa.array([number]), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids), pa.array([numbers], pa.binary())], names=["pack", "ids", "numbers"])
+
+        for batch in batches:
+            at = 0
+            while at < batch.num_rows:
+                held.append(batch.slice(at, size - n))
+                at, n = at + held[-1].num_rows, n + held[-1].num_rows
+                if n == size:
+                    yield pack()
+                    number, held, n = number + 1, [], 0
+        if n:
+            yield pack()
+
+    return df.mapInArrow(run, f"pack long, ids array<{kind}>, numbers binary")
+
+
+class _Nearest:
+    """The k best rows of each of a pack of queries, of all packs that it has met."""
+
+    def __init__(self, ids: pa.Array, numbers: bytes, k: int, least: float | None) -> None:
+        self.ids, self.k, self.least = ids, k, least
+        self.vectors = np.frombuffer(numbers, np.float64).reshape(len(ids), -1)
+        self.bound = np.full(len(ids), -np.inf if least is None else least)  # the least score that still counts
+        self.full = np.zeros(len(ids), bool)
+        self.names = pa.compute.unique(ids)
+        self.own = pd.Series(np.arange(len(ids))).groupby(pa.compute.index_in(ids, self.names).to_numpy(zero_copy_only=False)).indices
+        self.found = None
+
+    def meet(self, ids: pa.Array, numbers: bytes) -> None:
+        rows = np.frombuffer(numbers, np.float64).reshape(len(ids), -1)
+        sizes = [np.sqrt(np.einsum("ij,ij->i", x, x)) for x in (self.vectors, rows)]
+        most = [s[np.isfinite(s)].max(initial=0.0) for s in sizes]
+        kind = np.float32 if all(np.isfinite(s).all() for s in sizes) and max(most) < 1e15 else np.float64
+        slack = SLACK + (rows.shape[1] + 4) * np.finfo(kind).eps * most[0] * most[1]
+        with np.errstate(invalid="ignore", over="ignore"):
+            scores = self.vectors.astype(kind) @ rows.astype(kind).T
+        met = pa.compute.index_in(ids, self.names)
+        for doc in np.flatnonzero(met.is_valid()):  # a row that is the query itself is no candidate
+            scores[self.own[met[int(doc)].as_py()], doc] = -np.inf
+        hit = np.flatnonzero(~(scores.max(1) < self.bound - slack))  # NaN is the largest
+        if not len(hit):
+            return
+        scores, bound, new = scores if len(hit) == len(scores) else scores[hit], self.bound[hit] - slack, np.flatnonzero(~self.full[hit])
+        first = scores[new, : max(512, 2 * self.k)]  # a first bound, of some rows
+        if len(new) and first.shape[1] > self.k:
+            bound[new] = np.fmax(bound[new], np.partition(first, -self.k, 1)[:, -self.k] - 2 * slack)
+        less = np.less(scores, bound[:, None].astype(kind))
+        some = np.flatnonzero(np.logical_not(less, out=less))
+        query, doc = np.divmod(some[scores.ravel()[some] != -np.inf], len(ids))
+        for at in range(0, len(query), 1 << 16):
+            i, j = hit[query[at : at + (1 << 16)]], doc[at : at + (1 << 16)]
+            with np.errstate(invalid="ignore", over="ignore"):
+                exact = np.cumsum(rows[j] * self.vectors[i], 1)[:, -1] if rows.shape[1] else np.zeros(len(i))
+            self._keep(pa.table([pa.array(i), pa.array(np.isnan(exact)), pa.array(exact), ids.take(pa.array(j))], names=["query", "nan", "exact", "id"]))
+
+    def _keep(self, more: pa.Table) -> None:
+        """Of what was found and more: of each query k rows by score and id, and as many of every score that may be rounded to the k-th."""
+        every = more if self.found is None else pa.concat_tables([self.found, more])
+        every = every.take(pa.compute.sort_indices(every, [("query", "ascending"), ("nan", "descending"), ("exact", "descending"), ("id", "ascending")]))
+        query, nan, exact = (every.column(i).to_numpy() for i in range(3))
+        place = np.arange(len(query))
+        first = np.maximum.accumulate(np.where(np.append(True, query[1:] != query[:-1]), place, 0)) if len(query) else place
+        kth = first + self.k - 1
+        full = (kth < len(query)) & (query[np.minimum(kth, len(query) - 1)] == query)
+        least = np.where(full, exact[np.minimum(kth, len(query) - 1)], -np.inf)
+        same = np.append(False, (query[1:] == query[:-1]) & ((exact[1:] == exact[:-1]) | (nan[1:] & nan[:-1])))
+        nth = place - np.maximum.accumulate(np.where(same, 0, place))  # among those of one score
+        keep = (nth < self.k) & ((place - first < self.k) | ~(exact < least - SLACK))
+        np.fmax.at(self.bound, query[full], least[full])
+        self.full[query[full]] = True
+        self.found = every.filter(pa.array(keep))
+
+    def batch(self) -> pa.RecordBatch:
+        table = self.found.combine_chunks()
+        query, exact, ids = (table.column(i).combine_chunks() for i in (0, 2, 3))
+        return pa.RecordBatch.from_arrays([self.ids.take(query), ids, exact], names=["query_id", "candidate_id", "score"])
+
+
+def _multiplied(queries: DataFrame, catalog: DataFrame, k: int, least: float | None, kinds: tuple[str, str]) -> DataFrame:
+    """query_id, candidate_id, score, not rounded: of each task's packs of the catalog the k best of its queries, as _scored_packs."""
+    parts = max(8, math.isqrt(8 * catalog.sparkSession.sparkContext.defaultParallelism))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, best = None, None
+        for batch in batches:
+            for i in range(batch.num_rows):
+                if batch.column(0)[i].as_py() != now:
+                    if best is not None and best.found is not None:
+                        yield best.batch()
+                    now = batch.column(0)[i].as_py()
+                    best = _Nearest(batch.column(1)[i].values, batch.column(2)[i].as_py(), k, least)
+                best.meet(batch.column(4)[i].values, batch.column(5)[i].as_py())
+        if best is not None and best.found is not None:
+            yield best.batch()
+
+    q = queries.withColumnsRenamed({n: f"q_{n}" for n in queries.columns}).repartition(parts)
+    return q.crossJoin(catalog.repartition(parts)).mapInArrow(run, f"query_id {kinds[0]}, candidate_id {kinds[1]}, score double")
 
 
 def merge_candidates(*channels: DataFrame) -> DataFrame:

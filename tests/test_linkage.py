@@ -2,6 +2,8 @@
 
 import random
 
+import duckdb
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -267,6 +269,24 @@ def test_dense_is_as_by_plain_sums(spark):
     assert "zip_with" not in B.dense_candidates(queries, df, 5, least)._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_dense_topk_asks_for_every_row(spark, tmp_path):
+    """Each vector is a query, ties and copies included; a task gives k rows of a query, however many copies there are."""
+    rng = np.random.default_rng(5)
+    v = np.round(rng.standard_normal((90, 4)), 1)
+    v = np.concatenate([v, v[:30], np.repeat(v[:1], 200, 0)])
+    v /= np.maximum(1e-9, np.sqrt((v * v).sum(1, keepdims=True)))
+    df = spark.createDataFrame([(i * 7 % 1009, [*map(float, x)]) for i, x in enumerate(v)] + [(5000, None)], "vec_id long, embedding array<float>")
+    df.write.parquet(str(tmp_path / "embeddings.parquet"))
+    got = entry.queries()["dense_topk"](spark, str(tmp_path)).collect()
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    assert sorted(map(tuple, got)) == sorted(db.execute(entry.oracle_sql()["dense_topk"]).fetchall()) and len({r["query_id"] for r in got}) == 320
+    x = pa.array(range(320))
+    best = B._Nearest(x, v.astype(np.float32).astype(np.float64).tobytes(), 5, None)
+    best.meet(x, v.astype(np.float32).astype(np.float64).tobytes())
+    assert best.found.num_rows <= 320 * 15
+
+
 def test_vocabulary_takes_texts_in_lots():
     lots = list(B._lots(pa.array(["a" * (B.LETTERS // 2), None, "b" * (B.LETTERS // 2), "c"])))
     assert [len(x) for x in lots] == [3, 1] and lots[0][1] == ""
