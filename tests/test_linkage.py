@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from mosaiq.functions import similarity as S
 from mosaiq.functions.similarity import FEATURES
 from mosaiq.operators import blocking as B
 from mosaiq.operators import decide as D
@@ -287,6 +288,19 @@ def test_dense_topk_asks_for_every_row(spark, tmp_path):
     assert best.found.num_rows <= 320 * 15
 
 
+def test_partial_and_contained_strings_of_packs_are_as_pair_by_pair():
+    rng = random.Random(2)
+    word = lambda n: "".join(rng.choice("abc ") for _ in range(n))
+    for n, m in ((9, 9), (9, 14), (14, 9), (64, 64), (64, 70), (1, 5)):
+        xs, ys = [word(m) for _ in range(4)] + ["", "abcabc" * 3], [word(n) for _ in range(300)]
+        want = [[int(S.grades(*S._partial_parts(x, y))) if x else 0 for y in ys] for x in xs]
+        assert S.partial_table(xs, ys).tolist() == want
+    xs = ["abcabc", "abc", "b\0cabca", "cabcab", ""] + [word(6) for _ in range(20)]
+    ys = xs + [word(rng.randrange(30)) for _ in range(200)] + ["abcabcabc", "xb\0cabca"]
+    assert S._within(xs, ys).tolist() == [[len(x) >= 6 and x in y for y in ys] for x in xs]
+    assert S._same(xs, ys).tolist() == [[x != "" and x == y for y in ys] for x in xs]
+
+
 def test_vocabulary_takes_texts_in_lots():
     lots = list(B._lots(pa.array(["a" * (B.LETTERS // 2), None, "b" * (B.LETTERS // 2), "c"])))
     assert [len(x) for x in lots] == [3, 1] and lots[0][1] == ""
